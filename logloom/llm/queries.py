@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logloom.llm import bpe, token_count
+from logloom.llm import bpe, decontaminate, token_count, url_filter
 
 
 def tokenizer(name: str) -> str:
@@ -19,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page: the rules', else the classifier's."""
+    weights = url_filter.fit(url_filter.default_labels(spark))
+    return url_filter.judge(table(spark, sf_dir, "pages"), weights)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document as word_bpe_49k.json counts them."""
     return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
@@ -29,9 +35,16 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a window of a benchmark item."""
+    return decontaminate.contamination(decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
     "op2_token_counts": op2_token_counts,
     "op3_bpe_codec": op3_bpe_codec,
+    "op5_decontamination": op5_decontamination,
 }
 
 ORACLE: dict[str, str] = {}
