@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from logloom.llm import bpe, decontaminate, token_count, url_filter
+from logloom.llm import bpe, decontaminate, langid, maxscore, token_count, toxicity, url_filter
 
 
 def tokenizer(name: str) -> str:
@@ -35,16 +36,78 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def fold(modulus: int) -> Column:
+    """crc32 of the id as text, by a modulus; null for a null id."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of the held-out fold are not learnt from."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(fold(5) != 0))
+    return toxicity.score(docs, model).select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a window of a benchmark item."""
     return decontaminate.contamination(decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best of all vectors for every vector whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return maxscore.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; languages of the held-out fold are not learnt from."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(fold(4) != 2))
+    return langid.identify(docs, model).select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_token_counts": op2_token_counts,
     "op3_bpe_codec": op3_bpe_codec,
+    "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
+    "op9_exact_top_k": op9_exact_top_k,
+    "op10_language_id": op10_language_id,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_decontamination": r"""
+WITH w AS (
+  SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x) AS words
+  FROM (SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents)
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark WHERE text IS NOT NULL
+), windows AS (
+  SELECT DISTINCT item, least(10, len(words)) AS width, array_to_string(words[i:i + least(10, len(words)) - 1], ' ') AS win
+  FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 8, 2))) AS i FROM b WHERE len(words) > 0)
+), places AS (
+  SELECT doc_id, i, width, array_to_string(words[i:i + width - 1], ' ') AS win
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM w), (SELECT DISTINCT width FROM windows)
+  WHERE i + width - 1 <= len(words)
+), hits AS (SELECT p.doc_id, p.i, p.width, v.item FROM places p JOIN windows v USING (width, win)
+), n_hit AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + width)) AS j FROM hits) GROUP BY doc_id
+), found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN n_hit USING (doc_id) LEFT JOIN found USING (doc_id)
+""",
+    "op9_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON len(q.e) = len(c.e) AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) WHERE rank <= 5
+""",
+}

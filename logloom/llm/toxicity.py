@@ -1,7 +1,8 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax.
 
-A text is the average of the vectors of its words and of their hashed character n-grams, so a misspelling that was
-never seen shares most of its vectors with the word it comes from. Embeddings and softmax are trained together in
+A window of words is the average of the vectors of its words and of their hashed character n-grams, so a misspelling
+that was never seen shares most of its vectors with the word it comes from; a text scores what its highest window does,
+so a toxic passage is not thinned out by the length of its text. Embeddings and softmax are trained together in
 numpy, in one task, on a sample of at most ``max_rows`` labelled rows. For scoring, embeddings and softmax fold into one
 number per bucket, so a word is one look-up.
 
@@ -28,46 +29,97 @@ from logloom.llm.subwords import hashed, words_of
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 16
 CACHE = 300_000
+#: Words of a window, and from one window to the next: a text is as toxic as its most toxic window, however long it is.
+WINDOW, STRIDE = 16, 8
 #: Averages are small numbers; they are scaled to keep the steps of training in a usual range.
-SCALE = 64.0
-
-
-def train(texts: list[str | None], labels: np.ndarray, dim: int = 6, epochs: int = 12, batch: int = 128, rate: float = 0.05, decay: float = 1e-4, prior: float = 0.0) -> dict:
-    """Folded model: one number per bucket, and the bias."""
-    if not len(texts):
-        return {"value": np.zeros(BUCKETS), "bias": float(np.log(max(prior, 1e-6) / (1 - prior)))}
+SCALE = 16.0
+
+
+def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, begin and end of each window over texts that stand one after another; a text without words has none."""
+    many = np.where(sizes > 0, 1 + np.maximum(0, -(-(sizes - WINDOW) // STRIDE)), 0)
+    text = np.repeat(np.arange(len(sizes)), many)
+    k = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
+    base = (np.cumsum(sizes) - sizes)[text]
+    begin = base + np.minimum(k * STRIDE, np.maximum(sizes[text] - WINDOW, 0))
+    return text, begin, np.minimum(begin + WINDOW, base + sizes[text])
+
+
+def train(texts: list[str | None], labels: np.ndarray, dim: int = 6, epochs: int = 10, warm: int = 2, batch: int = 256, rate: float = 0.05, decay: float = 1e-5, drop: float = 0.2, least: int = 3, prior: float = 0.0) -> dict:
+    """Folded model: one number per bucket, and the bias.
+
+    The first ``warm`` rounds learn from random windows of every text; the later ones from the window that scores
+    highest now, and from a random one of texts with label 0. Buckets that fewer than ``least`` texts hold stay 0.
+    """
+    empty = {"value": np.zeros(BUCKETS), "bias": float(np.log(max(prior, 1e-6) / (1 - prior)))}
+    cut = [words_of(t) for t in texts]
+    vocab = {w: i for i, w in enumerate(dict.fromkeys(w for words in cut for w in words))}
+    if not vocab:
+        return empty
     rng = np.random.default_rng(7)
-    rows = [np.unique(hashed(w, SIZES, BUCKETS)[1], return_counts=True) if (w := words_of(t)) else (np.zeros(0, np.int64), np.zeros(0, np.int64)) for t in texts]
-    vectors = rng.normal(0, 0.1, (BUCKETS, dim))
+    sizes = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+    flat = np.fromiter((vocab[w] for words in cut for w in words), dtype=np.int64, count=int(sizes.sum()))
+    owner, bucket = hashed(list(vocab), SIZES, BUCKETS)
+    bucket = bucket[np.argsort(owner, kind="stable")]
+    many = np.bincount(owner, minlength=len(vocab))
+    at = np.cumsum(many) - many
+    pairs = np.unique(np.repeat(np.arange(len(cut)), sizes) * len(vocab) + flat)
+    docs_of = np.zeros(BUCKETS)
+    for start in range(0, len(pairs), 200_000):
+        text, word = np.divmod(pairs[start : start + 200_000], len(vocab))
+        found, _ = gather(at, many, bucket, word)
+        docs_of += np.bincount(np.unique(np.repeat(text, many[word]) * BUCKETS + found) % BUCKETS, minlength=BUCKETS)
+    used = docs_of >= least
+    text, begin, end = windows(sizes)
+    first = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
+    count = np.diff(np.append(first, len(text)))
+    vectors = rng.normal(0, 0.1, (BUCKETS, dim)) * used[:, None]
     soft = rng.normal(0, 0.3, (dim, 2))
-    bias = np.log(np.bincount(labels, minlength=2) / len(labels) + 1e-3)
+    bias = np.zeros(2)
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (vectors, soft, bias)]
     step = 0
+    lengths = np.append(0, np.cumsum(many[flat]))
     for epoch in range(epochs):
-        order = rng.permutation(len(rows))
-        for start in range(0, len(rows), batch):
-            part = order[start : start + batch]
-            sizes = np.array([len(rows[i][0]) for i in part])
-            index = np.concatenate([rows[i][0] for i in part])
-            share = np.concatenate([rows[i][1] / max(rows[i][1].sum(), 1) for i in part]) * SCALE
-            owner = np.repeat(np.arange(len(part)), sizes)
+        picks = [first + (rng.random(len(first)) * count).astype(np.int64) for _ in range(3 if epoch < warm else 1)]
+        if epoch >= warm:
+            word_value = np.add.reduceat((vectors @ (soft[:, 1] - soft[:, 0]))[bucket], at)
+            sums = np.append(0, np.cumsum(word_value[flat]))
+            z = (sums[end] - sums[begin]) / np.maximum(lengths[end] - lengths[begin], 1)
+            order = np.lexsort((z, text))
+            picks = [order[first + count - 1], picks[0][labels[text[picks[0]]] == 0]]
+        chosen = np.unique(np.concatenate(picks))
+        rng.shuffle(chosen)
+        for start in range(0, len(chosen), batch):
+            part = chosen[start : start + batch]
+            y = labels[text[part]]
+            words = flat[np.concatenate([np.arange(i, j) for i, j in zip(begin[part], end[part], strict=True)])]
+            index, per_word = gather(at, many, bucket, words)
+            rows = np.repeat(np.repeat(np.arange(len(part)), end[part] - begin[part]), per_word)
+            share = (SCALE / np.bincount(rows, minlength=len(part)))[rows] * (rng.random(len(rows)) >= drop) / (1 - drop)
             bag = vectors[index] * share[:, None]
-            mean = np.stack([np.bincount(owner, bag[:, d], len(part)) for d in range(dim)], axis=1)
+            mean = np.stack([np.bincount(rows, bag[:, d], len(part)) for d in range(dim)], axis=1)
             z = mean @ soft + bias
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(part)), labels[part]] -= 1
+            p[np.arange(len(part)), y] -= 1
             p /= len(part)
-            back = (p @ soft.T)[owner] * share[:, None]
+            back = (p @ soft.T)[rows] * share[:, None]
             grad = np.stack([np.bincount(index, back[:, d], BUCKETS) for d in range(dim)], axis=1)
             step += 1
             pace = rate * (1 - epoch / epochs)
-            for x, g, s in zip((vectors, soft, bias), (grad + decay * vectors, mean.T @ p, p.sum(axis=0)), state, strict=True):
+            for x, g, s in zip((vectors, soft, bias), (grad * used[:, None] + decay * vectors, mean.T @ p, p.sum(axis=0)), state, strict=True):
                 s[0] = 0.9 * s[0] + 0.1 * g
                 s[1] = 0.99 * s[1] + 0.01 * g * g
                 x -= pace * (s[0] / (1 - 0.9**step)) / (np.sqrt(s[1] / (1 - 0.99**step)) + 1e-8)
-    fold = soft[:, 1] - soft[:, 0]
-    return {"value": vectors @ fold * SCALE, "bias": float(bias[1] - bias[0])}
+    return {"value": vectors @ (soft[:, 1] - soft[:, 0]) * SCALE, "bias": float(bias[1] - bias[0])}
+
+
+def gather(at: np.ndarray, many: np.ndarray, bucket: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of each word in turn, and how many each has."""
+    n = many[words]
+    total = np.cumsum(n)
+    place = np.arange(int(total[-1]) if len(total) else 0) - np.repeat(total - n, n) + np.repeat(at[words], n)
+    return bucket[place], n
 
 
 class Scorer:
@@ -88,12 +140,19 @@ class Scorer:
             owner, bucket = hashed(words, SIZES, BUCKETS)
             total = np.bincount(owner, self.value[bucket], len(words)) + 1j * np.bincount(owner, minlength=len(words))
             self.known.update(zip(words, total.tolist(), strict=True))
-        sums = np.array([sum(map(self.known.__getitem__, w), 0j) for w in cut], dtype=complex)
-        z = sums.real / np.maximum(sums.imag, 1) + self.bias
+        sizes = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+        each = np.fromiter((x for w in cut for x in map(self.known.__getitem__, w)), dtype=complex, count=int(sizes.sum()))
+        sums = np.append(0, np.cumsum(each))
+        text, begin, end = windows(sizes)
+        part = sums[end] - sums[begin]
+        z = np.full(len(texts), self.bias)
+        if len(text):
+            first = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
+            z[text[first]] = np.maximum.reduceat(part.real / np.maximum(part.imag, 1) + self.bias, first)
         return (1 / (1 + np.exp(-np.clip(z, -500, 500)))).tolist()
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, prior: float = 0.0, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> bytes:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8000, prior: float = 0.0, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> bytes:
     """A folded model from at most ``max_rows`` labelled rows, chosen by a hash of their id; about half a megabyte."""
     small_batches(docs.sparkSession)
     ids = labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("y")).filter("id is not null and y in (0, 1)")
