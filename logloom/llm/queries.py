@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import bpe, decontaminate, langid, maxscore, token_count, toxicity, url_filter
+from logloom.llm import bpe, decontaminate, langid, maxscore, simhash, token_count, toxicity, url_filter
 
 
 def tokenizer(name: str) -> str:
@@ -53,6 +53,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.cluster(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best of all vectors for every vector whose id is divisible by 50."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe_codec": op3_bpe_codec,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
+    "op6_simhash_dedup": op6_simhash_dedup,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_language_id": op10_language_id,
 }
@@ -100,8 +106,8 @@ FROM w LEFT JOIN n_hit USING (doc_id) LEFT JOIN found USING (doc_id)
 """,
     "op9_exact_top_k": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
   FROM v q JOIN v c ON len(q.e) = len(c.e) AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
