@@ -1,4 +1,9 @@
-"""The corpus pipeline: five stages over ``documents``, each written as Parquet and read again for the next."""
+"""The corpus pipeline: five stages over ``documents``, each written as Parquet and read again for the next.
+
+Each stage takes all that its predecessor kept and, but for the last, returns the columns of ``documents``:
+toxic documents go, one document of each near-duplicate group stays, passages of 100 bytes that stand earlier go,
+benchmark passages go (and with them documents of which more than half is such), and what is left is encoded.
+"""
 
 from __future__ import annotations
 
@@ -7,17 +12,39 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from logloom.llm import bpe, decontaminate, simhash, suffix_dedup, toxicity
+from logloom.llm.queries import table, tokenizer
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below 0.5; the model learns from the labels of all documents."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.keep_clean(docs, model)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of each group of near copies: five-word shingles, similarity of 0.8 or more."""
+    return simhash.keep_one(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages of 100 bytes that stand earlier; documents of which nothing is left go."""
+    return suffix_dedup.cut_texts(docs).filter(F.coalesce(F.length("text"), F.lit(0)) > 0)
+
 
-from logloom.llm import bpe
-from logloom.llm.queries import tokenizer
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without windows of ten words of a benchmark item."""
+    return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
 
 
-def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """BPE encoding and decoding of all that is left."""
     return bpe.encode_decode(docs, tokenizer("byte_bpe_50k.json"))
 
 
-STAGES = [("bpe_codec", encode_tokens)]
+STAGES = [("toxicity", drop_toxic), ("simhash_near_dedup", drop_near_copies), ("suffix_array_dedup", cut_repeats), ("benchmark_decontamination", decontaminated), ("bpe_codec", encoded)]
 
 #: Trained weights, fingerprints and suffix order are not SQL; tests hold the rows against brute force.
 ORACLE_SQL = None
@@ -27,7 +54,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; every stage's rows are written to the shared folder and read again."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "logloom-checkpoints")
     top = f"{base}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         path = f"{top}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import bpe, decontaminate, langid, maxscore, simhash, suffix_dedup, token_count, toxicity, url_filter
+from logloom.llm import bpe, decontaminate, langid, maxscore, packing, simhash, suffix_dedup, token_count, toxicity, url_filter
 
 
 def tokenizer(name: str) -> str:
@@ -58,6 +58,11 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.cluster(table(spark, sf_dir, "documents"))
 
 
+def op7_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed id rows of all documents, 2048 wide."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the passages of 100 bytes that stand earlier."""
     return suffix_dedup.digests(suffix_dedup.dedup(table(spark, sf_dir, "documents")))
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_simhash_dedup": op6_simhash_dedup,
+    "op7_token_packing": op7_token_packing,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_language_id": op10_language_id,

@@ -76,7 +76,7 @@ def masks(blocks: int, bits: int) -> list[int]:
 
 def blocks_for(n: int, bits: int) -> int:
     """Blocks such that keys have about as many bits as ``n`` distinct fingerprints need; the links do not depend on it."""
-    wanted = math.log2(max(n, 2)) + 2
+    wanted = math.log2(max(n, 2)) - 5
     return next((m for m in range(bits + 2, bits + 5) if 64 * (m - bits) / m >= wanted), bits + 4)
 
 
@@ -123,9 +123,23 @@ def linked(group: np.ndarray, side: np.ndarray, fp: np.ndarray, refs: np.ndarray
     table = np.stack([np.bitwise_count(fp ^ r) for r in refs], axis=1).astype(np.int8) if len(fp) else np.zeros((0, len(refs)), np.int8)
     forest = Forest(len(fp))
     left, right = [], []
+    found: list[np.ndarray] = []
+
+    def connect() -> None:
+        """Nearest pairs first, so a link that is refused later does not stand for closer ones."""
+        if not found:
+            return
+        i, j, d = np.concatenate(found, axis=1)
+        order = np.argsort(d, kind="stable")
+        i, j = i[order], j[order]
+        made = forest.links(i, j)
+        left.append(i[made])
+        right.append(j[made])
+        found.clear()
+
     ends = np.append(np.flatnonzero(group[1:] != group[:-1]) + 1, len(group))
     last = ends[np.searchsorted(ends, np.arange(len(group)), side="right")] if len(group) else ends
-    alive, step = np.arange(len(group)), 1
+    alive, step, waiting = np.arange(len(group)), 1, 0
     while len(alive):  # every row meets the row ``step`` places on, while that is in its group
         alive = alive[alive + step < last[alive]]
         i, j = alive, alive + step
@@ -133,10 +147,13 @@ def linked(group: np.ndarray, side: np.ndarray, fp: np.ndarray, refs: np.ndarray
         i, j = i[mixed], j[mixed]
         hit = near(fp, table, i, j, bits)
         i, j = i[hit], j[hit]
-        made = forest.links(i, j)
-        left.append(i[made])
-        right.append(j[made])
+        found.append(np.stack([i, j, np.bitwise_count(fp[i] ^ fp[j])]))
+        waiting += len(i)
+        if waiting > 4_000_000:
+            connect()
+            waiting = 0
         step += 1
+    connect()
     return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
@@ -204,3 +221,59 @@ def cluster(docs: DataFrame, size: int = 4, bits: int = 4, id_col: str = "doc_id
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of_print = named.join(smallest, "component").select("fp", "component_id")
     return held.join(of_print, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def shingle_sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, shingles): sorted distinct 32-bit hashes of the shingles, packed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text in batch.column(1).to_pylist():
+                words = words_of(text)
+                cut = [b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))] if words else []
+                out.append(np.unique(np.fromiter((xxhash.xxh32_intdigest(c) for c in cut), dtype=np.uint32, count=len(cut))).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "shingles"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, shingles binary")
+
+
+def _similar(least: float):  # noqa: ANN202
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                a, b = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+                shared = len(np.intersect1d(a, b, assume_unique=True))
+                keep.append(shared >= least * (len(a) + len(b) - shared))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def keep_one(docs: DataFrame, size: int = 5, bits: int = 8, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row (smallest id) of each near-duplicate component.
+
+    Links within ``bits`` count where the shingle sets of the two documents, the smallest id of each fingerprint, have
+    at least that Jaccard ``similarity``; equal fingerprints count as they are. Rows that share an id stay or go together,
+    but for repeated rows, of which one stays; rows without an id are not compared and stay.
+    """
+    small_batches(docs.sparkSession)
+    known = docs.filter(docs[id_col].isNotNull())
+    held = checkpointed(fingerprints(known, size, id_col, text_col))
+    prints = checkpointed(held.groupBy("fp").agg(F.min(id_col).alias("least")))
+    edges = checkpointed(link(prints.select("fp"), bits))
+    small_batches(docs.sparkSession)
+    ends = edges.select(F.col("u").alias("fp")).union(edges.select(F.col("v").alias("fp"))).distinct()
+    wanted = prints.join(ends, "fp").withColumnRenamed("least", id_col)
+    texts = known.select(id_col, text_col).join(wanted.select(id_col), id_col, "left_semi")
+    sets = checkpointed(shingle_sets(texts, size, id_col, text_col).withColumnRenamed("id", id_col).join(wanted, id_col).groupBy("fp").agg(F.min("shingles").alias("shingles")))
+    pairs = edges.join(sets.select(F.col("fp").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("fp").alias("v"), F.col("shingles").alias("b")), "v").select("u", "v", "a", "b")
+    found = components(pairs.mapInArrow(_similar(similarity), "u bigint, v bigint"))
+    named = prints.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    stay = named.groupBy("component").agg(F.min("least").alias(id_col)).select(id_col)
+    kept = known.join(stay, id_col, "left_semi")
+    if held.groupBy(id_col).count().filter("count > 1").limit(1).count():
+        kept = kept.dropDuplicates([id_col, text_col])
+    return kept.unionByName(docs.filter(docs[id_col].isNull()))

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.common import checkpointed, small_batches
@@ -279,33 +279,43 @@ def _sorted_marks(depth: int, limit: int):  # noqa: ANN202
     return run
 
 
+def whole_characters(raw: bytes, begin: int, end: int) -> tuple[int, int]:
+    """The span without the bytes at its ends that belong to a character which is not all inside."""
+    while begin < end and raw[begin] & 0xC0 == 0x80:
+        begin += 1
+    while end > begin and end < len(raw) and raw[end] & 0xC0 == 0x80:
+        end -= 1
+    return begin, end
+
+
+def spans_of(marks: list[dict] | None, depth: int) -> list[list[int]]:
+    """Maximal spans of bytes that the marked runs of passages cover."""
+    out: list[list[int]] = []
+    for begin, end in sorted((m["start"], m["start"] + m["count"] - 1 + depth) for m in marks or []):
+        if out and begin <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([begin, end])
+    return out
+
+
+def without(raw: bytes, spans: list) -> bytes:
+    pieces, last = [], 0
+    for begin, end in spans:
+        pieces.append(raw[last:begin])
+        last = end
+    return b"".join([*pieces, raw[last:]])
+
+
 def _cut(depth: int):  # noqa: ANN202
     """(doc, n_bytes, n_removed, n_spans, kept bytes) from documents with their marked runs of starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sizes, removed, spans, kept = batch.column(0), [], [], [], []
-            for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                raw = text.encode() if text else b""
-                pieces, last, gone, many = [], 0, 0, 0
-                end = -1
-                for m in sorted((m["start"], m["start"] + m["count"] - 1 + depth) for m in found or []):
-                    if m[0] > end:
-                        if end >= 0:
-                            last = end
-                        pieces.append(raw[last : m[0]])
-                        many += 1
-                        gone += m[1] - m[0]
-                        end = m[1]
-                    elif m[1] > end:
-                        gone += m[1] - end
-                        end = m[1]
-                pieces.append(raw[max(end, 0) :])
-                sizes.append(len(raw))
-                removed.append(gone)
-                spans.append(many)
-                kept.append(b"".join(pieces))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())], ["doc", "n_bytes", "n_removed", "n_spans", "kept"])
+            rows = [(t.encode() if t else b"", spans_of(m, depth)) for t, m in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            columns = [[len(raw) for raw, _ in rows], [sum(e - b for b, e in s) for _, s in rows], [len(s) for _, s in rows]]
+            kept = [without(raw, s) for raw, s in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in columns], pa.array(kept, pa.binary())], ["doc", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return run
 
@@ -318,11 +328,13 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool
     return rows.select("doc", (F.lit(0).cast("bigint") if plain else F.coalesce(F.xxhash64("text"), F.lit(1))).alias("hash"), "text"), plain
 
 
-def dedup(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, chunk: int = CHUNK, block: int = BLOCK, hot_runs: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_bytes, n_removed, n_spans and kept (binary) of every row."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    rows, unique = _keyed(docs, id_col, text_col)
+def null_safe(a: DataFrame, b: DataFrame) -> Column:
+    return a["doc"].eqNullSafe(b["doc"]) & (a["hash"] == b["hash"])
+
+
+def marks_of(rows: DataFrame, unique: bool, depth: int = DEPTH, gram: int = GRAM, chunk: int = CHUNK, block: int = BLOCK, hot_runs: int = HOT) -> DataFrame:
+    """(doc, hash, marks) of the documents (doc, hash, text) that lose something; marks are runs of passages that repeat."""
+    small_batches(rows.sparkSession)
     distinct = rows if unique else rows.dropDuplicates(["doc", "hash"])
     runs = distinct.mapInArrow(_runs(depth, gram, chunk), "part bigint, g bigint, doc bigint, hash bigint, pack bigint, kind tinyint")
     ordered = runs.repartition("part").sortWithinPartitions("g")
@@ -332,16 +344,51 @@ def dedup(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, chunk: int = CH
         hot = F.broadcast(hot)
     flagged = repeated.filter(F.col("kind") != MARKER).join(hot.withColumn("hot", F.lit(True)), "g", "left").select("doc", "hash", F.struct("pack", "g", F.coalesce("hot", F.lit(False)).alias("hot")).alias("run"))
     of_doc = flagged.groupBy("doc", "hash").agg(F.collect_list("run").alias("runs"))
-    null_safe = lambda a, b: a["doc"].eqNullSafe(b["doc"]) & (a["hash"] == b["hash"])
     cut = distinct.join(of_doc, null_safe(distinct, of_doc)).select(distinct["doc"], distinct["hash"], distinct["text"], of_doc["runs"])
     pieces = checkpointed(cut.mapInArrow(_pieces(depth, chunk), "key bigint, doc bigint, hash bigint, start bigint, count bigint, offset bigint, body binary"))
     known = pieces.filter("body is null").select("doc", "hash", "start", "count")
     ordered = pieces.filter("body is not null").repartition("key").sortWithinPartitions("key")
     found = ordered.mapInArrow(_sorted_marks(depth, block), "doc bigint, hash bigint, start bigint, count bigint")
-    marks = known.union(found).groupBy("doc", "hash").agg(F.collect_list(F.struct("start", "count")).alias("marks"))
+    return known.union(found).groupBy("doc", "hash").agg(F.collect_list(F.struct("start", "count")).alias("marks"))
+
+
+def dedup(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """id, n_bytes, n_removed, n_spans and kept (binary) of every row."""
+    rows, unique = _keyed(docs, id_col, text_col)
+    marks = marks_of(rows, unique, depth, **options)
     joined = rows.join(marks, null_safe(rows, marks), "left").select(rows["doc"], rows["text"], marks["marks"])
     return joined.mapInArrow(_cut(depth), "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary").withColumnRenamed("doc", id_col)
 
 
+def cut_texts(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = "n_chars", **options) -> DataFrame:
+    """``docs`` with the marked passages cut out of the texts, and ``count_col``, if there, counted again.
+
+    A cut goes only through whole characters: one whose bytes are not all removed stays as it is.
+    """
+    rows, unique = _keyed(docs, id_col, text_col)
+    marks = marks_of(rows, unique, depth, **options).select(F.col("doc").alias("__doc"), F.col("hash").alias("__hash"), "marks")
+    same = docs[id_col].cast("bigint").eqNullSafe(marks["__doc"])
+    joined = docs.join(marks, same if unique else same & (F.coalesce(F.xxhash64(docs[text_col].cast("string")), F.lit(1)) == marks["__hash"]), "left")
+    names = docs.columns
+    at = names.index(text_col)
+    picked = joined.select(*[docs[c] for c in names], marks["marks"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text, found in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
+                if text and found:
+                    raw = text.encode()
+                    spans = [whole_characters(raw, b, e) for b, e in spans_of(found, depth)]
+                    text = without(raw, [(b, e) for b, e in spans if e > b]).decode()
+                texts.append(text)
+            columns = list(batch.columns)[:-1]
+            columns[at] = pa.array(texts, batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    out = picked.mapInArrow(run, docs.schema)
+    return out.withColumn(count_col, F.length(text_col).cast(docs.schema[count_col].dataType)) if count_col in names else out
+
+
 def digests(deduped: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return deduped.select(id_col, "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
