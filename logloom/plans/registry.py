@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from logloom.plans.queries import ORACLE, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
+FLAGSHIP = "weekly_active_signals"
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-FLAGSHIP = "c1_layer1_rules"
+__all__ = ["FLAGSHIP", "ORACLE", "QUERIES"]
