@@ -307,9 +307,9 @@ def w9_group_advantage(s: SparkSession, d: str) -> DataFrame:
 
 
 @query("w11_length_weighted", """
-SELECT l_orderkey, l_linenumber, round(l_discount - sum(l_quantity * l_discount) OVER w / sum(l_quantity) OVER w, 10) AS opo FROM lineitem WINDOW w AS (PARTITION BY l_orderkey)""")
+SELECT l_orderkey, l_linenumber, round(l_discount - sum(l_quantity * l_discount) OVER w / sum(l_quantity) OVER w, 10) + 0.0 AS opo FROM lineitem WINDOW w AS (PARTITION BY l_orderkey)""")
 def w11_length_weighted(s: SparkSession, d: str) -> DataFrame:
-    return windows.length_weighted(read(s, d, "lineitem"), "l_orderkey", "l_discount", "l_quantity").select("l_orderkey", "l_linenumber", F.round("opo", 10).alias("opo"))
+    return windows.length_weighted(read(s, d, "lineitem"), "l_orderkey", "l_discount", "l_quantity").select("l_orderkey", "l_linenumber", (F.round("opo", 10) + 0.0).alias("opo"))
 
 
 @query("w12_best_margin", """
