@@ -7,14 +7,13 @@ benchmark passages go (and with them documents of which more than half is such),
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.llm import bpe, decontaminate, simhash, suffix_dedup, toxicity
+from logloom.llm.common import shared_folder
 from logloom.llm.queries import table, tokenizer
 
 
@@ -52,8 +51,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; every stage's rows are written to the shared folder and read again."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "logloom-checkpoints")
-    top = f"{base}/pipeline-{uuid.uuid4().hex}"
+    top = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         path = f"{top}/{k}-{name}"

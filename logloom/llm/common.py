@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,18 +22,33 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``; a temporary one only where that is unset, as in tests."""
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "logloom-checkpoints")
 
-    Only where that setting is absent (a local test) a temporary folder takes its place.
-    """
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a small table with a reliable checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = context.getConf().get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), "logloom-checkpoints"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a large table by writing it, compressed, to the shared folder and reading it again.
+
+    Nothing needs the shuffles behind it any more; a collection on the driver lets Spark remove their files at once
+    instead of some time later.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ascii_lower(column: Column) -> Column:
     """A-Z lower-cased, every other character left alone."""
     return F.translate(column, UPPER, LOWER)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import checkpointed, small_batches
+from logloom.llm.common import small_batches, written
 from logloom.llm.suffix_order import PERIOD, equal_neighbours, suffix_order
 
 DEPTH, GRAM = 100, 32
@@ -338,14 +338,14 @@ def marks_of(rows: DataFrame, unique: bool, depth: int = DEPTH, gram: int = GRAM
     distinct = rows if unique else rows.dropDuplicates(["doc", "hash"])
     runs = distinct.mapInArrow(_runs(depth, gram, chunk), "part bigint, g bigint, doc bigint, hash bigint, pack bigint, kind tinyint")
     ordered = runs.repartition("part").sortWithinPartitions("g")
-    repeated = checkpointed(ordered.mapInArrow(_repeated(hot_runs), "g bigint, doc bigint, hash bigint, pack bigint, kind tinyint"))
+    repeated = written(ordered.mapInArrow(_repeated(hot_runs), "g bigint, doc bigint, hash bigint, pack bigint, kind tinyint"))
     hot = repeated.filter(F.col("kind") == MARKER).select("g").distinct()
     if hot.count() <= 500_000:  # one number a row
         hot = F.broadcast(hot)
     flagged = repeated.filter(F.col("kind") != MARKER).join(hot.withColumn("hot", F.lit(True)), "g", "left").select("doc", "hash", F.struct("pack", "g", F.coalesce("hot", F.lit(False)).alias("hot")).alias("run"))
     of_doc = flagged.groupBy("doc", "hash").agg(F.collect_list("run").alias("runs"))
     cut = distinct.join(of_doc, null_safe(distinct, of_doc)).select(distinct["doc"], distinct["hash"], distinct["text"], of_doc["runs"])
-    pieces = checkpointed(cut.mapInArrow(_pieces(depth, chunk), "key bigint, doc bigint, hash bigint, start bigint, count bigint, offset bigint, body binary"))
+    pieces = written(cut.mapInArrow(_pieces(depth, chunk), "key bigint, doc bigint, hash bigint, start bigint, count bigint, offset bigint, body binary"))
     known = pieces.filter("body is null").select("doc", "hash", "start", "count")
     ordered = pieces.filter("body is not null").repartition("key").sortWithinPartitions("key")
     found = ordered.mapInArrow(_sorted_marks(depth, block), "doc bigint, hash bigint, start bigint, count bigint")
