@@ -7,6 +7,7 @@ import hashlib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logloom.functions.text import collapse_space, fold
 
@@ -45,7 +46,7 @@ def actions_uid(actions: Column) -> Column:
     return F.sha2(F.array_join(F.array_sort(actions), "\n"), 256)
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def fnv_bucket(texts: pd.Series) -> pd.Series:
     """FNV-1a over UTF-16 code units, modulo 16; null counts as empty."""
 
@@ -59,7 +60,7 @@ def fnv_bucket(texts: pd.Series) -> pd.Series:
     return texts.map(one)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def blake_order(texts: pd.Series) -> pd.Series:
     """Eight-byte BLAKE2b digest, in hexadecimal."""
     return texts.map(lambda t: hashlib.blake2b((t or "").encode(), digest_size=8).hexdigest())

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Scripts written without spaces: kana, Han, Thai, Lao, Khmer, Myanmar.
 UNSPACED = r"[\x{3040}-\x{30ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{0e00}-\x{0eff}\x{1780}-\x{17ff}\x{1000}-\x{109f}]"
@@ -93,7 +94,7 @@ def last_number(x: Column) -> Column:
     return F.replace(F.try_element_at(F.regexp_extract_all(x, F.lit(r"(-?[0-9][0-9,]*(?:\.[0-9]+)?)"), F.lit(1)), F.lit(-1)), F.lit(","), F.lit(""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def last_boxed(texts: pd.Series) -> pd.Series:
     """Content of the last ``\\boxed{...}``, braces balanced; null where there is none or it does not close."""
 
@@ -111,7 +112,7 @@ def last_boxed(texts: pd.Series) -> pd.Series:
     return texts.map(one)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def accent_fold(texts: pd.Series) -> pd.Series:
     """Letters without their accents, punctuation as a space."""
 
@@ -124,7 +125,7 @@ def accent_fold(texts: pd.Series) -> pd.Series:
     return texts.map(one)
 
 
-@F.pandas_udf("map<string,int>")
+@F.pandas_udf(T.MapType(T.StringType(), T.IntegerType()))
 def script_words(texts: pd.Series) -> pd.Series:
     """Words by the writing system of their first letter."""
 
