@@ -138,8 +138,13 @@ def automata(items: DataFrame, window: int, block_words: int, id_col: str, text_
     return rows.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int")).groupBy("block").applyInPandas(build, "block int, automaton binary")
 
 
-def scan(docs: DataFrame, items: DataFrame, window: int = 10, block_words: int = 200_000, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """id, ``keep`` columns, text, n_words, spans (word begin and end), items (sorted ids), longest match.
+def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """id, text, n_words, spans (word begin and end), items (sorted ids) and longest match of every row of ``docs``."""
+    return found_in(docs, items, id_col=id_col, **options).withColumnRenamed("id", id_col)
+
+
+def found_in(docs: DataFrame, items: DataFrame, window: int = 10, block_words: int = 200_000, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """As ``scan``, with the ``keep`` columns under the names k0, k1 and so on, so that they clash with none.
 
     Automata are built on the executors; one block at a time, of bounded size, is sent to all tasks. With one block (any
     benchmark of up to ``block_words`` words) documents are read once and nothing is shuffled; with more, each block
@@ -156,9 +161,7 @@ def scan(docs: DataFrame, items: DataFrame, window: int = 10, block_words: int =
         row = built.filter(F.col("block") == block).first() if block is not None else None
         shared = spark.sparkContext.broadcast(bytes(row["automaton"]) if row else pickle.dumps(Automaton([], window)))
         df = df.mapInArrow(_scanner(shared, len(keep)), schema)
-    for i, c in enumerate(keep):
-        df = df.withColumnRenamed(f"k{i}", c)
-    return df.withColumnRenamed("id", id_col)
+    return df
 
 
 def _scanner(shared, n_keep: int):  # noqa: ANN001, ANN202
@@ -220,22 +223,21 @@ def remove(docs: DataFrame, items: DataFrame, window: int = 10, max_coverage: fl
     """``docs`` with hit spans cut from the texts; a document of which more than ``max_coverage`` of the words is hit goes."""
     names = docs.columns
     others = tuple(c for c in names if c not in (id_col, text_col))
-    scanned = scan(docs, items, window=window, id_col=id_col, text_col=text_col, keep=others, **options)
+    scanned = found_in(docs, items, window=window, id_col=id_col, text_col=text_col, keep=others, **options)
     hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + (s["end"] - s["begin"]))
     left = scanned.filter((F.size("spans") == 0) | (hit <= max_coverage * F.col("n_words")))
+    held = {id_col: "id", text_col: "text"} | {c: f"k{i}" for i, c in enumerate(others)}
+    picked = left.select("spans", *[held[c] for c in names])
+    at = 1 + names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = batch.column(batch.schema.names.index("spans")).to_pylist()
-            at = batch.schema.names.index("text")
-            texts = [cut(t, [(s["begin"], s["end"]) for s in found]) if found else t for t, found in zip(batch.column(at).to_pylist(), spans, strict=True)]
+            texts = [cut(t, [(s["begin"], s["end"]) for s in found]) if found else t for t, found in zip(batch.column(at).to_pylist(), batch.column(0).to_pylist(), strict=True)]
             columns = list(batch.columns)
             columns[at] = pa.array(texts, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns[:-1], names=batch.schema.names[:-1])
+            yield pa.RecordBatch.from_arrays(columns[1:], names=batch.schema.names[1:])
 
-    picked = left.select(*[F.col("text") if c == text_col else F.col(c) for c in names], "spans")
-    out = picked.mapInArrow(run, picked.drop("spans").schema)
-    return out.withColumnRenamed("text", text_col)
+    return picked.mapInArrow(run, picked.drop("spans").schema).toDF(*names)
 
 
 def digest(items: list[str]) -> str:
