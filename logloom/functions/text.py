@@ -139,3 +139,25 @@ def script_words(texts: pd.Series) -> pd.Series:
         return out
 
     return texts.map(one)
+
+
+def overlong_penalty(length: Column, limit: int, buffer: int, factor: float) -> Column:
+    """0 up to ``limit - buffer``, then falling in proportion to the excess."""
+    return F.least(-(length - (limit - buffer)) / F.lit(float(buffer)) * factor, F.lit(0.0))
+
+
+def score_answer(source: Column, answer: Column, truth: Column) -> Column:
+    """1 or 0 by the family of ``source``: last number, boxed expression, or normalised text."""
+    same = lambda a, b: F.coalesce((a == b).cast("double"), F.lit(0.0))
+    number = same(last_number(answer).cast("double"), last_number(truth).cast("double"))
+    return F.when(source == "number", number).when(source == "boxed", same(last_boxed(answer), truth)).when(source == "text", same(normalize_answer(answer), normalize_answer(truth)))
+
+
+def locale_language(x: Column, aliases: dict[str, str] | None = None) -> Column:
+    """Language of a locale such as ``zh-Hant-TW``: the first part, Chinese with its script; aliases come first."""
+    parts = F.split(F.lower(F.replace(x, F.lit("_"), F.lit("-"))), "-")
+    first = F.get(parts, F.lit(0))
+    for a, b in (aliases or {}).items():
+        first = F.when(first == a, b).otherwise(first)
+    traditional = F.arrays_overlap(parts, F.array(F.lit("hant"), F.lit("tw"), F.lit("hk"), F.lit("mo")))
+    return F.when(first == "zh", F.when(traditional, "zh-hant").otherwise("zh-hans")).otherwise(first)

@@ -94,3 +94,80 @@ def estimated_advantages(rewards: Column, values: Column, gamma: float, lam: flo
     nxt = F.concat(F.slice(values, 2, F.greatest(F.size(values) - 1, F.lit(0))), F.array(F.lit(0.0)))
     deltas = F.zip_with(F.zip_with(rewards, nxt, lambda r, v: r + F.lit(gamma) * v), values, lambda a, v: a - v)
     return reverse_returns(deltas, gamma * lam)
+
+
+def batch_scaled(df: DataFrame, group: str, reward: str) -> DataFrame:
+    """Reward less the group mean, times rows over rows with a non-zero reward of the whole batch."""
+    scale = df.agg((F.count("*") / F.greatest(F.count_if(F.col(reward) != 0), F.lit(1))).alias("s")).first()["s"] or 1.0
+    return df.withColumn("gpg", F.lit(float(scale)) * (F.col(reward) - F.avg(reward).over(Window.partitionBy(group))))
+
+
+def decoupled(df: DataFrame, group: str, rewards: Sequence[str], weights: Sequence[float], eps: float = 1e-6) -> DataFrame:
+    """Each signal is normalised in its group by itself, then the weighted sum is standardised over all rows."""
+    w = Window.partitionBy(group)
+    many = F.count("*").over(w) > 1
+    parts = [wt * (F.col(r) - F.when(many, F.avg(r).over(w)).otherwise(0.0)) / (F.when(many, F.stddev_samp(r).over(w)).otherwise(1.0) + eps) for r, wt in zip(rewards, weights, strict=True)]
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    rows = df.withColumn("__sum", total)
+    whole = rows.agg(F.avg("__sum").alias("m"), F.stddev_samp("__sum").alias("s")).first()
+    return rows.withColumn("gdpo", (F.col("__sum") - F.lit(whole["m"] or 0.0)) / (F.lit(whole["s"] or 1.0) + eps)).drop("__sum")
+
+
+def nested_draws(df: DataFrame, keys: Sequence[str], item: str, seed: int, sizes: Sequence[int]) -> DataFrame:
+    """Seeded draws of several sizes per key; a smaller draw is the beginning of a larger one."""
+    from logloom.functions.hashing import seeded
+
+    rows = ranked(df, keys, [seeded(seed, *[F.col(k) for k in keys], F.col(item)), F.col(item)], "__r")
+    sizes_of = F.array_compact(F.array(*[F.when(F.col("__r") <= n, F.lit(n)) for n in sizes]))
+    return rows.filter(F.col("__r") <= max(sizes)).withColumn("draw", F.explode(sizes_of)).drop("__r")
+
+
+def stratified(df: DataFrame, key: str, item: str, seed: int, k: int) -> DataFrame:
+    """A seeded sample of ``k`` rows of each category."""
+    from logloom.functions.hashing import seeded
+
+    return capped(df, [key], [seeded(seed, F.col(item)), F.col(item)], k)
+
+
+def rejection_mask(ratios: Column, low: float, high: float, most: float) -> Column:
+    """Tokens whose importance ratio is inside the bounds; none of a sequence whose largest ratio exceeds ``most``."""
+    whole = F.array_max(ratios) <= most
+    return F.transform(ratios, lambda r: whole & r.between(low, high))
+
+
+def clipped_weights(ratios: Column, limit: float) -> Column:
+    return F.transform(ratios, lambda r: F.least(r, F.lit(limit)))
+
+
+def stale(df: DataFrame, step: int, birth: str, threshold: int) -> DataFrame:
+    """Rows that are too old at ``step``."""
+    return df.filter(F.lit(step) - F.col(birth) + 1 > threshold)
+
+
+def oldest_groups(df: DataFrame, group: str, birth: str, n: int) -> DataFrame:
+    """All rows of the ``n`` groups that began first."""
+    first = df.groupBy(group).agg(F.min(birth).alias("__b")).orderBy("__b", group).limit(n)
+    return df.join(first.select(group), group, "left_semi")
+
+
+def weighted_draws(df: DataFrame, key: str, score: str, power: float, draws: int, seed: int) -> DataFrame:
+    """(draw, key): ``draws`` picks with replacement, in proportion to ``|score| ** power``; a pick is a range look-up."""
+    from logloom.functions.hashing import seeded
+    from logloom.sources.sinks import ordered_prefix
+
+    weight = F.pow(F.abs(F.col(score)), F.lit(power))
+    rows = ordered_prefix(df.select(key, weight.alias("__w")).filter(F.col("__w") > 0), [key], F.col("__w"))
+    total = rows.agg(F.sum("__w")).first()[0] or 0.0
+    picks = df.sparkSession.range(draws if total else 0).withColumnRenamed("id", "draw")
+    picks = picks.withColumn("__at", F.conv(F.substring(seeded(seed, F.col("draw")), 1, 12), 16, 10).cast("double") / float(16**12) * total)
+    steps = rows.select(F.col("prefix").alias("__at"), key, F.lit(None).cast("bigint").alias("draw")).union(picks.select("__at", F.lit(None).cast(df.schema[key].dataType).alias(key), "draw"))
+    cells = 64  # each cell of the line is filled by itself; the last row before a cell is carried in
+    steps = steps.withColumn("__cell", F.least(F.floor(F.col("__at") / (total or 1.0) * cells), F.lit(cells - 1)))
+    w = Window.partitionBy("__cell").orderBy("__at", F.col("draw").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    last = steps.filter(F.col(key).isNotNull()).groupBy("__cell").agg(F.max_by(key, "__at").alias("__last"))
+    grid = df.sparkSession.range(cells).select(F.col("id").alias("__cell")).join(last, "__cell", "left")
+    carried = grid.withColumn("__in", F.last("__last", ignorenulls=True).over(Window.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1))).select("__cell", "__in")
+    filled = steps.withColumn("__own", F.last(key, ignorenulls=True).over(w)).join(F.broadcast(carried), "__cell")
+    return filled.filter(F.col("draw").isNotNull()).select("draw", F.coalesce("__own", "__in").alias(key))

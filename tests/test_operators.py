@@ -197,3 +197,29 @@ def test_retrieval_and_stats(spark):
         stats.mean_signals(v, [], ["nope"])
     boot = stats.bootstrap_best(spark.createDataFrame([("p", 1.0), ("p", 0.0)], "p string, s double"), "p", "s", 2).first()
     assert boot["mean"] == 0.5 and boot["best"] == pytest.approx(0.75, abs=0.05)
+
+
+def test_more_group_statistics(spark):
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 0.0), ("b", 3, 3.0)], "g string, i int, r double")
+    assert {r["i"]: r["gpg"] for r in windows.batch_scaled(df, "g", "r").collect()} == {1: 0.75, 2: -0.75, 3: 0.0}
+    got = [r["gdpo"] for r in windows.decoupled(df, "g", ["r"], [1.0]).collect()]
+    assert sum(got) == pytest.approx(0, abs=1e-9)
+    many = spark.createDataFrame([(u, i) for u in "xy" for i in range(50)], "u string, i int")
+    draws = windows.nested_draws(many, ["u"], "i", 1, [5, 10]).collect()
+    small = {(r["u"], r["i"]) for r in draws if r["draw"] == 5}
+    large = {(r["u"], r["i"]) for r in draws if r["draw"] == 10}
+    assert len(small) == 10 and len(large) == 20 and small < large
+    assert windows.stratified(many, "u", "i", 3, 7).count() == 14
+    picks = windows.weighted_draws(spark.createDataFrame([(i, float(i)) for i in range(5)], "k int, s double"), "k", "s", 1.0, 2000, 1).groupBy("k").count().collect()
+    assert {r["k"]: r["count"] for r in picks} == pytest.approx({1: 200, 2: 400, 3: 600, 4: 800}, abs=80)
+    old = spark.createDataFrame([("a", 1), ("a", 9), ("b", 2), ("c", 3)], "g string, b int")
+    assert windows.oldest_groups(old, "g", "b", 2).count() == 3 and windows.stale(old, 10, "b", 8).count() == 2
+
+
+def test_answer_scores(spark):
+    rows = [("number", "it is 1,200", "1200"), ("boxed", r"\boxed{x^2}", "x^2"), ("text", "The Cat!", "cat"), ("number", "none", "3"), ("other", "a", "a")]
+    assert values(spark, rows, "s string, a string, t string", text.score_answer(F.col("s"), F.col("a"), F.col("t"))) == [(1.0,), (1.0,), (1.0,), (0.0,), (None,)]
+    assert values(spark, [("zh_TW",), ("zh-Hans-CN",), ("en-US",), ("iw",)], "x string", text.locale_language(F.col("x"), {"iw": "he"})) == [("zh-hant",), ("zh-hans",), ("en",), ("he",)]
+    assert values(spark, [(10,), (95,), (110,)], "n int", text.overlong_penalty(F.col("n"), 100, 20, 1.0)) == [(0.0,), (-0.75,), (-1.5,)]
+    mask = spark.createDataFrame([([1.0, 3.0],), ([1.0, 9.0],)], "r array<double>").select(windows.rejection_mask(F.col("r"), 0.5, 2.0, 5.0).alias("m")).collect()
+    assert [r["m"] for r in mask] == [[True, False], [False, False]]
