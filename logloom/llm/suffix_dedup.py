@@ -1,11 +1,12 @@
 """Suffix-array dedup: bytes that repeat an earlier passage of ``depth`` bytes are removed.
 
 1. Every passage of ``depth`` bytes has an anchor that its bytes alone decide: the ``GRAM`` bytes in it whose hash is
-   least. Neighbouring passages with one anchor are a run. Runs are reduced to (gram hash, place); within a chunk of
-   documents only one row a gram is sent out to be counted. Passages can repeat only where the gram does.
-2. Runs with a repeated gram are cut out of the texts, copies within a chunk are dropped (they repeat), and what is left
-   is dealt by gram to suffix buckets. Grams with more than ``HOT`` runs are dealt by the passage instead, so no bucket
-   grows with the number of places where a common line stands.
+   least. Neighbouring passages with one anchor are a run. Equal passages have equal anchors at equal offsets, so a run
+   can share passages only with runs of its gram. Runs of equal bytes (by two 64-bit hashes) are aggregated first, in
+   each chunk of documents and then by gram: all but the first repeat as a whole.
+2. Where runs of different bytes share a gram, the first of each is cut out of its text and dealt by gram to suffix
+   buckets. Grams with very many contents are dealt by more of the bytes that their passages have in common (quarters of
+   the offset, then whole passages), so no bucket grows with the number of places where a common line stands.
 3. A task sorts one block of buckets at a time (``suffix_order``): equal passages stand together, all but the first by
    (id, place) are marked.
 4. Marks go back to their documents.
@@ -30,10 +31,12 @@ from logloom.llm.common import small_batches, written
 from logloom.llm.suffix_order import PERIOD, equal_neighbours, suffix_order
 
 DEPTH, GRAM = 100, 32
-#: Bytes of a chunk and of a block of buckets; runs of a gram beyond which it is dealt by passage.
-CHUNK, BLOCK, HOT = 4 << 20, 4 << 20, 4096
+#: Bytes of a chunk and of a block of buckets.
+CHUNK, BLOCK = 4 << 20, 4 << 20
+#: Contents of a gram beyond which its runs are dealt by more of their bytes, and within a chunk beyond which they are spread.
+HEAVY_RUNS, LOCAL_HOT = 16384, 64
 BASE = 0x9E3779B97F4A7C15 | 1
-REPLY, KNOWN, MARKER = 0, 1, 2
+REPLY, MARK, CHECK, HEAVY, SPREAD = range(5)
 
 
 class Hashes:
@@ -123,46 +126,60 @@ def _chunk(keys: list, texts: list, extra: list):  # noqa: ANN202
     return [keys[i] for i in order], [extra[i] for i in order], np.fromiter(map(len, texts), np.int64, len(texts)), np.frombuffer(b"".join(texts), dtype=np.uint8)
 
 
-def _runs(depth: int, gram: int, chunk: int):  # noqa: ANN202
+def _runs(depth: int, gram: int, chunk: int, local_hot: int):  # noqa: ANN202
+    """Runs of a chunk: the first of each content asks for a reply, the others repeat it and are marked at once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, _, sizes, flat in chunks(batches, chunk):
             doc, start, count, anchor, g = anchors(flat, sizes, depth, gram)
             base = (np.cumsum(sizes) - sizes)[doc] if len(doc) else start
-            pack = ((start - base) << 16) | (count << 8) | (anchor - start)
-            _, first, back, times = np.unique(g, return_index=True, return_inverse=True, return_counts=True)
-            kind = np.where(times[back] > 1, KNOWN, REPLY)
+            offset = anchor - start
+            u = Hashes(flat).of(start, start + count - 1 + depth) ^ finish((offset * 256 + count).astype(np.uint64)) if len(doc) else g
+            pack = ((start - base) << 16) | (count << 8) | offset
+            order = np.lexsort((u, g))  # stable: the first of equal runs stays first
+            new_g = np.r_[True, g[order][1:] != g[order][:-1]][: len(g)]
+            new_u = new_g | np.r_[True, u[order][1:] != u[order][:-1]][: len(g)]
+            group = np.cumsum(new_g) - 1
+            contents = np.bincount(group, new_u, minlength=1).astype(np.int64)
+            kind = np.empty(len(g), dtype=np.int8)
+            kind[order] = np.where(~new_u, MARK, np.where(contents[group] > local_hot, SPREAD, REPLY)) if len(g) else 0
+            hot = np.flatnonzero(contents > local_hot)
+            firsts = order[np.flatnonzero(new_g)[hot]]
+            every = np.concatenate([np.arange(len(g)), firsts])
+            owner, kind = doc[every], np.concatenate([kind, np.full(len(hot), HEAVY, dtype=np.int8)])
             ids, null, hashes = columns_of(keys)
-            repeated = first[times > 1]
-            owner = np.concatenate([doc, doc[repeated]])
-            every = np.concatenate([np.arange(len(g)), repeated])
-            grams = g.view(np.int64)[every]
-            kind = np.concatenate([kind, np.full(len(repeated), MARKER)]).astype(np.int8)
-            spread = finish(pack[every].astype(np.uint64) ^ finish(ids[owner].astype(np.uint64) ^ hashes[owner].astype(np.uint64)))
-            part = np.where(kind == KNOWN, grams ^ spread.view(np.int64), grams)  # what needs no count is spread out
-            number = np.where(kind == MARKER, np.concatenate([pack, times[times > 1]]), pack[every])
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(grams), pa.array(ids[owner], mask=null[owner]), pa.array(hashes[owner]), pa.array(number), pa.array(kind)], ["part", "g", "doc", "hash", "pack", "kind"])
+            grams, whole = g.view(np.int64)[every], u.view(np.int64)[every]
+            number = np.concatenate([pack, contents[hot]])
+            by_content = grams ^ finish(u[every]).view(np.int64)
+            by_place = finish(number.astype(np.uint64) ^ finish(ids[owner].astype(np.uint64) ^ hashes[owner].astype(np.uint64))).view(np.int64)
+            part = np.where(kind == MARK, by_place, np.where(kind == SPREAD, by_content, grams))
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(grams), pa.array(whole), pa.array(ids[owner], mask=null[owner]), pa.array(hashes[owner]), pa.array(number), pa.array(kind)], ["part", "g", "u", "doc", "hash", "pack", "kind"])
 
     return run
 
 
-def _repeated(limit: int):  # noqa: ANN202
-    """Runs whose gram repeats, and a MARKER row for every gram with more than ``limit`` runs; rows come sorted by gram."""
+def _replies(limit: int):  # noqa: ANN202
+    """Marks of runs whose content stands earlier, first runs whose gram has other contents (CHECK), and a HEAVY row with
+    the number of contents of every gram with more than ``limit``. Rows come sorted by gram, content and place."""
+
+    def settle(rows: pa.Table) -> pa.RecordBatch:
+        g, u, pack, kind = (rows.column(c).to_numpy() for c in ("g", "u", "pack", "kind"))
+        asks = (kind == REPLY) | (kind == SPREAD)
+        group = np.cumsum(np.r_[True, g[1:] != g[:-1]]) - 1
+        at = np.flatnonzero(asks)
+        first = np.zeros(len(g), dtype=bool)
+        first[at] = np.r_[True, (g[at][1:] != g[at][:-1]) | (u[at][1:] != u[at][:-1])][: len(at)]
+        contents = np.bincount(group, first & (kind == REPLY)).astype(np.int64) + np.bincount(group, np.where(kind == HEAVY, pack, 0)).astype(np.int64)
+        state = np.where(asks & ~first, MARK, np.where(first & ((contents[group] > 1) | (kind == SPREAD)), CHECK, np.where(kind == MARK, MARK, 0)))
+        keep = np.flatnonzero(state > 0)
+        heavy = np.flatnonzero(np.r_[True, g[1:] != g[:-1]] & (contents[group] > limit))
+        out = rows.take(pa.array(keep)).select(["g", "doc", "hash", "pack"]).append_column("kind", pa.array(state[keep].astype(np.int8)))
+        notes = pa.table({"g": g[heavy], "doc": pa.nulls(len(heavy), pa.int64()), "hash": np.zeros(len(heavy), np.int64), "pack": contents[group[heavy]], "kind": np.full(len(heavy), HEAVY, np.int8)})
+        merged = pa.concat_tables([out, notes]).combine_chunks()
+        return merged.to_batches()[0] if len(merged) else pa.RecordBatch.from_pylist([], schema=merged.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-
-        def settle(rows: pa.Table) -> pa.RecordBatch:
-            g, pack, kind = (rows.column(c).to_numpy() for c in ("g", "pack", "kind"))
-            group = np.cumsum(np.r_[True, g[1:] != g[:-1]]) - 1
-            times = np.bincount(group, np.where(kind == MARKER, pack, (kind == REPLY).astype(np.int64))).astype(np.int64)
-            new = np.r_[True, g[1:] != g[:-1]]
-            keep = (kind == KNOWN) | ((kind == REPLY) & (times[group] > 1))
-            out = rows.filter(pa.array(keep)).select(["g", "doc", "hash", "pack", "kind"])
-            hot = np.flatnonzero(new & (times[group] > limit))
-            marks = pa.table({"g": g[hot], "doc": pa.nulls(len(hot), pa.int64()), "hash": np.zeros(len(hot), np.int64), "pack": times[group[hot]], "kind": np.full(len(hot), MARKER, np.int8)})
-            merged = pa.concat_tables([out, marks]).combine_chunks()
-            return merged.to_batches()[0] if len(merged) else pa.RecordBatch.from_pylist([], schema=merged.schema)
-
         waiting = 0
         for batch in batches:
             if not batch.num_rows:
@@ -183,8 +200,8 @@ def _repeated(limit: int):  # noqa: ANN202
     return run
 
 
-def _pieces(depth: int, chunk: int):  # noqa: ANN202
-    """Documents with their repeated runs (packed numbers, gram hashes, hot flags) to pieces for the buckets, and to the
+def _pieces(depth: int, gram: int, chunk: int):  # noqa: ANN202
+    """Documents with their repeated runs (packed numbers, gram hashes, levels) to pieces for the buckets, and to the
     marks that a chunk already knows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,22 +209,33 @@ def _pieces(depth: int, chunk: int):  # noqa: ANN202
             base = np.cumsum(sizes) - sizes
             doc = np.repeat(np.arange(len(keys)), [len(x[0]) for x in extra])
             packs = np.array([r["pack"] for x in extra for r in x[0]], dtype=np.int64)
-            hot = np.array([r["hot"] for x in extra for r in x[0]], dtype=bool)
+            level = np.array([r["level"] for x in extra for r in x[0]], dtype=np.int64)
             g = np.array([r["g"] for x in extra for r in x[0]], dtype=np.int64)
             if not len(doc):
                 continue
             order = np.lexsort((packs, doc))
-            doc, packs, hot, g = doc[order], packs[order], hot[order], g[order]
+            doc, packs, level, g = doc[order], packs[order], level[order], g[order]
             start, count, offset = base[doc] + (packs >> 16), (packs >> 8) & 255, packs & 255
-            many = np.where(hot, count, 1)  # hot runs: a piece for each passage
+            # level 0: the run; 1: cut where the offset of the anchor enters another quarter; 2: each passage
+            width = np.array([depth, -(-(depth - gram + 1) // 4), 1])[level]
+            low = (offset - count + 1) // width
+            many = offset // width - low + 1
             step = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
             at = np.repeat(np.arange(len(doc)), many)
-            start, offset, count = start[at] + step, offset[at] - step, np.where(hot[at], 1, count[at])
-            doc, hot, g = doc[at], hot[at], g[at]
+            quarter = (offset // width)[at] - step
+            highest = np.minimum(offset[at], (quarter + 1) * width[at] - 1)
+            lowest = np.maximum((offset - count + 1)[at], quarter * width[at])
+            start, count, offset = start[at] + offset[at] - highest, highest - lowest + 1, highest
+            doc, level, g = doc[at], level[at], g[at]
             end = start + count - 1 + depth
-            h = Hashes(flat).of(start, end)
-            content = h ^ finish((offset * 256 + count).astype(np.uint64))
-            key = np.where(hot, finish(h).view(np.int64), g)
+            h = Hashes(flat)
+            content = h.of(start, end) ^ finish((offset * 256 + count).astype(np.uint64))
+            # what all passages of the piece's quarter have in common with the anchor
+            left = np.where(level == 1, quarter * width[at], 0)
+            right = np.where(level == 1, depth - gram - np.minimum((quarter + 1) * width[at] - 1, depth - gram), 0)
+            anchor = start + offset
+            core = h.of(anchor - left, anchor + gram + right) ^ finish(quarter.astype(np.uint64))
+            key = np.where(level == 2, finish(content).view(np.int64), np.where(level == 1, finish(core).view(np.int64), g))
             _, first = np.unique(content, return_index=True)
             raw = flat.tobytes()
             is_first = np.zeros(len(doc), dtype=bool)
@@ -332,24 +360,25 @@ def null_safe(a: DataFrame, b: DataFrame) -> Column:
     return a["doc"].eqNullSafe(b["doc"]) & (a["hash"] == b["hash"])
 
 
-def marks_of(rows: DataFrame, unique: bool, depth: int = DEPTH, gram: int = GRAM, chunk: int = CHUNK, block: int = BLOCK, hot_runs: int = HOT) -> DataFrame:
+def marks_of(rows: DataFrame, unique: bool, depth: int = DEPTH, gram: int = GRAM, chunk: int = CHUNK, block: int = BLOCK, heavy: int = HEAVY_RUNS, local_hot: int = LOCAL_HOT) -> DataFrame:
     """(doc, hash, marks) of the documents (doc, hash, text) that lose something; marks are runs of passages that repeat."""
     small_batches(rows.sparkSession)
     distinct = rows if unique else rows.dropDuplicates(["doc", "hash"])
-    runs = distinct.mapInArrow(_runs(depth, gram, chunk), "part bigint, g bigint, doc bigint, hash bigint, pack bigint, kind tinyint")
-    ordered = runs.repartition("part").sortWithinPartitions("g")
-    repeated = written(ordered.mapInArrow(_repeated(hot_runs), "g bigint, doc bigint, hash bigint, pack bigint, kind tinyint"))
-    hot = repeated.filter(F.col("kind") == MARKER).select("g").distinct()
-    if hot.count() <= 500_000:  # one number a row
-        hot = F.broadcast(hot)
-    flagged = repeated.filter(F.col("kind") != MARKER).join(hot.withColumn("hot", F.lit(True)), "g", "left").select("doc", "hash", F.struct("pack", "g", F.coalesce("hot", F.lit(False)).alias("hot")).alias("run"))
-    of_doc = flagged.groupBy("doc", "hash").agg(F.collect_list("run").alias("runs"))
+    runs = distinct.mapInArrow(_runs(depth, gram, chunk, local_hot), "part bigint, g bigint, u bigint, doc bigint, hash bigint, pack bigint, kind tinyint")
+    ordered = runs.repartition("part").sortWithinPartitions("g", "u", "doc", "hash", "pack")
+    replies = written(ordered.mapInArrow(_replies(heavy), "g bigint, doc bigint, hash bigint, pack bigint, kind tinyint"))
+    levels = replies.filter(F.col("kind") == HEAVY).groupBy("g").agg(F.max("pack").alias("n")).select("g", F.when(F.col("n") > 16 * heavy, 2).otherwise(1).alias("level"))
+    if levels.count() <= 500_000:  # two numbers a row
+        levels = F.broadcast(levels)
+    checked = replies.filter(F.col("kind") == CHECK).join(levels, "g", "left").select("doc", "hash", F.struct("pack", "g", F.coalesce("level", F.lit(0)).alias("level")).alias("run"))
+    of_doc = checked.groupBy("doc", "hash").agg(F.collect_list("run").alias("runs"))
     cut = distinct.join(of_doc, null_safe(distinct, of_doc)).select(distinct["doc"], distinct["hash"], distinct["text"], of_doc["runs"])
-    pieces = written(cut.mapInArrow(_pieces(depth, chunk), "key bigint, doc bigint, hash bigint, start bigint, count bigint, offset bigint, body binary"))
+    pieces = written(cut.mapInArrow(_pieces(depth, gram, chunk), "key bigint, doc bigint, hash bigint, start bigint, count bigint, offset bigint, body binary"))
     known = pieces.filter("body is null").select("doc", "hash", "start", "count")
+    whole = replies.filter(F.col("kind") == MARK).select("doc", "hash", F.shiftright("pack", 16).alias("start"), F.shiftright("pack", 8).bitwiseAND(F.lit(255).cast("bigint")).alias("count"))
     ordered = pieces.filter("body is not null").repartition("key").sortWithinPartitions("key")
     found = ordered.mapInArrow(_sorted_marks(depth, block), "doc bigint, hash bigint, start bigint, count bigint")
-    return known.union(found).groupBy("doc", "hash").agg(F.collect_list(F.struct("start", "count")).alias("marks"))
+    return whole.union(known).union(found).groupBy("doc", "hash").agg(F.collect_list(F.struct("start", "count")).alias("marks"))
 
 
 def dedup(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
