@@ -26,13 +26,13 @@ def bucketed(df: DataFrame, path: str, bucket: Column, buckets: int, order: Sequ
 
 
 def ordered_prefix(df: DataFrame, order: Sequence[str], size: Column, ranges: int = 64) -> DataFrame:
-    """``df`` with ``prefix``: the sum of ``size`` of all rows before it in ``order``.
+    """``df`` with ``prefix``: the sum of ``size`` of all rows before it in ``order``, whose first column is a number.
 
     Rows are dealt by ranges of the first order column, summed within a range and offset by the sums of the ranges
     before, which are as few as ``ranges``; no window runs over all rows in one task.
     """
     cuts = df.select(F.col(order[0]).alias("k")).agg(F.percentile_approx("k", [i / ranges for i in range(1, ranges)], 10_000).alias("c")) if ranges > 1 else None
-    rows = df.join(F.broadcast(cuts)) if cuts is not None else df.withColumn("c", F.array())
+    rows = df.withColumn("c", F.array(*map(F.lit, cuts.first()["c"] or []))) if cuts is not None and not df.isEmpty() else df.withColumn("c", F.array().cast("array<double>"))
     rows = rows.withColumn("__range", F.size(F.filter("c", lambda c: c <= F.col(order[0])))).drop("c").withColumn("__size", size)
     sums = rows.groupBy("__range").agg(F.sum("__size").alias("__n"))
     before = sums.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
