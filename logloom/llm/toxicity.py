@@ -52,23 +52,31 @@ def train(texts: list[str | None], labels: np.ndarray, dim: int = 6, epochs: int
     highest now, and from a random one of texts with label 0. Buckets that fewer than ``least`` texts hold stay 0.
     """
     empty = {"value": np.zeros(BUCKETS), "bias": float(np.log(max(prior, 1e-6) / (1 - prior)))}
-    cut = [words_of(t) for t in texts]
-    vocab = {w: i for i, w in enumerate(dict.fromkeys(w for words in cut for w in words))}
+    vocab: dict[bytes, int] = {}
+    ids = [np.array([vocab.setdefault(w, len(vocab)) for w in words_of(t)], dtype=np.int32) for t in texts]
     if not vocab:
         return empty
     rng = np.random.default_rng(7)
-    sizes = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
-    flat = np.fromiter((vocab[w] for words in cut for w in words), dtype=np.int64, count=int(sizes.sum()))
-    owner, bucket = hashed(list(vocab), SIZES, BUCKETS)
-    bucket = bucket[np.argsort(owner, kind="stable")]
-    many = np.bincount(owner, minlength=len(vocab))
+    sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+    flat = np.concatenate(ids)
+    words, grams, many = list(vocab), [], []
+    del vocab, ids
+    for start in range(0, len(words), 20_000):  # hashing a word takes far more room than its buckets
+        owner, found = hashed(words[start : start + 20_000], SIZES, BUCKETS)
+        grams.append(found[np.argsort(owner, kind="stable")].astype(np.int32))
+        many.append(np.bincount(owner, minlength=len(words[start : start + 20_000])))
+    bucket, many, n_words = np.concatenate(grams), np.concatenate(many), len(words)
+    del grams, words
     at = np.cumsum(many) - many
-    pairs = np.unique(np.repeat(np.arange(len(cut)), sizes) * len(vocab) + flat)
     docs_of = np.zeros(BUCKETS)
-    for start in range(0, len(pairs), 200_000):
-        text, word = np.divmod(pairs[start : start + 200_000], len(vocab))
-        found, _ = gather(at, many, bucket, word)
-        docs_of += np.bincount(np.unique(np.repeat(text, many[word]) * BUCKETS + found) % BUCKETS, minlength=BUCKETS)
+    ends = np.cumsum(sizes)
+    for start in range(0, len(sizes), 50):
+        upto = min(start + 50, len(sizes))
+        begin = int(ends[start] - sizes[start])
+        text = np.repeat(np.arange(upto - start), sizes[start:upto])
+        text, word = np.divmod(np.unique(text * n_words + flat[begin : int(ends[upto - 1])]), n_words)
+        found, per = gather(at, many, bucket, word)
+        docs_of += np.bincount(np.unique(np.repeat(text, per) * BUCKETS + found) % BUCKETS, minlength=BUCKETS)
     used = docs_of >= least
     text, begin, end = windows(sizes)
     first = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
