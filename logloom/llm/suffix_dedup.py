@@ -35,6 +35,8 @@ DEPTH, GRAM = 100, 32
 CHUNK, BLOCK = 4 << 20, 4 << 20
 #: Contents of a gram beyond which its runs are dealt by more of their bytes, and within a chunk beyond which they are spread.
 HEAVY_RUNS, LOCAL_HOT = 16384, 64
+#: Bits of a place in its chunk; the rest of a word holds the gram's hash, and equal hashes go to the earlier place.
+PLACE = np.uint64((1 << 32) - 1)
 BASE = 0x9E3779B97F4A7C15 | 1
 REPLY, MARK, CHECK, HEAVY, SPREAD = range(5)
 
@@ -75,7 +77,7 @@ def anchors(flat: np.ndarray, sizes: np.ndarray, depth: int, gram: int) -> tuple
         return none
     places = np.arange(n - gram + 1)
     grams = Hashes(flat).of(places, places + gram)
-    low = (grams & ~np.uint64((1 << 24) - 1)) | places.astype(np.uint64)
+    low = (grams & ~PLACE) | places.astype(np.uint64)
     covered = 1
     while covered * 2 <= width:
         low = np.minimum(low[:-covered], low[covered:])
@@ -88,7 +90,7 @@ def anchors(flat: np.ndarray, sizes: np.ndarray, depth: int, gram: int) -> tuple
     start = np.flatnonzero(valid)
     if not len(start):
         return none
-    anchor = (low[start] & np.uint64((1 << 24) - 1)).astype(np.int64)
+    anchor = (low[start] & PLACE).astype(np.int64)
     first = np.flatnonzero(np.r_[True, (np.diff(anchor) != 0) | (np.diff(start) != 1) | (np.diff(doc[start]) != 0)])
     count = np.diff(np.append(first, len(start)))
     return doc[start[first]], start[first], count, anchor[first], grams[anchor[first]]
