@@ -32,9 +32,9 @@ from logloom.llm.suffix_order import PERIOD, equal_neighbours, suffix_order
 
 DEPTH, GRAM = 100, 32
 #: Bytes of a chunk and of a block of buckets.
-CHUNK, BLOCK = 4 << 20, 4 << 20
+CHUNK, BLOCK = 1 << 20, 4 << 20
 #: Contents of a gram beyond which its runs are dealt by more of their bytes, and within a chunk beyond which they are spread.
-HEAVY_RUNS, LOCAL_HOT = 16384, 64
+HEAVY_RUNS, LOCAL_HOT = 16384, 16
 #: Bits of a place in its chunk; the rest of a word holds the gram's hash, and equal hashes go to the earlier place.
 PLACE = np.uint64((1 << 32) - 1)
 BASE = 0x9E3779B97F4A7C15 | 1
