@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import checkpointed, small_batches
+from logloom.llm.common import checkpointed, small_batches, written
 from logloom.llm.components import components
 
 SEED = 42
@@ -224,19 +224,25 @@ def cluster(docs: DataFrame, size: int = 4, bits: int = 4, id_col: str = "doc_id
 
 
 def shingle_sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, shingles): sorted distinct 32-bit hashes of the shingles, packed."""
+    """(id, fp, hi, lo, shingles): sorted distinct 32-bit hashes of the shingles, packed, and 128 bits of hash of them; narrow."""
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            fps, high, low, out = [], [], [], []
             for text in batch.column(1).to_pylist():
                 words = words_of(text)
                 cut = [b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))] if words else []
-                out.append(np.unique(np.fromiter((xxhash.xxh32_intdigest(c) for c in cut), dtype=np.uint32, count=len(cut))).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "shingles"])
+                packed = np.unique(np.fromiter((xxhash.xxh32_intdigest(c) for c in cut), dtype=np.uint32, count=len(cut))).tobytes()
+                fps.append(fingerprint(words, size))
+                high.append(xxhash.xxh64_intdigest(packed, 1))
+                low.append(xxhash.xxh64_intdigest(packed, 2))
+                out.append(packed)
+            longs = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (fps, high, low)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *longs, pa.array(out, pa.binary())], ["id", "fp", "hi", "lo", "shingles"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, shingles binary")
+    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, fp bigint, hi bigint, lo bigint, shingles binary")
 
 
 def _similar(least: float):  # noqa: ANN202
@@ -252,28 +258,148 @@ def _similar(least: float):  # noqa: ANN202
     return run
 
 
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (u, v) of vertices whose shingle sets have at least that Jaccard similarity."""
+    small_batches(pairs.sparkSession)
+    of_u, of_v = (sets.select(F.col("node").alias(x), F.col("shingles").alias(y)) for x, y in (("u", "a"), ("v", "b")))
+    return checkpointed(pairs.join(of_u, "u").join(of_v, "v").select("u", "v", "a", "b").mapInArrow(_similar(similarity), "u bigint, v bigint"))
+
+
+def frequent(sets: DataFrame, n: int, sample: int = 20_000, most: int = 100_000) -> np.ndarray:
+    """Shingles that are frequent in a sample, the rarest first. They only order the prefixes; no result depends on them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found, count = np.unique(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint32), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(count.astype(np.int64))], ["h", "c"])
+
+    part = sets.filter(F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1_000_000)) < math.ceil(1_000_000 * min(1.0, sample / max(n, 1))))
+    counted = part.select("shingles").mapInArrow(run, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")).filter("c > 2")
+    rows = counted.orderBy(F.desc("c"), "h").limit(most).collect()
+    return np.array([r["h"] for r in reversed(rows)], dtype=np.uint32)
+
+
+def prefixes(sets: DataFrame, similarity: float, last: np.ndarray) -> DataFrame:
+    """(key, node, component, n, place): of each set the shingles of which sets that similar must share one.
+
+    Sets of n and m shingles with a Jaccard similarity of t share t * max(n, m) at least. With all shingles in one order,
+    they then share one among the first n - ceil(t * n) + 1 of the one and the first m - ceil(t * m) + 1 of the other.
+    """
+    spark = sets.sparkSession
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(last)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(shared.value, kind="stable")
+        known = shared.value[order]
+        for batch in batches:
+            parts: list[list[np.ndarray]] = []
+            for k, packed in enumerate(batch.column(2).to_pylist()):
+                a = np.frombuffer(packed, np.uint32)
+                if not len(a):
+                    continue
+                rank = np.zeros(len(a), dtype=np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, a), len(known) - 1)
+                    rank = np.where(known[at] == a, order[at] + 1, 0)
+                upto = len(a) - math.ceil(similarity * len(a) - 1e-9) + 1
+                first = a[np.lexsort((a, rank))[:upto]]
+                parts.append([np.full(len(first), k), first.astype(np.int64), np.full(len(first), len(a)), np.arange(len(first))])
+            if parts:
+                k, key, n, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(key), batch.column(0).take(pa.array(k)), batch.column(1).take(pa.array(k)), pa.array(n), pa.array(place)], ["key", "node", "component", "n", "place"])
+
+    return sets.select("node", "component", "shingles").mapInArrow(run, "key bigint, node bigint, component bigint, n bigint, place bigint")
+
+
+def _sharing(similarity: float):  # noqa: ANN202
+    """Pairs of one key that lie in different components and can still be as similar, by their sizes and places."""
+
+    def pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        key, side, node, component, n, place = rows
+        ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
+        last = ends[np.searchsorted(ends, np.arange(len(key)), side="right")]
+        alive, step, waiting, found = np.arange(len(key)), 1, 0, []
+        while len(alive):
+            alive = alive[alive + step < last[alive]]
+            i, j = alive, alive + step
+            most = np.minimum(n[i] - place[i], n[j] - place[j])
+            hit = (component[i] != component[j]) & ((side[i] == 2) | (side[i] != side[j])) & ((1 + similarity) * most >= similarity * (n[i] + n[j]) - 1e-6)
+            i, j = node[i[hit]], node[j[hit]]
+            found.append(np.stack([np.minimum(i, j), np.maximum(i, j)]))
+            waiting += len(i)
+            step += 1
+            if waiting > 200_000 or not len(alive):
+                u, v = np.unique(np.concatenate(found, axis=1), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+                waiting, found = 0, []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        waiting = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(np.stack([batch.column(c).to_numpy() for c in range(6)]))
+            waiting += batch.num_rows
+            if waiting < 100_000:
+                continue
+            rows = np.concatenate(held, axis=1)
+            upto = int(np.searchsorted(rows[0], rows[0, -1], side="left"))  # the last key may go on
+            if upto:
+                yield from pairs(rows[:, :upto])
+            held, waiting = [rows[:, upto:]], rows.shape[1] - upto
+        if held:
+            yield from pairs(np.concatenate(held, axis=1))
+
+    return run
+
+
+def sharing(rows: DataFrame, similarity: float) -> DataFrame:
+    """(u, v): every pair of different components that can have that similarity; ``rows`` as ``prefixes`` gives them.
+
+    Keys of one component are left out by an aggregate; of the others, those with more than ``TILE`` rows are tiled.
+    """
+    spark = rows.sparkSession
+    keys = rows.groupBy("key").agg(F.count("*").alias("count"), F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b")
+    keys = checkpointed(keys.select("key", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")))
+    live = rows.join(F.broadcast(keys) if keys.count() <= 200_000 else keys, "key")
+    tile = F.pmod(F.xxhash64("node", F.lit(1)), F.col("tiles")).cast("int")
+    dealt = live.withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    low, high = F.least("tile", "other"), F.greatest("tile", "other")
+    side = F.when(low == high, 2).otherwise((F.col("tile") == high).cast("int")).cast("bigint")
+    dealt = dealt.select(F.xxhash64("key", low, high).alias("key"), side.alias("side"), "node", "component", "n", "place")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
+    dealt = dealt.repartition("key").sortWithinPartitions("key", "side", "node")
+    return checkpointed(dealt.mapInArrow(_sharing(similarity), "u bigint, v bigint").distinct())
+
+
+def named(sets: DataFrame, edges: DataFrame) -> DataFrame:
+    """``sets`` with their component, the smallest node that edges lead to."""
+    return sets.join(components(edges), "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
 def keep_one(docs: DataFrame, size: int = 5, bits: int = 8, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row (smallest id) of each near-duplicate component.
 
-    Links within ``bits`` count where the shingle sets of the two documents, the smallest id of each fingerprint, have
-    at least that Jaccard ``similarity``; equal fingerprints count as they are. Rows that share an id stay or go together,
-    but for repeated rows, of which one stays; rows without an id are not compared and stay.
+    Components are those of all pairs whose shingle sets have at least that Jaccard ``similarity``. Equal fingerprints
+    are one vertex, of which the smallest id is compared. Verified links between fingerprints within ``bits`` come first and gather most copies; then every pair of
+    sets of different components that can be as similar is verified, so the components do not depend on ``bits``. Rows that
+    share an id stay or go together, but for repeated rows, of which one stays; rows without an id are not compared and stay.
     """
-    small_batches(docs.sparkSession)
     known = docs.filter(docs[id_col].isNotNull())
-    held = checkpointed(fingerprints(known, size, id_col, text_col))
-    prints = checkpointed(held.groupBy("fp").agg(F.min(id_col).alias("least")))
-    edges = checkpointed(link(prints.select("fp"), bits))
-    small_batches(docs.sparkSession)
-    ends = edges.select(F.col("u").alias("fp")).union(edges.select(F.col("v").alias("fp"))).distinct()
-    wanted = prints.join(ends, "fp").withColumnRenamed("least", id_col)
-    texts = known.select(id_col, text_col).join(wanted.select(id_col), id_col, "left_semi")
-    sets = checkpointed(shingle_sets(texts, size, id_col, text_col).withColumnRenamed("id", id_col).join(wanted, id_col).groupBy("fp").agg(F.min("shingles").alias("shingles")))
-    pairs = edges.join(sets.select(F.col("fp").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("fp").alias("v"), F.col("shingles").alias("b")), "v").select("u", "v", "a", "b")
-    found = components(pairs.mapInArrow(_similar(similarity), "u bigint, v bigint"))
-    named = prints.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    stay = named.groupBy("component").agg(F.min("least").alias(id_col)).select(id_col)
+    found = shingle_sets(known, size, id_col, text_col).groupBy("fp").agg(F.min("id").alias("least"), F.min_by("shingles", "id").alias("shingles"))
+    sets = written(found.select(F.monotonically_increasing_id().alias("node"), "least", "fp", "shingles"))
+    prints = checkpointed(sets.groupBy("fp").agg(F.min("node").alias("head")))
+    near = link(prints.select("fp"), bits)
+    near = near.join(prints.select(F.col("fp").alias("u"), F.col("head").alias("x")), "u").join(prints.select(F.col("fp").alias("v"), F.col("head").alias("y")), "v").select(F.col("x").alias("u"), F.col("y").alias("v"))
+    near = near.union(sets.join(prints, "fp").filter("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v")))
+    edges = verified(checkpointed(near), sets, similarity)
+    rows = prefixes(named(sets.select("node", "shingles"), edges), similarity, frequent(sets, sets.count()))
+    edges = edges.union(verified(sharing(rows, similarity), sets, similarity))
+    stay = named(sets.select("node", "least"), edges).groupBy("component").agg(F.min("least").alias(id_col)).select(id_col).distinct()
     kept = known.join(stay, id_col, "left_semi")
-    if held.groupBy(id_col).count().filter("count > 1").limit(1).count():
+    if known.groupBy(id_col).count().filter("count > 1").limit(1).count():
         kept = kept.dropDuplicates([id_col, text_col])
     return kept.unionByName(docs.filter(docs[id_col].isNull()))

@@ -230,6 +230,33 @@ def test_near_copies_go_and_others_stay(spark, texts):
     assert {i for i in ids if i < 100} == {r[2] for r in brute_clusters(rows[:20], 5, 0)} and len([i for i in ids if 100 <= i < 200]) <= 2 and 200 in ids and 201 not in ids
 
 
+def brute_near_copies(rows, size=5, similarity=0.8):
+    """The smallest id of each component of all pairs with that Jaccard similarity."""
+    sets = [{tuple(w[j : j + size]) for j in range(max(1, len(w) - size + 1))} for w in (t.split() for _, t in rows)]
+    forest = simhash.Forest(len(rows))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= similarity * len(a | sets[j]):
+                forest.links(np.array([i]), np.array([j]))
+    return sorted({min(rows[j][0] for j in range(len(rows)) if forest.root(j) == forest.root(i)) for i in range(len(rows))})
+
+
+def with_filler(filler, count=40):
+    """Prose of its own, a run of one word, and a copy of each with another word in it."""
+    r = random.Random(8)
+    rows = []
+    for i in range(count):
+        prose = [f"w{r.randrange(10**6)}" for _ in range(70)]
+        rows += [(i, " ".join(prose + ["x"] * filler)), (1000 + i, " ".join(prose[:30] + ["other"] + prose[31:] + ["x"] * filler))]
+    return rows
+
+
+def test_a_refused_link_takes_no_other_pair_with_it(spark):
+    rows = with_filler(16)
+    kept = simhash.keep_one(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(r["doc_id"] for r in kept.collect()) == brute_near_copies(rows) == list(range(40))
+
+
 # 7
 
 
