@@ -383,13 +383,13 @@ def named(sets: DataFrame, edges: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, size: int = 5, bits: int = 8, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row (smallest id) of each near-duplicate component.
 
-    Components are those of all pairs whose shingle sets have at least that Jaccard ``similarity``. Equal fingerprints
-    are one vertex, of which the smallest id is compared. Verified links between fingerprints within ``bits`` come first and gather most copies; then every pair of
+    Components are those of all pairs whose shingle sets have at least that Jaccard ``similarity``. Equal sets are one
+    vertex. Verified links between fingerprints within ``bits`` come first and gather most copies; then every pair of
     sets of different components that can be as similar is verified, so the components do not depend on ``bits``. Rows that
     share an id stay or go together, but for repeated rows, of which one stays; rows without an id are not compared and stay.
     """
     known = docs.filter(docs[id_col].isNotNull())
-    found = shingle_sets(known, size, id_col, text_col).groupBy("fp").agg(F.min("id").alias("least"), F.min_by("shingles", "id").alias("shingles"))
+    found = shingle_sets(known, size, id_col, text_col).groupBy("hi", "lo").agg(F.min("id").alias("least"), F.min("fp").alias("fp"), F.first("shingles").alias("shingles"))
     sets = written(found.select(F.monotonically_increasing_id().alias("node"), "least", "fp", "shingles"))
     prints = checkpointed(sets.groupBy("fp").agg(F.min("node").alias("head")))
     near = link(prints.select("fp"), bits)

@@ -257,6 +257,13 @@ def test_a_refused_link_takes_no_other_pair_with_it(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == brute_near_copies(rows) == list(range(40))
 
 
+def test_equal_fingerprints_of_other_texts_stay(spark):
+    rows = with_filler(200)
+    assert len({simhash.fingerprint(simhash.words_of(t), 5) for _, t in rows}) == 1
+    kept = simhash.keep_one(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(r["doc_id"] for r in kept.collect()) == brute_near_copies(rows) == list(range(40))
+
+
 # 7
 
 
