@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logloom.llm.common import small_batches
+from logloom.llm.common import small_batches, written
 from logloom.llm.subwords import PART, mixed
 
 SIZES = (1, 2, 3)
@@ -50,28 +50,16 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=-1, keepdims=True), 1e-12)
 
 
-def train(texts: list[str], langs: list[str], clusters: int = 3, rounds: int = 8, reject_share: float = 0.005) -> dict:
-    """Inverse document frequencies, centroids, their languages and their least cosines."""
-    if not texts:
-        return {"idf": np.ones(BUCKETS), "centroids": np.zeros((0, BUCKETS)), "langs": [], "least": np.zeros(0)}
-    tf = np.concatenate([counts(texts[i : i + ROWS]).astype(np.float32) for i in range(0, len(texts), ROWS)])
-    idf = np.log((1 + len(texts)) / (1 + (tf > 0).sum(axis=0))) + 0.1
-    rows = unit(tf * idf.astype(np.float32))
-    rng = np.random.default_rng(11)
-    centroids, names, least = [], [], []
-    for lang in sorted(set(langs)):
-        own = rows[[x == lang for x in langs]]
-        centres = own[rng.permutation(len(own))[:clusters]]
-        for _ in range(rounds):
-            near = (own @ centres.T).argmax(axis=1)
-            centres = unit(np.stack([own[near == c].mean(axis=0) if (near == c).any() else centres[c] for c in range(len(centres))]))
-        best = own @ centres.T
-        near = best.argmax(axis=1)
-        for c in range(len(centres)):
-            centroids.append(centres[c])
-            names.append(lang)
-            least.append(float(np.quantile(best[near == c, c], reject_share)) if (near == c).any() else 1.0)
-    return {"idf": idf, "centroids": np.stack(centroids).astype(np.float32), "langs": names, "least": np.array(least)}
+def clustered(rows: np.ndarray, clusters: int = 3, rounds: int = 8, reject_share: float = 0.005) -> tuple[np.ndarray, np.ndarray]:
+    """Centroids of one language's vectors and their least cosines."""
+    centres = rows[np.random.default_rng(11).permutation(len(rows))[:clusters]]
+    for _ in range(rounds):
+        near = (rows @ centres.T).argmax(axis=1)
+        centres = unit(np.stack([rows[near == c].mean(axis=0) if (near == c).any() else centres[c] for c in range(len(centres))]))
+    best = rows @ centres.T
+    near = best.argmax(axis=1)
+    least = [float(np.quantile(best[near == c, c], reject_share)) if (near == c).any() else 1.0 for c in range(len(centres))]
+    return centres.astype(np.float32), np.array(least)
 
 
 def predict(texts: list[str | None], model: dict) -> tuple[list[str], list[float], list[bool]]:
@@ -87,29 +75,49 @@ def predict(texts: list[str | None], model: dict) -> tuple[list[str], list[float
 
 
 def fit(docs: DataFrame, per_lang: int = 600, clusters: int = 3, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> bytes:
-    """A model from at most ``per_lang`` texts of each of the 64 most frequent languages, chosen by a hash of their id."""
-    small_batches(docs.sparkSession)
+    """A model from at most ``per_lang`` texts of every language, chosen by a hash of their id; a task trains a language.
+
+    Only the inverse document frequencies and the centroids, ``clusters`` a language, come to the driver.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
     ids = docs.select(docs[id_col].alias("id"), docs[lang_col].cast("string").alias("lang")).filter("id is not null and lang is not null")
-    common = F.broadcast(ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(64))
     # rows with a small enough hash are a few times as many as wanted, however frequent a language is
     share = (F.xxhash64("id").cast("double") + 2.0**63) / 2.0**64
-    low = ids.join(common, "lang").filter(share * F.col("count") <= 1.5 * per_lang + 50)
+    low = ids.join(ids.groupBy("lang").count(), "lang").filter(share * F.col("count") <= 1.5 * per_lang + 50)
     ranked = low.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")))
     chosen = ranked.filter(F.col("rank") <= per_lang).select("id", "lang").distinct()
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).filter("text is not null")
-    rows = texts.join(F.broadcast(chosen), "id").repartition(1).sortWithinPartitions("id", "lang")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        texts, langs = [], []
+    def lettered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([any(map(str.isalpha, t)) for t in b.column(1).to_pylist()], pa.bool_()))
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = written(texts.join(chosen, "id").select("id", "text", "lang").mapInArrow(lettered, f"id {kind}, text string, lang string"))
+
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(BUCKETS, dtype=np.int64)
         for b in batches:
-            for t, lang in zip(b["text"], b["lang"], strict=True):
-                if any(map(str.isalpha, t)):
-                    texts.append(t)
-                    langs.append(lang)
-        yield pd.DataFrame({"model": [pickle.dumps(train(texts, langs, clusters))]})
-
-    found = rows.mapInPandas(run, "model binary").collect()
-    return bytes(found[0]["model"]) if found else pickle.dumps(train([], []))
+            held = b.column(0).to_pylist()
+            for i in range(0, len(held), ROWS):
+                found += (counts(held[i : i + ROWS]) > 0).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(found)], ["bucket", "n"])
+
+    n, df = rows.count(), np.zeros(BUCKETS)
+    for r in rows.select("text").mapInArrow(frequencies, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        df[r["bucket"]] = r["n"]
+    idf = np.log((1 + n) / (1 + df)) + 0.1 if n else np.ones(BUCKETS)
+
+    def learn(own: pd.DataFrame) -> pd.DataFrame:
+        held = own.sort_values(["id", "text"])["text"].tolist()
+        tf = np.concatenate([counts(held[i : i + ROWS]).astype(np.float32) for i in range(0, len(held), ROWS)])
+        centres, least = clustered(unit(tf * idf.astype(np.float32)), clusters)
+        return pd.DataFrame({"lang": [own["lang"].iloc[0]] * len(least), "k": range(len(least)), "centroid": [c.tobytes() for c in centres], "least": least})
+
+    found = sorted(rows.groupBy("lang").applyInPandas(learn, "lang string, k int, centroid binary, least double").collect(), key=lambda r: (r["lang"], r["k"]))
+    centroids = np.stack([np.frombuffer(r["centroid"], np.float32) for r in found]) if found else np.zeros((0, BUCKETS), np.float32)
+    return pickle.dumps({"idf": idf, "centroids": centroids, "langs": [r["lang"] for r in found], "least": np.array([r["least"] for r in found])})
 
 
 def identify(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -126,6 +126,16 @@ def test_languages_of_the_held_out_fold(spark, sf):
     assert set(by_id(langid.identify(docs.limit(2), langid.fit(docs.limit(0))), "lang_pred").values()) == {("und",)}
 
 
+def test_a_language_beyond_the_64_most_frequent_is_learnt(spark):
+    r = random.Random(7)
+    word = lambda k: "".join(chr(0x4E00 + 40 * k + r.randrange(30)) for _ in range(4))
+    rows = [(100 * k + i, " ".join(word(k) for _ in range(30)), f"l{k:02}") for k in range(70) for i in range(8 if k < 64 else 6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = langid.identify(docs, langid.fit(docs)).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert {x["lang_pred"] for x in got} == {x[2] for x in rows}
+    assert np.mean([x["lang_pred"] == x["lang"] for x in got if x["lang"] >= "l64"]) > 0.9
+
+
 def test_subword_hashes_do_not_depend_on_neighbours():
     alone = {w: sorted(subwords.hashed([w], (3, 4, 5), 1 << 16)[1].tolist()) for w in (b"a", b"tea", "h\u00e9llo".encode())}
     owner, bucket = subwords.hashed(list(alone), (3, 4, 5), 1 << 16)
