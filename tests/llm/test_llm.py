@@ -274,6 +274,23 @@ def test_equal_fingerprints_of_other_texts_stay(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == brute_near_copies(rows) == list(range(40))
 
 
+@pytest.mark.parametrize("tile", [8, 2048])
+def test_near_copies_equal_brute_force_from_the_threshold_up(spark, monkeypatch, tile):
+    monkeypatch.setattr(simhash, "TILE", tile)
+    r = random.Random(9)
+    line, rows = [f"l{k}" for k in range(12)], []
+    for i in range(60):
+        prose = [f"w{r.randrange(10**6)}" for _ in range(r.randint(40, 90))] + line
+        for k in range(4):  # similarities on both sides of 0.8
+            words = list(prose)
+            for at in r.sample(range(len(prose)), k):
+                words[at] = f"n{i}.{k}.{at}"
+            rows.append((4 * i + k if i % 2 else 4 * i + 3 - k, " ".join(words)))
+    want = brute_near_copies(rows)
+    assert 60 < len(want) < 200
+    assert sorted(x["doc_id"] for x in simhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()) == want
+
+
 # 7
 
 
