@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import struct
 from collections.abc import Iterator
 
@@ -23,12 +24,12 @@ import regex
 from pyspark.sql import DataFrame
 
 from logloom.llm.common import small_batches
-from logloom.llm.merges import BITS, NEVER, Merges, PairTable, byte_symbols, load
+from logloom.llm.merges import LAST, Merges, PairTable, byte_symbols, load
 
 #: Words of at most this many bytes are merged by scans.
 SHORT = 128
-#: Words kept per Python worker before the cache starts anew.
-CACHE = 500_000
+#: Words in a generation of a Python worker's memory of words; one batch may bring more.
+CACHE = 400_000
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Fixed value: the word pattern of the byte-level pre-tokeniser.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N}]+|[" + SPACE + "]+(?![^" + SPACE + "])|[" + SPACE + "]+"
@@ -41,30 +42,30 @@ def merge_short(ids: np.ndarray, table: PairTable) -> np.ndarray:
     that boundary, and looks up the ranks of the two pairs beside it again.
     """
     n, width = ids.shape
-    out = np.full((n, width), -1, dtype=np.int64)
+    out = np.full((n, width), -1, dtype=np.int32)
     rows = np.arange(n)
-    ranks = np.full((n, width), NEVER, dtype=np.int64)  # the last column stays empty
-    ranks[:, :-1] = table.look_up(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(n, width - 1)
-    columns = np.arange(width)
+    ranks = np.full((n, width), LAST, dtype=np.int32)  # the last column stays empty
+    ranks[:, :-1] = table.rank_of(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(n, width - 1)
     while len(rows):
         at = ranks.argmin(axis=1)
-        low = ranks[np.arange(len(rows)), at]
-        going = low < NEVER
+        each = np.arange(len(rows))
+        low = ranks[each, at]
+        going = low < LAST
         if not going.all():
-            out[rows[~going]] = ids[~going]
+            out[rows[~going], : ids.shape[1]] = ids[~going]
             rows, ids, ranks, at, low = rows[going], ids[going], ranks[going], at[going], low[going]
-        each = np.arange(len(rows))
-        ids[each, at] = low & ((1 << BITS) - 1)
-        source = np.minimum(columns + (columns > at[:, None]), width - 1)
-        ids = np.take_along_axis(ids, source, axis=1)
-        ids[:, -1] = -1
-        ranks = np.take_along_axis(ranks, np.minimum(columns + (columns >= at[:, None]), width - 1), axis=1)
-        ranks[:, -1] = NEVER
-        here, after = ids[each, at], ids[each, np.minimum(at + 1, width - 1)]
-        before = np.where(at > 0, ids[each, at - 1], -1)
-        ranks[each, at] = table.look_up(here, np.where(at + 1 < width, after, -1))
+            each = np.arange(len(rows))
+        # every row loses one boundary, so the arrays become one column narrower
+        kept = np.ones(ids.shape, dtype=bool)
+        kept[each, at + 1] = False
+        ids[each, at] = table.made[low]
+        ids = ids[kept].reshape(len(rows), ids.shape[1] - 1)
+        ranks = ranks[kept].reshape(len(rows), ids.shape[1])
+        here, last = ids[each, at], at == ids.shape[1] - 1
+        after = ids[each, np.where(last, at, at + 1)]
+        ranks[each, at] = np.where(last, LAST, table.rank_of(here, after))
         left = np.flatnonzero(at > 0)
-        ranks[left, at[left] - 1] = table.look_up(before[left], here[left])
+        ranks[left, at[left] - 1] = table.rank_of(ids[left, at[left] - 1], here[left])
     return out
 
 
@@ -92,6 +93,26 @@ def merge_long(ids: list[int], pairs: dict) -> list[int]:
     return [x for x in ids if x >= 0]
 
 
+class Recent:
+    """A dictionary in two generations: when the young one is full, it becomes the old one, and what is used again moves over."""
+
+    def __init__(self, size: int = CACHE) -> None:
+        self.size = size
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def absent(self, wanted: set) -> list:
+        """Which of ``wanted`` are not known; all others are in ``young`` from now on, until the next call."""
+        unknown = [w for w in wanted if w not in self.young]
+        if len(self.young) + len(unknown) > self.size:
+            self.old, self.young, unknown = self.young, {}, list(wanted)
+        if self.old:
+            again = {w: self.old[w] for w in unknown if w in self.old}
+            self.young.update(again)
+            unknown = [w for w in unknown if w not in again]
+        return unknown
+
+
 class Encoder:
     """Texts to packed little-endian 32-bit ids, and back."""
 
@@ -100,7 +121,8 @@ class Encoder:
         self.find = regex.compile(PATTERN).findall
         specials = sorted(self.merges.specials, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
-        self.cache: dict[str, bytes] = {}
+        self.words, self.units = Recent(), Recent()
+        self.blank = frozenset(regex.findall("[" + SPACE + "]", "".join(map(chr, range(0x3001)))))
         back = {s: b for b, s in enumerate(byte_symbols())}
         top = max([*self.merges.vocab.values(), *self.merges.specials.values()]) + 1
         self.bytes_of = [b""] * top
@@ -110,40 +132,61 @@ class Encoder:
         for token, i in self.merges.specials.items():
             self.bytes_of[i] = token.encode()
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: list[str]) -> None:
         """Merge words that are not known yet, those of like length together."""
-        if len(self.cache) + len(words) > CACHE:
-            self.cache.clear()  # a text that needs words from before learns all its own again
         raw = sorted(((w.encode(), w) for w in words), key=lambda x: len(x[0]))
         sizes = np.fromiter((len(r) for r, _ in raw), dtype=np.int64, count=len(raw))
-        byte_ids = np.array(self.merges.byte_ids, dtype=np.int64)
+        byte_ids = np.array(self.merges.byte_ids, dtype=np.int32)
         begin = 0
         for width in (4, 8, 12, 16, 24, 32, 64, SHORT):
             end = int(np.searchsorted(sizes, width, side="right"))
             for start in range(begin, end, 16384):
                 group = raw[start : min(end, start + 16384)]
                 held = sizes[start : start + len(group), None] > np.arange(width)
-                ids = np.full((len(group), width), -1, dtype=np.int64)
+                ids = np.full((len(group), width), -1, dtype=np.int32)
                 ids[held] = byte_ids[np.frombuffer(b"".join(r for r, _ in group), dtype=np.uint8)]
                 merged = merge_short(ids, self.merges.table)
                 count = (merged >= 0).sum(axis=1)
                 packed = merged[merged >= 0].astype("<u4").tobytes()
                 ends = (4 * np.cumsum(count)).tolist()
-                self.cache.update((w, packed[i:j]) for (_, w), i, j in zip(group, [0, *ends[:-1]], ends, strict=True))
+                self.words.young.update((w, packed[i:j]) for (_, w), i, j in zip(group, [0, *ends[:-1]], ends, strict=True))
             begin = end
         for r, w in raw[begin:]:
             ids = merge_long([self.merges.byte_ids[b] for b in r], self.merges.pairs)
-            self.cache[w] = struct.pack(f"<{len(ids)}I", *ids)
+            self.words.young[w] = struct.pack(f"<{len(ids)}I", *ids)
 
-    def pack(self, words: list[str]) -> bytes:
-        try:
-            return b"".join(map(self.cache.__getitem__, words))
-        except KeyError:
-            self.learn(set(words))
-            return b"".join(map(self.cache.__getitem__, words))
+    def each(self, words: list[str]) -> list[bytes]:
+        """Packed ids of every word."""
+        self.learn(self.words.absent(set(words)))
+        return list(map(self.words.young.__getitem__, words))
 
     def plain(self, text: str) -> bytes:
-        return self.pack(self.find(text))
+        return b"".join(self.each(self.find(text)))
+
+    def learn_units(self, new: list[str]) -> None:
+        """Ids of what stands between two spaces, the first of them included.
+
+        A space before a character that is none always begins a word, so such units are independent of each other. An
+        empty unit, or one that begins with white space, is not: it is kept as None, and its text is cut as a whole.
+        """
+        odd = [u for u in new if not u or u[0] in self.blank]
+        if odd:
+            self.units.young.update(dict.fromkeys(odd))
+            new = [u for u in new if u and u[0] not in self.blank]
+        if not new:
+            return
+        words = self.find(" " + " ".join(new))
+        packed = self.each(words)
+        ends = list(itertools.accumulate(map(len, packed)))
+        begins = [e - len(p) for w, p, e in zip(words, packed, ends, strict=True) if w[0] == " "]
+        flat = b"".join(packed)
+        self.units.young.update((u, flat[i:j]) for u, i, j in zip(new, begins, [*begins[1:], len(flat)], strict=True))
+
+    def joined(self, units: list[str], text: str) -> bytes:
+        try:
+            return b"".join([*self.each(self.find(units[0])), *map(self.units.young.__getitem__, units[1:])])
+        except TypeError:  # a unit that depends on its neighbours
+            return self.plain(text)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -154,15 +197,13 @@ class Encoder:
         return b"".join(struct.pack("<I", specials[p]) if p in specials else self.plain(p) for p in self.special.split(text) if p)
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        """All words that a batch brings are learnt at once, if they fit the cache."""
+        """All units that a batch brings are learnt at once."""
         special = [bool(t) and self.special is not None and "<|" in t for t in texts]
-        words = [[] if odd or not t else self.find(t) for odd, t in zip(special, texts, strict=True)]
+        units = [[] if odd or not t else t.split(" ") for odd, t in zip(special, texts, strict=True)]
         new: set[str] = set()
-        new.update(*words)
-        new = {w for w in new if w not in self.cache}
-        if new and len(new) <= CACHE // 2:
-            self.learn(new)
-        return [self.encode(t) if odd else self.pack(w) for odd, t, w in zip(special, texts, words, strict=True)]
+        new.update(*(u[1:] for u in units))
+        self.learn_units(self.units.absent(new))
+        return [self.encode(t) if odd else self.joined(u, t) if u else b"" for odd, t, u in zip(special, texts, units, strict=True)]
 
     def decode(self, packed: bytes) -> str:
         return b"".join(map(self.bytes_of.__getitem__, memoryview(packed).cast("I"))).decode("utf-8", "replace")

@@ -10,6 +10,8 @@ import numpy as np
 #: What a pair that is never merged looks up: larger than any rank.
 NEVER = np.int64(1 << 60)
 BITS = 20
+#: The rank of a pair that is never merged, where ranks stand alone.
+LAST = np.int32(2**31 - 1)
 
 
 def byte_symbols() -> list[str]:
@@ -51,6 +53,9 @@ class PairTable:
         self.values = np.full(size + 64, NEVER, dtype=np.int64)
         todo = np.array([(a << BITS) | b for a, b in pairs], dtype=np.int64)
         values = np.array([(r << BITS) | n for r, n in pairs.values()], dtype=np.int64)
+        #: the id that each rank's pair becomes
+        self.made = np.zeros(int((values >> BITS).max(initial=-1)) + 1, dtype=np.int32)
+        self.made[values >> BITS] = values & ((1 << BITS) - 1)
         slot = self.slot(todo)
         while len(todo):
             free = self.keys[slot] < 0
@@ -85,6 +90,11 @@ class PairTable:
         out[(left < 0) | (right < 0)] = NEVER
         return out
 
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of 32-bit ids, ``LAST`` where a pair is never merged."""
+        found = self.look_up(left.astype(np.int64), right) >> BITS
+        return np.minimum(found, LAST).astype(np.int32)
+
 
 @functools.lru_cache(maxsize=4)
 def load(path: str) -> Merges:

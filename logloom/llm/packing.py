@@ -7,15 +7,19 @@ segment lengths, where positions start anew, and which part of which document ea
 
 Defined results: null and empty texts have no segment; repeated rows are packed each; a null id stays null in
 ``doc_ids``; an empty table gives no rows; other columns are ignored. Which documents share a row depends on how the
-input is split into tasks, and is the same whenever a lost task runs again.
+input is split into tasks, since a shuffle of all ids only to make rows independent of it would cost more than it gives;
+it is the same whenever a lost task runs again.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -126,6 +130,54 @@ def positions(packed: DataFrame) -> DataFrame:
     return packed.withColumn("position_ids", F.flatten(each))
 
 
+#: The files of a shard: the id matrix, the cumulative segment lengths and the position resets, each row after row.
+PARTS = ("input_ids", "cu_seqlens", "position_resets")
+MANIFEST = "shard string, rows bigint, width int, tokens bigint, segments bigint, input_ids string, cu_seqlens string, position_resets string, sha256 string"
+
+
+def write_binary(packed: DataFrame, folder: str, width: int = WIDTH) -> DataFrame:
+    """Write packed rows as raw little-endian files under ``folder``, a place that all executors reach; return the manifest.
+
+    Every task writes three files: 32-bit unsigned ids (rows x width, which maps to memory as one matrix), 32-bit cumulative
+    lengths and 32-bit resets. Cumulative lengths of a row begin with 0, so a row with n segments has n + 1 of them and
+    n resets. A file has a name of its own task attempt, and only attempts that Spark commits are in ``folder``/manifest,
+    so repeated and lost attempts do no harm. The matrix is never held as a whole: rows go out as they come.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, path = fs.FileSystem.from_uri(folder)
+        store.create_dir(path, recursive=True)
+        context = TaskContext.get()
+        name = f"{context.partitionId() if context else 0:06d}-{uuid.uuid4().hex}"
+        files = [f"{name}.{p}.bin" for p in PARTS]
+        out = [store.open_output_stream(f"{path}/{f}") for f in files]
+        digest, rows, tokens, segments = hashlib.sha256(), 0, 0, 0
+        for batch in batches:
+            for k in range(batch.num_rows):
+                ids = batch.column(1)[k].as_py()
+                ends = np.array(batch.column(2)[k].as_py(), dtype="<u4")
+                for stream, raw in zip(out, (ids, ends.tobytes(), ends[:-1].tobytes()), strict=True):
+                    stream.write(raw)
+                digest.update(ids)
+                rows, tokens, segments = rows + 1, tokens + int(ends[-1]), segments + len(ends) - 1
+        for stream in out:
+            stream.close()
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([rows]), pa.array([width], pa.int32()), pa.array([tokens]), pa.array([segments]), *[pa.array([f]) for f in files], pa.array([digest.hexdigest()])], [c.split(" ")[0] for c in MANIFEST.split(", ")])
+        else:
+            for f in files:
+                store.delete_file(f"{path}/{f}")
+
+    manifest = f"{folder}/manifest"
+    packed.select("shard", "input_ids", "cu_seqlens").mapInArrow(run, MANIFEST).write.mode("overwrite").parquet(manifest)
+    return packed.sparkSession.read.parquet(manifest)
+
+
+def filled_share(packed: DataFrame, width: int = WIDTH) -> DataFrame:
+    """One row: packed rows, tokens, and which share of all places the tokens fill."""
+    return packed.agg(F.count("*").alias("rows"), F.sum("n_tokens").alias("tokens"), (F.sum("n_tokens") / (F.count("*") * width)).alias("filled"))
+
+
 def unpack(packed: DataFrame) -> DataFrame:
     """(doc_id, ids): the token ids of every document again, in order; one group per document."""
     each = packed.select("input_ids", F.explode(F.arrays_zip(F.col("doc_ids").alias("doc"), F.col("doc_offsets").alias("at"), F.col("position_resets").alias("b"), F.slice("cu_seqlens", 2, F.size("doc_ids")).alias("e"))).alias("s"))

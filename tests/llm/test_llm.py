@@ -80,11 +80,12 @@ def test_encoding_and_decoding_equal_the_library(spark, texts):
 
 def test_random_texts_equal_the_library():
     r = random.Random(3)
-    parts = [" ", "  ", "\n", "\t", "a", "B", "é", "Σ", "ß", "'s", "'ve", "123", "漢", "<|endoftext|>", "aaaa", "the", "there", "x" * 130, "ﬁ", "..."]
+    parts = [" ", "  ", " \n", "\n ", "\n", "\t", "\x1c", "\u3000", "a", "B", "é", "Σ", "ß", "'s", "'ve", "123", "漢", "<|endoftext|>", "aaaa", "the", "there", "x" * 130, "ﬁ", "..."]
     enc, counter, b, w = bpe.Encoder(BYTE), token_count.Counter(WORD), Tokenizer.from_file(BYTE), Tokenizer.from_file(WORD)
-    for _ in range(400):
-        t = "".join(r.choice(parts) for _ in range(r.randint(0, 12)))
-        ids = enc.encode(t)
+    made = ["".join(r.choice(parts) for _ in range(r.randint(0, 12))) for _ in range(400)]
+    enc.units.size, enc.words.size = 300, 100
+    for t, ids in zip(made, [x for k in range(0, 400, 50) for x in enc.encode_batch(made[k : k + 50])], strict=True):
+        assert ids == enc.encode(t)
         assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == b.encode(t, add_special_tokens=False).ids
         assert counter.count([t]) == [len(w.encode(t, add_special_tokens=False).ids)]
 
@@ -307,22 +308,38 @@ def test_packing_is_lossless_and_best_fit(spark, texts):
     assert packing.best_fit([5, 3, 6, 2, 4], 8) == [[2, 3], [0, 1], [4]]
 
 
+def test_binary_files_hold_the_packed_rows(spark, texts, tmp_path):
+    packed = packing.pack(frame(spark, texts).repartition(3, "doc_id"), BYTE, width=64, block_tokens=5000).persist()
+    folder = f"file://{tmp_path}/packed"
+    manifest = packing.write_binary(packed, folder, width=64).collect()
+    got = []
+    for m in manifest:
+        ids, ends, resets = (np.fromfile(f"{tmp_path}/packed/{m[p]}", "<u4") for p in packing.PARTS)
+        ids = ids.reshape(m["rows"], m["width"])
+        assert hashlib.sha256(ids.tobytes()).hexdigest() == m["sha256"] and len(ends) == m["segments"] + m["rows"] and len(resets) == m["segments"]
+        begin = np.flatnonzero(ends == 0)
+        rows = np.split(ends, begin[1:])
+        assert sum(r[-1] for r in rows) == m["tokens"] and [x for r in rows for x in r[:-1]] == resets.tolist()
+        got += [(i.tobytes(), r.tolist()) for i, r in zip(ids, rows, strict=True)]
+    assert sorted(got) == sorted((bytes(r["input_ids"]), r["cu_seqlens"]) for r in packed.collect())
+    assert packing.write_binary(packed.limit(0), f"{folder}-empty").count() == 0
+    assert packing.filled_share(packed, 64).first()["filled"] > 0.97
+
+
 def test_best_fit_equals_a_plain_search():
     r = random.Random(4)
-    lengths = [r.randint(1, 50) for _ in range(300)]
-    room, want = [], []
-    for i in sorted(range(300), key=lambda k: (-lengths[k], k)):
-        fits = [(x, j) for j, x in enumerate(room) if x >= lengths[i]]
-        if fits:
-            least = min(x for x, _ in fits)
-            room[max(j for x, j in fits if x == least)]  # any row of that room
-            want.append(least)
-        else:
-            room.append(50)
-            want.append(50)
-            least = 50
-        room[next(j for j, x in reversed(list(enumerate(room))) if x == least)] -= lengths[i]
-    assert len(packing.best_fit(lengths, 50)) == len(room)
+    for count in (1, 40, 300):
+        lengths = [r.randint(1, 50) for _ in range(count)]
+        room: list[int] = []
+        for i in sorted(range(count), key=lambda k: (-lengths[k], k)):
+            least = min((x for x in room if x >= lengths[i]), default=None)
+            if least is None:
+                room.append(50)
+                least = 50
+            room[room.index(least)] -= lengths[i]
+        rows = packing.best_fit(lengths, 50)
+        assert sorted(i for row in rows for i in row) == list(range(count))
+        assert sorted(50 - sum(lengths[i] for i in row) for row in rows) == sorted(room)  # the rooms left, whatever row of a room is taken
 
 
 # 8
