@@ -2,16 +2,18 @@
 
 1. Every passage of ``depth`` bytes has an anchor that its bytes alone decide: the ``GRAM`` bytes in it whose hash is
    least. Neighbouring passages with one anchor are a run. Equal passages have equal anchors at equal offsets, so a run
-   can share passages only with runs of its gram. Runs of equal bytes (by two 64-bit hashes) are aggregated first, in
-   each chunk of documents and then by gram: all but the first repeat as a whole.
+   can share passages only with runs of its gram. Runs of equal bytes are aggregated first, in each chunk of documents
+   and then by gram: all but the first repeat as a whole. Equal here means equal in three 64-bit hashes, of the gram and
+   twice of the run under independent bases; runs that differ in one of them go on to 2, where bytes are compared.
 2. Where runs of different bytes share a gram, the first of each is cut out of its text and dealt by gram to suffix
    buckets. Grams with very many contents are dealt by more of the bytes that their passages have in common (quarters of
-   the offset, then whole passages), so no bucket grows with the number of places where a common line stands.
+   the offset, then whole passages, which a minimum by bytes settles), so no bucket grows with the number of places where a common line stands.
 3. A task sorts one block of buckets at a time (``suffix_order``): equal passages stand together, all but the first by
    (id, place) are marked.
 4. Marks go back to their documents.
 
-A difference cover settles long ties inside a block; memory is bounded by the size of a block and of a chunk.
+A difference cover settles long ties inside a block; memory is bounded by the size of a block and of a chunk. A chunk is
+at least a document: a very long text is anchored as a whole, at about ten numbers of eight bytes a byte of it.
 
 Defined results: a null text is empty; texts shorter than ``depth`` lose nothing; a null id sorts before all others;
 rows that share an id are ordered by a hash of their text, and rows that repeat id and text are one document with equal
@@ -37,17 +39,18 @@ CHUNK, BLOCK = 1 << 20, 4 << 20
 HEAVY_RUNS, LOCAL_HOT = 16384, 16
 #: Bits of a place in its chunk; the rest of a word holds the gram's hash, and equal hashes go to the earlier place.
 PLACE = np.uint64((1 << 32) - 1)
-BASE = 0x9E3779B97F4A7C15 | 1
+#: Odd bases of two independent rolling hashes.
+BASE, SECOND = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 REPLY, MARK, CHECK, HEAVY, SPREAD = range(5)
 
 
 class Hashes:
     """Rolling hashes of a flat array of bytes: multiplications modulo 2**64 with an odd base, which has an inverse."""
 
-    def __init__(self, flat: np.ndarray) -> None:
+    def __init__(self, flat: np.ndarray, base: int = BASE) -> None:
         n = len(flat)
-        self.inverse = self.powers(pow(BASE, -1, 1 << 64), n)
-        terms = (flat.astype(np.uint64) + np.uint64(1)) * self.powers(BASE, n)
+        self.inverse = self.powers(pow(base, -1, 1 << 64), n)
+        terms = (flat.astype(np.uint64) + np.uint64(1)) * self.powers(base, n)
         self.prefix = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(terms, out=self.prefix[1:])
 
@@ -136,11 +139,11 @@ def _runs(depth: int, gram: int, chunk: int, local_hot: int):  # noqa: ANN202
             doc, start, count, anchor, g = anchors(flat, sizes, depth, gram)
             base = (np.cumsum(sizes) - sizes)[doc] if len(doc) else start
             offset = anchor - start
-            u = Hashes(flat).of(start, start + count - 1 + depth) ^ finish((offset * 256 + count).astype(np.uint64)) if len(doc) else g
+            u, w = (Hashes(flat, b).of(start, start + count - 1 + depth) ^ finish((offset * 256 + count).astype(np.uint64)) if len(doc) else g for b in (BASE, SECOND))
             pack = ((start - base) << 16) | (count << 8) | offset
             order = np.lexsort((u, g))  # stable: the first of equal runs stays first
             new_g = np.r_[True, g[order][1:] != g[order][:-1]][: len(g)]
-            new_u = new_g | np.r_[True, u[order][1:] != u[order][:-1]][: len(g)]
+            new_u = new_g | np.r_[True, (u[order][1:] != u[order][:-1]) | (w[order][1:] != w[order][:-1])][: len(g)]
             group = np.cumsum(new_g) - 1
             contents = np.bincount(group, new_u, minlength=1).astype(np.int64)
             kind = np.empty(len(g), dtype=np.int8)
@@ -150,12 +153,9 @@ def _runs(depth: int, gram: int, chunk: int, local_hot: int):  # noqa: ANN202
             every = np.concatenate([np.arange(len(g)), firsts])
             owner, kind = doc[every], np.concatenate([kind, np.full(len(hot), HEAVY, dtype=np.int8)])
             ids, null, hashes = columns_of(keys)
-            grams, whole = g.view(np.int64)[every], u.view(np.int64)[every]
+            columns = [pa.array(x.view(np.int64)[every]) for x in (g, u, w)]
             number = np.concatenate([pack, contents[hot]])
-            by_content = grams ^ finish(u[every]).view(np.int64)
-            by_place = finish(number.astype(np.uint64) ^ finish(ids[owner].astype(np.uint64) ^ hashes[owner].astype(np.uint64))).view(np.int64)
-            part = np.where(kind == MARK, by_place, np.where(kind == SPREAD, by_content, grams))
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(grams), pa.array(whole), pa.array(ids[owner], mask=null[owner]), pa.array(hashes[owner]), pa.array(number), pa.array(kind)], ["part", "g", "u", "doc", "hash", "pack", "kind"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(ids[owner], mask=null[owner]), pa.array(hashes[owner]), pa.array(number), pa.array(kind)], ["g", "u", "w", "doc", "hash", "pack", "kind"])
 
     return run
 
@@ -165,12 +165,12 @@ def _replies(limit: int):  # noqa: ANN202
     the number of contents of every gram with more than ``limit``. Rows come sorted by gram, content and place."""
 
     def settle(rows: pa.Table) -> pa.RecordBatch:
-        g, u, pack, kind = (rows.column(c).to_numpy() for c in ("g", "u", "pack", "kind"))
+        g, u, w, pack, kind = (rows.column(c).to_numpy() for c in ("g", "u", "w", "pack", "kind"))
         asks = (kind == REPLY) | (kind == SPREAD)
         group = np.cumsum(np.r_[True, g[1:] != g[:-1]]) - 1
         at = np.flatnonzero(asks)
         first = np.zeros(len(g), dtype=bool)
-        first[at] = np.r_[True, (g[at][1:] != g[at][:-1]) | (u[at][1:] != u[at][:-1])][: len(at)]
+        first[at] = np.r_[True, (g[at][1:] != g[at][:-1]) | (u[at][1:] != u[at][:-1]) | (w[at][1:] != w[at][:-1])][: len(at)]
         contents = np.bincount(group, first & (kind == REPLY)).astype(np.int64) + np.bincount(group, np.where(kind == HEAVY, pack, 0)).astype(np.int64)
         state = np.where(asks & ~first, MARK, np.where(first & ((contents[group] > 1) | (kind == SPREAD)), CHECK, np.where(kind == MARK, MARK, 0)))
         keep = np.flatnonzero(state > 0)
@@ -251,8 +251,8 @@ def _pieces(depth: int, gram: int, chunk: int):  # noqa: ANN202
             local = start - base[doc]
             body = [raw[s:e] if f else None for s, e, f in zip(start.tolist(), end.tolist(), is_first.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(ids[doc], mask=null[doc]), pa.array(hashes[doc]), pa.array(local), pa.array(count), pa.array(offset), pa.array(body, pa.binary())],
-                ["key", "doc", "hash", "start", "count", "offset", "body"],
+                [pa.array(key), pa.array(ids[doc], mask=null[doc]), pa.array(hashes[doc]), pa.array(local), pa.array(count), pa.array(offset), pa.array(body, pa.binary()), pa.array(level == 2)],
+                ["key", "doc", "hash", "start", "count", "offset", "body", "single"],
             )
 
     return run
@@ -364,10 +364,13 @@ def null_safe(a: DataFrame, b: DataFrame) -> Column:
 
 def marks_of(rows: DataFrame, unique: bool, depth: int = DEPTH, gram: int = GRAM, chunk: int = CHUNK, block: int = BLOCK, heavy: int = HEAVY_RUNS, local_hot: int = LOCAL_HOT) -> DataFrame:
     """(doc, hash, marks) of the documents (doc, hash, text) that lose something; marks are runs of passages that repeat."""
+    if not 8 <= gram <= depth < gram + 255:
+        raise ValueError("a run's offset and number of starts have eight bits each: depth has to be from gram to gram + 254")
     small_batches(rows.sparkSession)
     distinct = rows if unique else rows.dropDuplicates(["doc", "hash"])
-    runs = distinct.mapInArrow(_runs(depth, gram, chunk, local_hot), "part bigint, g bigint, u bigint, doc bigint, hash bigint, pack bigint, kind tinyint")
-    ordered = runs.repartition("part").sortWithinPartitions("g", "u", "doc", "hash", "pack")
+    runs = distinct.mapInArrow(_runs(depth, gram, chunk, local_hot), "g bigint, u bigint, w bigint, doc bigint, hash bigint, pack bigint, kind tinyint")
+    dealt = F.when(F.col("kind") == MARK, F.xxhash64("doc", "hash", "pack")).when(F.col("kind") == SPREAD, F.xxhash64("g", "u")).otherwise(F.col("g"))
+    ordered = runs.repartition(dealt).sortWithinPartitions("g", "u", "w", "doc", "hash", "pack")
     replies = written(ordered.mapInArrow(_replies(heavy), "g bigint, doc bigint, hash bigint, pack bigint, kind tinyint"))
     levels = replies.filter(F.col("kind") == HEAVY).groupBy("g").agg(F.max("pack").alias("n")).select("g", F.when(F.col("n") > 16 * heavy, 2).otherwise(1).alias("level"))
     if levels.count() <= 500_000:  # two numbers a row
@@ -375,12 +378,16 @@ def marks_of(rows: DataFrame, unique: bool, depth: int = DEPTH, gram: int = GRAM
     checked = replies.filter(F.col("kind") == CHECK).join(levels, "g", "left").select("doc", "hash", F.struct("pack", "g", F.coalesce("level", F.lit(0)).alias("level")).alias("run"))
     of_doc = checked.groupBy("doc", "hash").agg(F.collect_list("run").alias("runs"))
     cut = distinct.join(of_doc, null_safe(distinct, of_doc)).select(distinct["doc"], distinct["hash"], distinct["text"], of_doc["runs"])
-    pieces = written(cut.mapInArrow(_pieces(depth, gram, chunk), "key bigint, doc bigint, hash bigint, start bigint, count bigint, offset bigint, body binary"))
+    pieces = written(cut.mapInArrow(_pieces(depth, gram, chunk), "key bigint, doc bigint, hash bigint, start bigint, count bigint, offset bigint, body binary, single boolean"))
     known = pieces.filter("body is null").select("doc", "hash", "start", "count")
     whole = replies.filter(F.col("kind") == MARK).select("doc", "hash", F.shiftright("pack", 16).alias("start"), F.shiftright("pack", 8).bitwiseAND(F.lit(255).cast("bigint")).alias("count"))
-    ordered = pieces.filter("body is not null").repartition("key").sortWithinPartitions("key")
+    # single passages need no order: the first place of equal bytes stays, found by a minimum with partial aggregation
+    singles = pieces.filter("body is not null and single")
+    first = singles.groupBy("body").agg(F.min(F.struct(F.col("doc").isNotNull().alias("known"), "doc", "hash", "start")).alias("f")).select("f.doc", "f.hash", "f.start")
+    later = singles.join(first, null_safe(singles, first) & (singles["start"] == first["start"]), "left_anti").select("doc", "hash", "start", "count")
+    ordered = pieces.filter("body is not null and not single").drop("single").repartition("key").sortWithinPartitions("key")
     found = ordered.mapInArrow(_sorted_marks(depth, block), "doc bigint, hash bigint, start bigint, count bigint")
-    return whole.union(known).union(found).groupBy("doc", "hash").agg(F.collect_list(F.struct("start", "count")).alias("marks"))
+    return whole.union(known).union(later).union(found).groupBy("doc", "hash").agg(F.collect_list(F.struct("start", "count")).alias("marks"))
 
 
 def dedup(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
