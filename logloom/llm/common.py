@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +21,25 @@ BATCH_ROWS = 512
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the Arrow batches of this session; long texts would otherwise fill a worker's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Bound the Arrow batches of this session; long texts would otherwise fill a worker's memory.
+
+    The bound is only ever lowered, to the same number by every operator, so frames that are built earlier and run later
+    keep it. It is the one session setting that the operators touch.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > rows or int(spark.conf.get(name)) < 1:
+        spark.conf.set(name, str(rows))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; a temporary one only where that is unset, as in tests."""
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "logloom-checkpoints")
+    """The folder that the cluster names in ``spark.checkpoint.dir``; a temporary one only where that is unset and Spark is one local process."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if found:
+        return found
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    return os.path.join(tempfile.gettempdir(), "logloom-checkpoints")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -43,12 +58,36 @@ def written(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    _tables.append(path)
     df.write.option("compression", "zstd").parquet(path)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Folders of ``written`` tables that nobody has dropped yet, oldest first.
+_tables: list[str] = []
+
+
+def drop_folder(path: str) -> None:
+    """Remove a folder of tables whose results are stored elsewhere by now."""
+    store, place = fs.FileSystem.from_uri(path)
+    if store.get_file_info(place).type == fs.FileType.Directory:
+        store.delete_dir(place)
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[None]:
+    """Drop the tables that are written inside, at its end; what is wanted of them has to be stored by then.
+
+    Operators hand out frames that still read their middle tables, so only the caller knows when these can go.
+    """
+    before = len(_tables)
+    yield
+    while len(_tables) > before:
+        drop_folder(_tables.pop())
+
+
 def ascii_lower(column: Column) -> Column:
     """A-Z lower-cased, every other character left alone."""
     return F.translate(column, UPPER, LOWER)

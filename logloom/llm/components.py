@@ -15,16 +15,17 @@ from logloom.llm.common import checkpointed
 SALTS = 16
 
 
-def lowest(pairs: DataFrame) -> DataFrame:
-    """(u, m): the smallest of u and its neighbours; salted, so no task gathers all neighbours of a hub."""
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
-    return salted.groupBy("u", "salt").agg(F.min("v").alias("m")).groupBy("u").agg(F.least(F.min("m"), F.col("u")).alias("m"))
+def lowest(salted: DataFrame) -> DataFrame:
+    """(u, salt, m): the smallest of u and its neighbours, once for every salt; no task gathers all neighbours of a hub."""
+    found = salted.groupBy("u", "salt").agg(F.min("v").alias("m")).groupBy("u").agg(F.least(F.min("m"), F.col("u")).alias("m"), F.collect_set("salt").alias("salts"))
+    return found.select("u", F.explode("salts").alias("salt"), "m")
 
 
 def star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step over edges (u > v): link to the smallest neighbour the larger (or the other smaller) neighbours."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    joined = both.join(lowest(both), "u")
+    salted = both.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    joined = salted.join(lowest(salted), ["u", "salt"])
     if large:
         moved = joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -32,8 +33,12 @@ def star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.filter("u <> v").distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, component) for every node with an edge; ``edges`` has columns u and v of one ordered type."""
+def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
+    """(node, component) for every node with an edge; ``edges`` has columns u and v of one ordered type.
+
+    Rounds grow with the logarithm of the number of nodes; ``rounds`` is far beyond that and only ends a run that would
+    otherwise never end, with an error.
+    """
     held = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
     held = checkpointed(held)
     state = None

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.common import checkpointed, small_batches, written
-from logloom.llm.components import components
+from logloom.llm.components import SALTS, components
 
 SEED = 42
 TILE = 2048
@@ -203,7 +203,7 @@ def link(prints: DataFrame, bits: int = 4) -> DataFrame:
         side = F.when(low == high, 2).otherwise((F.col("tile") == high).cast("int")).cast("bigint")
         plain = plain.union(pairs.select(F.xxhash64("key", low, high).alias("key"), "fp", side.alias("side")))
     rows = plain.select("key", "side", "fp").repartition("key").sortWithinPartitions("key", "side", "fp")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
+    small_batches(spark)
     return rows.mapInArrow(_scanner(pivots(), bits), "u bigint, v bigint").distinct()
 
 
@@ -217,9 +217,12 @@ def cluster(docs: DataFrame, size: int = 4, bits: int = 4, id_col: str = "doc_id
     prints = held.groupBy("fp").agg(F.min(id_col).alias("least"))
     prints = checkpointed(prints)
     found = components(link(prints.select("fp"), bits))
-    named = prints.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_print = named.join(smallest, "component").select("fp", "component_id")
+    joined = prints.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)))
+    # only fingerprints with a link have a component to look up; salts spread the members of a large one
+    smallest = joined.filter("component is not null").groupBy("component").agg(F.min("least").alias("component_id"))
+    spread = smallest.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    linked_ones = joined.filter("component is not null").join(spread, ["component", "salt"]).select("fp", "component_id")
+    of_print = linked_ones.union(joined.filter("component is null").select("fp", F.col("least").alias("component_id")))
     return held.join(of_print, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -370,7 +373,7 @@ def sharing(rows: DataFrame, similarity: float) -> DataFrame:
     low, high = F.least("tile", "other"), F.greatest("tile", "other")
     side = F.when(low == high, 2).otherwise((F.col("tile") == high).cast("int")).cast("bigint")
     dealt = dealt.select(F.xxhash64("key", low, high).alias("key"), side.alias("side"), "node", "component", "n", "place")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
+    small_batches(spark)
     dealt = dealt.repartition("key").sortWithinPartitions("key", "side", "node")
     return checkpointed(dealt.mapInArrow(_sharing(similarity), "u bigint, v bigint").distinct())
 
