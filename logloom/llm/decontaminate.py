@@ -6,7 +6,8 @@ longest match that ends there; wherever that reaches the window, or is a whole s
 
 Defined results: null or wordless documents have no words and are clean; null or wordless items have no window;
 repeated document rows give repeated rows, repeated item rows (same id) count once; a null item id takes no part; empty
-tables give an empty table or clean documents; other columns are ignored.
+tables give an empty table or clean documents; other columns are ignored. A document is scanned as a whole, however
+long, in time and memory proportional to its words; overlapping and adjoining windows are one hit span.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import checkpointed, small_batches
+from logloom.llm.common import checkpointed, small_batches, written
 
 #: Bytes to lower-cased words apart: separators are the ASCII characters that are neither letters nor digits.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -146,9 +147,9 @@ def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -
 def found_in(docs: DataFrame, items: DataFrame, window: int = 10, block_words: int = 200_000, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """As ``scan``, with the ``keep`` columns under the names k0, k1 and so on, so that they clash with none.
 
-    Automata are built on the executors; one block at a time, of bounded size, is sent to all tasks. With one block (any
-    benchmark of up to ``block_words`` words) documents are read once and nothing is shuffled; with more, each block
-    reads them again and the findings are carried along.
+    Automata are built on the executors; one block, of bounded size, is sent to all tasks at a time. With one block (any
+    benchmark of up to ``block_words`` words) documents are read once and nothing is shuffled; with more, the findings
+    of a block are stored beside the documents before the next block is sent, so a worker never holds two.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -157,10 +158,13 @@ def found_in(docs: DataFrame, items: DataFrame, window: int = 10, block_words: i
     built = checkpointed(automata(items, window, block_words, item_id_col, item_text_col))
     blocks = [r["block"] for r in built.select("block").orderBy("block").collect()]
     schema = df.schema
-    for block in blocks or [None]:
+    for k, block in enumerate(blocks or [None]):
         row = built.filter(F.col("block") == block).first() if block is not None else None
         shared = spark.sparkContext.broadcast(bytes(row["automaton"]) if row else pickle.dumps(Automaton([], window)))
         df = df.mapInArrow(_scanner(shared, len(keep)), schema)
+        if k + 1 < len(blocks):
+            df = written(df)
+            shared.unpersist()
     return df
 
 
