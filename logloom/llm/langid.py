@@ -6,7 +6,9 @@ but ``reject_share`` of that centroid's training texts is marked as rejected, an
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0 and rejected; repeated rows give repeated
 rows; a null id stays null; an empty table gives an empty table; other columns are ignored. Without any training row
-every text is ``und`` with score 0.
+every text is ``und`` with score 0. Of equally near centroids the first by name and number counts. A text is counted as
+a whole; texts are counted in groups of at most ``ROWS`` texts and ``GROUP`` characters, and one beyond that alone, in
+slices that overlap by the longest n-gram, so memory is bounded however long it is.
 """
 
 from __future__ import annotations
@@ -28,11 +30,38 @@ BUCKETS = 4096
 UNKNOWN = "und"
 #: Texts whose counts are held at once: a row of counts is ``BUCKETS`` numbers.
 ROWS = 128
+GROUP = 2_000_000
 
 
 def counts(texts: list[str]) -> np.ndarray:
     """Log-damped counts of the n-grams of each text, a row a text."""
-    folded = [b" " + b" ".join(t.lower().encode().translate(PART).split()) + b" " for t in texts]
+    return np.log1p(np.concatenate([raw_counts(part) for part in groups([b" " + b" ".join(t.lower().encode().translate(PART).split()) + b" " for t in texts])]))
+
+
+def groups(folded: list[bytes]) -> Iterator[list[bytes]]:
+    """Neighbouring texts of at most ``GROUP`` bytes together, or a longer one."""
+    part: list[bytes] = []
+    size = 0
+    for f in folded:
+        if part and size + len(f) > GROUP:
+            yield part
+            part, size = [], 0
+        part.append(f)
+        size += len(f)
+    if part:
+        yield part
+
+
+def raw_counts(folded: list[bytes]) -> np.ndarray:
+    if len(folded) == 1 and len(folded[0]) > GROUP:
+        whole, out = folded[0], np.zeros((1, BUCKETS))
+        for start in range(0, len(whole), GROUP):
+            out += raw_counts([whole[start : start + GROUP]])
+            for n in SIZES:  # n-grams across the end of the slice
+                edge = whole[max(start + GROUP - n + 1, 0) : start + GROUP + n - 1]
+                for i in range(len(edge) - n + 1 if start + GROUP < len(whole) else 0):
+                    out += one_gram(edge[i : i + n])
+        return out
     lengths = np.fromiter(map(len, folded), dtype=np.int64, count=len(folded))
     flat = np.frombuffer(b"".join(folded), dtype=np.uint8).astype(np.uint64)
     owner = np.repeat(np.arange(len(folded)) * BUCKETS, lengths)
@@ -43,7 +72,15 @@ def counts(texts: list[str]) -> np.ndarray:
         inside = owner[: len(h)] == owner[n - 1 :]
         if n in SIZES:
             out += np.bincount(owner[: len(h)][inside] + mixed(h[inside] + np.uint64(n << 40), BUCKETS), minlength=len(out))
-    return np.log1p(out.reshape(len(folded), BUCKETS))
+    return out.reshape(len(folded), BUCKETS)
+
+
+def one_gram(gram: bytes) -> np.ndarray:
+    """The count of a single n-gram."""
+    h = np.zeros(1, dtype=np.uint64)
+    for b in gram:
+        h = h * np.uint64(1_000_003) + np.uint64(b + 1)
+    return np.bincount(mixed(h + np.uint64(len(gram) << 40), BUCKETS), minlength=BUCKETS).astype(float)
 
 
 def unit(rows: np.ndarray) -> np.ndarray:

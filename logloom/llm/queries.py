@@ -45,7 +45,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels of the held-out fold are not learnt from."""
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(fold(5) != 0))
-    return toxicity.score(docs, model).select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +78,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; languages of the held-out fold are not learnt from."""
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.filter(fold(4) != 2))
-    return langid.identify(docs, model).select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+    return langid.identify(docs, model).select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

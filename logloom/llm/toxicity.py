@@ -9,7 +9,8 @@ number per bucket, so a word is one look-up.
 Defined results: a null, empty or wordless text scores what the bias alone gives; repeated rows give repeated rows; a
 null id stays null; an empty table gives an empty table; other columns are ignored. Labels that are null, or whose id is
 null or has no document, are not used; several labels of one id count each. Without any label every text scores the
-``prior``; with one class only, near that class.
+``prior``; with one class only, near that class. Texts of any length are learnt from and scored as wholes. A score of exactly
+the threshold counts as toxic.
 """
 
 from __future__ import annotations
@@ -178,7 +179,6 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8000, prior: float =
     return bytes(found[0]["model"]) if found else pickle.dumps(train([], np.zeros(0, np.int64), prior=prior))
 
 
-
 def score(docs: DataFrame, model: bytes, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, score, predicted; narrow, no shuffle."""
     spark = docs.sparkSession

@@ -56,6 +56,42 @@ def test_url_classifier_learns_its_labels_natively(spark):
     assert url_filter.fit(labels.limit(0)) == [0.0] * 2049
 
 
+def test_url_classifier_on_hosts_it_has_not_seen(spark):
+    """Every trade in turn is left out of training, with all its hosts."""
+    rows = url_filter.labelled_urls()
+    right = total = 0
+    for i in (0, 3, 6):
+        out = {url_filter.BLOCKED_TRADE[i], url_filter.PLAIN_TRADE[i]}
+        seen = [r for r in rows if not any(t in r[0] for t in out)]
+        held = spark.createDataFrame([(k, *r) for k, r in enumerate(r for r in rows if any(t in r[0] for t in out))], "page_id int, url string, label int")
+        weights = url_filter.fit(spark.createDataFrame(seen, "url string, label int"))
+        for r in url_filter.judge(held, weights, rules=()).join(held.select("page_id", "label"), "page_id").collect():
+            right += (r["verdict"] == "block") == bool(r["label"])
+            total += 1
+    assert right / total >= 0.8
+
+
+def test_url_repeated_rows_and_clashing_names(spark):
+    df = spark.createDataFrame([(1, "http://a.org/x", 2.5)] * 3 + [(None, None, 0.0)], "page_id int, url string, score double").withColumn("g", F.lit(1)).withColumn("m", F.lit(1))
+    rows = url_filter.judge(df, [0.0] * 9).collect()
+    assert len(rows) == 4 and len({tuple(r) for r in rows}) == 2 and url_filter.judge(df.limit(0), [0.0] * 9).count() == 0
+
+
+def test_url_parts_and_rules_equal_sql(spark, sf):
+    sql = r"""
+    WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
+    p AS (SELECT page_id, translate(coalesce(regexp_extract(rest, '^([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
+    rules(name, prefix, verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+    hit AS (SELECT page_id, name || prefix AS rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(name) + length(prefix) DESC) AS r
+            FROM p JOIN rules ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, prefix))
+    SELECT p.page_id, host, path, rule, hit.verdict AS ruled FROM p LEFT JOIN hit ON p.page_id = hit.page_id AND r = 1
+    """
+    judged = QUERIES["op1_url_filter"](spark, sf)
+    ruled = F.when(F.col("rule").isNotNull(), F.col("verdict"))
+    assert_same(judged.select("page_id", "host", "path", "rule", ruled.alias("ruled")), connect(sf), sql)
+
+
 # 2, 3
 
 
@@ -137,6 +173,22 @@ def test_a_language_beyond_the_64_most_frequent_is_learnt(spark):
     assert np.mean([x["lang_pred"] == x["lang"] for x in got if x["lang"] >= "l64"]) > 0.9
 
 
+def test_slices_of_a_long_text_count_as_the_whole(monkeypatch):
+    texts = ["the cat sat on the mat " * 9, "x"]
+    whole = langid.counts(texts)
+    monkeypatch.setattr(langid, "GROUP", 7)
+    assert np.array_equal(langid.counts(texts), whole)
+
+
+def test_a_null_id_is_not_held_out(spark, tmp_path):
+    rows = [(None, "some words here and there", "en", "s", 5), (1, "other words", "en", "s", 3)] * 6
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (None, 1, 1)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name in ("op4_toxicity", "op10_language_id"):
+        found = QUERIES[name](spark, str(tmp_path)).select("doc_id", "held_out").collect()
+        assert len(found) == 12 and all(r["held_out"] is False for r in found if r["doc_id"] is None)
+
+
 def test_subword_hashes_do_not_depend_on_neighbours():
     alone = {w: sorted(subwords.hashed([w], (3, 4, 5), 1 << 16)[1].tolist()) for w in (b"a", b"tea", "h\u00e9llo".encode())}
     owner, bucket = subwords.hashed(list(alone), (3, 4, 5), 1 << 16)
@@ -381,6 +433,9 @@ def test_suffix_dedup_defined_cases(spark):
     got = sorted(((r["doc_id"] or 0, r["n_removed"]) for r in suffix_dedup.dedup(docs).collect()))
     assert got[:3] == [(0, 119), (1, 150), (1, 150)] and {x for i, x in got if i == 2} == {129, 130}
     assert suffix_dedup.dedup(docs.limit(0)).count() == 0
+    for depth in (20, 300):
+        with pytest.raises(ValueError):
+            suffix_dedup.dedup(docs, depth=depth)
     cut = suffix_dedup.cut_texts(spark.createDataFrame([(1, "é" * 120, 7), (2, "xé" + "é" * 119, 8)], "doc_id int, text string, n_chars int"))
     assert [(r["doc_id"], r["n_chars"], len(r["text"])) for r in cut.orderBy("doc_id").collect()] == [(1, 1, 1), (2, 1, 1)]
 
@@ -399,7 +454,7 @@ def test_suffix_order_settles_ties_of_any_residue():
 # 9
 
 
-def test_top_k_equals_brute_force(spark):
+def test_top_k_equals_brute_force(spark, monkeypatch):
     r = np.random.default_rng(1)
     rows = [(i, r.integers(-3, 4, 6).astype(float).tolist()) for i in range(300)]
     rows += [(900, None), (950, [float("nan")] * 6), (1000, [float("inf")] + [0.0] * 5), (1050, []), (1100, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (1150, [1.0, 2.0]), (1200, [3.0, 1.0]), (None, [1.0] * 6), (250, [9.0] * 6)]
@@ -411,8 +466,16 @@ def test_top_k_equals_brute_force(spark):
         if q % 50 == 0:
             pairs = sorted(((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in good if i != q and len(w) == len(v)))[:5]
             want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(pairs)]
-    doubled = [w for w in want if w[0] != 250]
-    assert [g for g in got if g[0] != 250] == sorted(doubled)
+    one = [w for w in want if w[0] != 250]
+    assert [g for g in got if g[0] != 250] == sorted(one)
+    assert [g[1] for g in got if g[0] == 250] == [1, 2, 3, 4, 5]
+    asked = df.filter("vec_id % 50 = 0 and vec_id <> 250")
+    again = sorted(map(tuple, maxscore.top_k(df, asked.union(asked)).collect()))
+    assert again == sorted(one)  # repeated queries have one answer
+    monkeypatch.setattr(maxscore, "PASS", 1)
+    monkeypatch.setattr(maxscore, "BLOCK", 2)
+    monkeypatch.setattr(maxscore, "SHARD", 16)
+    assert sorted(map(tuple, maxscore.top_k(df, asked).collect())) == sorted(one)
     assert maxscore.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
