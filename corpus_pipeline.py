@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.llm import bpe, decontaminate, simhash, suffix_dedup, toxicity
-from logloom.llm.common import shared_folder
+from logloom.llm.common import drop_folder, scratch, shared_folder
 from logloom.llm.queries import table, tokenizer
 
 
@@ -50,11 +50,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; every stage's rows are written to the shared folder and read again."""
+    """Apply the stages to ``documents``; every stage's rows are written to the shared folder and read again.
+
+    What a stage stored on its way, and the rows of the stage before it, go as soon as its own rows are written.
+    """
     top = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         path = f"{top}/{k}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch():
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if k:
+            drop_folder(before)
+        docs, before = spark.read.parquet(path), path
     return docs
