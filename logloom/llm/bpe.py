@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -28,8 +29,10 @@ from logloom.llm.merges import LAST, Merges, PairTable, byte_symbols, load
 
 #: Words of at most this many bytes are merged by scans.
 SHORT = 128
-#: Words in a generation of a Python worker's memory of words; one batch may bring more.
-CACHE = 400_000
+#: Widths of the arrays in which words are merged together, in bytes.
+WIDTHS = (2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 14, 16, 20, 24, 32, 48, 64, 96, SHORT)
+#: Bytes of text that are encoded together; a longer text is encoded alone.
+GROUP = 8 << 20
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Fixed value: the word pattern of the byte-level pre-tokeniser.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N}]+|[" + SPACE + "]+(?![^" + SPACE + "])|[" + SPACE + "]+"
@@ -93,24 +96,10 @@ def merge_long(ids: list[int], pairs: dict) -> list[int]:
     return [x for x in ids if x >= 0]
 
 
-class Recent:
-    """A dictionary in two generations: when the young one is full, it becomes the old one, and what is used again moves over."""
-
-    def __init__(self, size: int = CACHE) -> None:
-        self.size = size
-        self.young: dict = {}
-        self.old: dict = {}
-
-    def absent(self, wanted: set) -> list:
-        """Which of ``wanted`` are not known; all others are in ``young`` from now on, until the next call."""
-        unknown = [w for w in wanted if w not in self.young]
-        if len(self.young) + len(unknown) > self.size:
-            self.old, self.young, unknown = self.young, {}, list(wanted)
-        if self.old:
-            again = {w: self.old[w] for w in unknown if w in self.old}
-            self.young.update(again)
-            unknown = [w for w in unknown if w not in again]
-        return unknown
+def gathered(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``flat`` one after another, and where each begins there (and the last one ends)."""
+    ends = np.append(0, np.cumsum(size))
+    return flat[np.arange(ends[-1]) + np.repeat(begin - ends[:-1], size)], ends
 
 
 class Encoder:
@@ -121,99 +110,136 @@ class Encoder:
         self.find = regex.compile(PATTERN).findall
         specials = sorted(self.merges.specials, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
-        self.words, self.units = Recent(), Recent()
         self.blank = frozenset(regex.findall("[" + SPACE + "]", "".join(map(chr, range(0x3001)))))
         back = {s: b for b, s in enumerate(byte_symbols())}
         top = max([*self.merges.vocab.values(), *self.merges.specials.values()]) + 1
-        self.bytes_of = [b""] * top
+        bytes_of = [b""] * top
         for token, i in self.merges.vocab.items():
             known = all(c in back for c in token)
-            self.bytes_of[i] = bytes(back[c] for c in token) if known else token.encode()
+            bytes_of[i] = bytes(back[c] for c in token) if known else token.encode()
         for token, i in self.merges.specials.items():
-            self.bytes_of[i] = token.encode()
-
-    def learn(self, words: list[str]) -> None:
-        """Merge words that are not known yet, those of like length together."""
-        raw = sorted(((w.encode(), w) for w in words), key=lambda x: len(x[0]))
-        sizes = np.fromiter((len(r) for r, _ in raw), dtype=np.int64, count=len(raw))
+            bytes_of[i] = token.encode()
+        self.vocabulary = pa.array(bytes_of, pa.large_binary())
+
+    def merge(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words one after another, and where each word's begin; words of like length are merged together."""
+        offsets = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+        raw = np.frombuffer(words.buffers()[2] or b"\0", dtype=np.uint8)
+        sizes = np.diff(offsets)
+        order = np.argsort(sizes, kind="stable")
         byte_ids = np.array(self.merges.byte_ids, dtype=np.int32)
+        out, many = [], []
         begin = 0
-        for width in (4, 8, 12, 16, 24, 32, 64, SHORT):
-            end = int(np.searchsorted(sizes, width, side="right"))
+        for width in WIDTHS:
+            end = int(np.searchsorted(sizes[order], width, side="right"))
             for start in range(begin, end, 16384):
-                group = raw[start : min(end, start + 16384)]
-                held = sizes[start : start + len(group), None] > np.arange(width)
-                ids = np.full((len(group), width), -1, dtype=np.int32)
-                ids[held] = byte_ids[np.frombuffer(b"".join(r for r, _ in group), dtype=np.uint8)]
+                group = order[start : min(end, start + 16384)]
+                held = sizes[group, None] > np.arange(width)
+                ids = np.full(held.shape, -1, dtype=np.int32)
+                ids[held] = byte_ids[raw[(offsets[group, None] + np.arange(width))[held]]]
                 merged = merge_short(ids, self.merges.table)
-                count = (merged >= 0).sum(axis=1)
-                packed = merged[merged >= 0].astype("<u4").tobytes()
-                ends = (4 * np.cumsum(count)).tolist()
-                self.words.young.update((w, packed[i:j]) for (_, w), i, j in zip(group, [0, *ends[:-1]], ends, strict=True))
+                out.append(merged[merged >= 0])
+                many.append((merged >= 0).sum(axis=1))
             begin = end
-        for r, w in raw[begin:]:
-            ids = merge_long([self.merges.byte_ids[b] for b in r], self.merges.pairs)
-            self.words.young[w] = struct.pack(f"<{len(ids)}I", *ids)
-
-    def each(self, words: list[str]) -> list[bytes]:
-        """Packed ids of every word."""
-        self.learn(self.words.absent(set(words)))
-        return list(map(self.words.young.__getitem__, words))
-
-    def plain(self, text: str) -> bytes:
-        return b"".join(self.each(self.find(text)))
-
-    def learn_units(self, new: list[str]) -> None:
-        """Ids of what stands between two spaces, the first of them included.
-
-        A space before a character that is none always begins a word, so such units are independent of each other. An
-        empty unit, or one that begins with white space, is not: it is kept as None, and its text is cut as a whole.
-        """
-        odd = [u for u in new if not u or u[0] in self.blank]
-        if odd:
-            self.units.young.update(dict.fromkeys(odd))
-            new = [u for u in new if u and u[0] not in self.blank]
-        if not new:
-            return
-        words = self.find(" " + " ".join(new))
-        packed = self.each(words)
-        ends = list(itertools.accumulate(map(len, packed)))
-        begins = [e - len(p) for w, p, e in zip(words, packed, ends, strict=True) if w[0] == " "]
-        flat = b"".join(packed)
-        self.units.young.update((u, flat[i:j]) for u, i, j in zip(new, begins, [*begins[1:], len(flat)], strict=True))
-
-    def joined(self, units: list[str], text: str) -> bytes:
-        try:
-            return b"".join([*self.each(self.find(units[0])), *map(self.units.young.__getitem__, units[1:])])
-        except TypeError:  # a unit that depends on its neighbours
-            return self.plain(text)
+        for i in order[begin:].tolist():
+            out.append(np.array(merge_long(byte_ids[raw[offsets[i] : offsets[i + 1]]].tolist(), self.merges.pairs), dtype=np.int32))
+            many.append(np.array([len(out[-1])]))
+        if not out:
+            return np.zeros(0, dtype="<u4"), np.zeros(1, dtype=np.int64)
+        count = np.concatenate(many)
+        ends = np.cumsum(count)
+        size, first = np.empty(len(order), dtype=np.int64), np.empty(len(order), dtype=np.int64)
+        size[order], first[order] = count, ends - count
+        return gathered(np.concatenate(out).astype("<u4"), first, size)
+
+    def merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``merge`` for words that may repeat."""
+        coded = pa.array(words, pa.string()).dictionary_encode()
+        flat, ends = self.merge(coded.dictionary)
+        number = coded.indices.to_numpy()
+        return gathered(flat, ends[number], np.diff(ends)[number])
 
     def encode(self, text: str | None) -> bytes:
+        """The packed ids of one text."""
         if not text:
             return b""
         if self.special is None or "<|" not in text:
-            return self.plain(text)
+            return self.merged(self.find(text))[0].tobytes()
         specials = self.merges.specials
-        return b"".join(struct.pack("<I", specials[p]) if p in specials else self.plain(p) for p in self.special.split(text) if p)
+        return b"".join(struct.pack("<I", specials[p]) if p in specials else self.merged(self.find(p))[0].tobytes() for p in self.special.split(text) if p)
 
-    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        """All units that a batch brings are learnt at once."""
-        special = [bool(t) and self.special is not None and "<|" in t for t in texts]
-        units = [[] if odd or not t else t.split(" ") for odd, t in zip(special, texts, strict=True)]
-        new: set[str] = set()
-        new.update(*(u[1:] for u in units))
-        self.learn_units(self.units.absent(new))
-        return [self.encode(t) if odd else self.joined(u, t) if u else b"" for odd, t, u in zip(special, texts, units, strict=True)]
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and where each text's begin (and the last one's end).
 
-    def decode(self, packed: bytes) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, memoryview(packed).cast("I"))).decode("utf-8", "replace")
+        Arrow cuts the texts at spaces and numbers the distinct units. A space before a character that is none always
+        begins a word, so a unit with the space before it is independent of its neighbours, and Python cuts each distinct
+        unit to words once. A text with an empty unit, or one that begins with white space, is cut as a whole.
+        """
+        texts = pc.fill_null(texts, "")
+        apart = np.asarray(pc.match_substring(texts, "<|")) if self.special is not None else np.zeros(len(texts), bool)
+        cut = pc.split_pattern(pc.if_else(pa.array(apart), "", texts), " ")
+        begins = cut.offsets.to_numpy().astype(np.int64)  # every text has a unit at least, if an empty one
+        coded = cut.values.dictionary_encode()
+        number = coded.indices.to_numpy().astype(np.int64)
+        units = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        # the first unit of a text has no space before it
+        leads, lead = np.unique(number[begins[:-1]], return_inverse=True)
+        number[begins[:-1]] = len(units) + lead
+        leads = [units[i] for i in leads.tolist()]
+        odd = np.fromiter((not u or u[0] in self.blank for u in units), dtype=bool, count=len(units))
+        whole = np.flatnonzero(np.add.reduceat(np.append(odd, np.zeros(len(leads), dtype=bool))[number].astype(np.int32), begins[:-1]) > 0) if len(texts) else begins[:0]
+        plain = units if not odd.any() else [u for u, o in zip(units, odd.tolist(), strict=True) if not o]
+        words = self.find(" " + " ".join(plain)) if plain else []
+        first = np.fromiter((w[0] == " " for w in words), dtype=bool, count=len(words))
+        lists = [self.find(t) for t in leads] + [self.find(texts[i].as_py()) for i in whole.tolist()]
+        starts = np.full(len(units), -1)
+        starts[~odd] = np.flatnonzero(first)
+        # where the words of every unit, first unit and whole text begin and end
+        later = np.append(len(words), len(words) + np.cumsum([len(x) for x in lists])).astype(np.int64)
+        stops = np.full(len(units), -1)
+        stops[~odd] = np.append(starts[~odd], len(words))[1:]
+        flat, ends = self.merged([*words, *itertools.chain.from_iterable(lists)])
+        begin, end = ends[np.append(starts, later[:-1])], ends[np.append(stops, later[1:])]
+        if len(whole) or apart.any():
+            owner = np.repeat(np.arange(len(texts)), np.diff(begins))
+            alone = np.flatnonzero(apart)
+            more = [np.frombuffer(self.encode(texts[i].as_py()), dtype="<u4") for i in alone.tolist()]
+            after = len(flat) + np.append(0, np.cumsum([len(m) for m in more])).astype(np.int64)
+            flat = np.concatenate([flat, *more])
+            number[np.isin(owner, np.append(whole, alone))] = len(begin)
+            number[begins[whole]] = len(units) + len(leads) + np.arange(len(whole))
+            number[begins[alone]] = len(begin) + 1 + np.arange(len(alone))
+            begin, end = np.concatenate([begin, [0], after[:-1]]), np.concatenate([end, [0], after[1:]])
+        ids, ends = gathered(flat, begin[number], (end - begin)[number])
+        return ids, ends[begins]
+
+    def decode_batch(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of ids that stand one after another; ``ends`` as ``encode_batch`` gives them."""
+        taken = self.vocabulary.take(pa.array(ids))
+        raw = memoryview(taken.buffers()[2] or b"")
+        at = np.frombuffer(taken.buffers()[1], dtype=np.int64)[ends].tolist() if len(ids) else [0] * len(ends)
+        return [str(raw[i:j], "utf-8", "replace") for i, j in itertools.pairwise(at)]
+
+
+def grouped(batches: Iterator[pa.RecordBatch], limit: int = GROUP) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches together, up to about ``limit`` bytes: the more texts, the more often a word is one of before."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if held and size + batch.nbytes > limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
 
 
 _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder, and so one cache, per Python worker."""
+    """One encoder per Python worker."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
@@ -225,9 +251,11 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for batch in batches:
-            ids = enc.encode_batch(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())], ["id", "ids", "n_tokens"])
+        for batch in grouped(batches):
+            ids, ends = enc.encode_batch(batch.column(1))
+            raw = memoryview(ids).cast("B")
+            each = [bytes(raw[i:j]) for i, j in itertools.pairwise((4 * ends).tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(each, pa.binary()), pa.array(np.diff(ends))], ["id", "ids", "n_tokens"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, ids binary, n_tokens bigint").withColumnRenamed("id", id_col)
@@ -240,7 +268,9 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([enc.decode(x or b"") for x in batch.column(1).to_pylist()], pa.string())], ["id", "text"])
+            each = [x or b"" for x in batch.column(1).to_pylist()]
+            ends = np.append(0, np.cumsum([len(x) // 4 for x in each])).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(enc.decode_batch(np.frombuffer(b"".join(each), "<u4"), ends), pa.string())], ["id", "text"])
 
     kind = tokens.schema[id_col].dataType.simpleString()
     return tokens.select(tokens[id_col].alias("id"), tokens[ids_col].alias("ids")).mapInArrow(run, f"id {kind}, text string").withColumnRenamed("id", id_col)
@@ -252,13 +282,12 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for batch in batches:
-            counts, sums, decoded = [], [], []
-            for packed in enc.encode_batch(batch.column(1).to_pylist()):
-                counts.append(len(packed) // 4)
-                sums.append(hashlib.sha256(packed).hexdigest())
-                decoded.append(hashlib.sha256(enc.decode(packed).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(sums, pa.string()), pa.array(decoded, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        for batch in grouped(batches):
+            ids, ends = enc.encode_batch(batch.column(1))
+            raw = memoryview(ids).cast("B")
+            sums = [hashlib.sha256(raw[i:j]).hexdigest() for i, j in itertools.pairwise((4 * ends).tolist())]
+            decoded = [hashlib.sha256(t.encode()).hexdigest() for t in enc.decode_batch(ids, ends)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends)), pa.array(sums, pa.string()), pa.array(decoded, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)

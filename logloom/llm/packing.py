@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.bpe import encoder
+from logloom.llm.bpe import encoder, grouped
 from logloom.llm.common import small_batches
 
 WIDTH = 2048
@@ -109,11 +109,12 @@ def pack(docs: DataFrame, path: str, width: int = WIDTH, end: str | None = "<|en
         part = context.partitionId() if context else 0
         block: list[tuple[int | None, np.ndarray]] = []
         size = number = 0
-        for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), enc.encode_batch(batch.column(1).to_pylist()), strict=True):
-                if not ids:
+        for batch in grouped(batches):
+            ids, ends = enc.encode_batch(batch.column(1))
+            for k, doc in enumerate(batch.column(0).to_pylist()):
+                if ends[k] == ends[k + 1]:
                     continue
-                block.append((doc, np.concatenate([np.frombuffer(ids, "<u4"), last])))
+                block.append((doc, np.concatenate([ids[ends[k] : ends[k + 1]], last])))
                 size += len(block[-1][1])
                 if size >= block_tokens:
                     yield pack_block(f"{part:06d}-{number:06d}", block, width, pad)
