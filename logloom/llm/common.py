@@ -65,6 +65,15 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of two or three numbers that are sent to every task instead of shuffling the other side: some 50 MB at most.
+FEW = 2_000_000
+
+
+def small(df: DataFrame, most: int = FEW) -> DataFrame:
+    """``df``, to be broadcast if a count shows at most ``most`` rows; else joins shuffle both sides. Rows are a few numbers each."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 #: Folders of ``written`` tables that nobody has dropped yet, oldest first.
 _tables: list[str] = []
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import checkpointed, small_batches, written
+from logloom.llm.common import checkpointed, small, small_batches, written
 from logloom.llm.components import SALTS, components
 
 SEED = 42
@@ -264,7 +264,9 @@ def _similar(least: float):  # noqa: ANN202
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (u, v) of vertices whose shingle sets have at least that Jaccard similarity."""
     small_batches(pairs.sparkSession)
-    of_u, of_v = (sets.select(F.col("node").alias(x), F.col("shingles").alias(y)) for x, y in (("u", "a"), ("v", "b")))
+    nodes = checkpointed(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+    held = sets.join(small(nodes), "node", "left_semi")  # shingle sets are wide, and most of them are in no pair
+    of_u, of_v = (held.select(F.col("node").alias(x), F.col("shingles").alias(y)) for x, y in (("u", "a"), ("v", "b")))
     return checkpointed(pairs.join(of_u, "u").join(of_v, "v").select("u", "v", "a", "b").mapInArrow(_similar(similarity), "u bigint, v bigint"))
 
 
@@ -367,7 +369,7 @@ def sharing(rows: DataFrame, similarity: float) -> DataFrame:
     spark = rows.sparkSession
     keys = rows.groupBy("key").agg(F.count("*").alias("count"), F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b")
     keys = checkpointed(keys.select("key", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")))
-    live = rows.join(F.broadcast(keys) if keys.count() <= 200_000 else keys, "key")
+    live = rows.join(small(keys), "key")
     tile = F.pmod(F.xxhash64("node", F.lit(1)), F.col("tiles")).cast("int")
     dealt = live.withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     low, high = F.least("tile", "other"), F.greatest("tile", "other")
@@ -380,7 +382,7 @@ def sharing(rows: DataFrame, similarity: float) -> DataFrame:
 
 def named(sets: DataFrame, edges: DataFrame) -> DataFrame:
     """``sets`` with their component, the smallest node that edges lead to."""
-    return sets.join(components(edges), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return sets.join(small(components(edges)), "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
 def keep_one(docs: DataFrame, size: int = 5, bits: int = 8, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -402,7 +404,7 @@ def keep_one(docs: DataFrame, size: int = 5, bits: int = 8, similarity: float =
     rows = prefixes(named(sets.select("node", "shingles"), edges), similarity, frequent(sets, sets.count()))
     edges = edges.union(verified(sharing(rows, similarity), sets, similarity))
     stay = named(sets.select("node", "least"), edges).groupBy("component").agg(F.min("least").alias(id_col)).select(id_col).distinct()
-    kept = known.join(stay, id_col, "left_semi")
+    kept = known.join(small(checkpointed(stay)), id_col, "left_semi")
     if known.groupBy(id_col).count().filter("count > 1").limit(1).count():
         kept = kept.dropDuplicates([id_col, text_col])
     return kept.unionByName(docs.filter(docs[id_col].isNull()))
