@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from logloom.llm.common import small_batches
+from logloom.llm.common import small_batches, tidy
 from logloom.llm.merges import LAST, Merges, PairTable, byte_symbols, load
 
 #: Words of at most this many bytes are merged by scans.
@@ -32,7 +32,7 @@ SHORT = 128
 #: Widths of the arrays in which words are merged together, in bytes.
 WIDTHS = (2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 14, 16, 20, 24, 32, 48, 64, 96, SHORT)
 #: Bytes of text that are encoded together; a longer text is encoded alone.
-GROUP = 8 << 20
+GROUP = 4 << 20
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Fixed value: the word pattern of the byte-level pre-tokeniser.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N}]+|[" + SPACE + "]+(?![^" + SPACE + "])|[" + SPACE + "]+"
@@ -258,7 +258,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(each, pa.binary()), pa.array(np.diff(ends))], ["id", "ids", "n_tokens"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, ids binary, n_tokens bigint").withColumnRenamed("id", id_col)
+    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(tidy(run), f"id {kind}, ids binary, n_tokens bigint").withColumnRenamed("id", id_col)
 
 
 def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -273,7 +273,7 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(enc.decode_batch(np.frombuffer(b"".join(each), "<u4"), ends), pa.string())], ["id", "text"])
 
     kind = tokens.schema[id_col].dataType.simpleString()
-    return tokens.select(tokens[id_col].alias("id"), tokens[ids_col].alias("ids")).mapInArrow(run, f"id {kind}, text string").withColumnRenamed("id", id_col)
+    return tokens.select(tokens[id_col].alias("id"), tokens[ids_col].alias("ids")).mapInArrow(tidy(run), f"id {kind}, text string").withColumnRenamed("id", id_col)
 
 
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -290,4 +290,4 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends)), pa.array(sums, pa.string()), pa.array(decoded, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(tidy(run), f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +67,20 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(run: Callable) -> Callable:
+    """``run`` over the batches of a task; what it has freed goes back to the system at its end, since workers stay for the next stage."""
+
+    def inner(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return inner
+
+
 #: Rows of two or three numbers that are sent to every task instead of shuffling the other side: some 50 MB at most.
 FEW = 2_000_000
 

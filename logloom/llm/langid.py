@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logloom.llm.common import small_batches, written
+from logloom.llm.common import small_batches, tidy, written
 from logloom.llm.subwords import PART, mixed
 
 SIZES = (1, 2, 3)
@@ -170,4 +170,4 @@ def identify(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], ["id", "lang_pred", "score", "rejected"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, lang_pred string, score double, rejected boolean").withColumnRenamed("id", id_col)
+    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(tidy(run), f"id {kind}, lang_pred string, score double, rejected boolean").withColumnRenamed("id", id_col)

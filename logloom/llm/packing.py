@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.bpe import encoder, grouped
-from logloom.llm.common import small_batches
+from logloom.llm.common import small_batches, tidy
 
 WIDTH = 2048
 BLOCK_TOKENS = 1 << 20
@@ -122,7 +122,7 @@ def pack(docs: DataFrame, path: str, width: int = WIDTH, end: str | None = "<|en
         if block:
             yield pack_block(f"{part:06d}-{number:06d}", block, width, pad)
 
-    return docs.select(docs[id_col].cast("bigint").alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(docs[id_col].cast("bigint").alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(tidy(run), SCHEMA)
 
 
 def positions(packed: DataFrame) -> DataFrame:
@@ -170,7 +170,7 @@ def write_binary(packed: DataFrame, folder: str, width: int = WIDTH) -> DataFram
                 store.delete_file(f"{path}/{f}")
 
     manifest = f"{folder}/manifest"
-    packed.select("shard", "input_ids", "cu_seqlens").mapInArrow(run, MANIFEST).write.mode("overwrite").parquet(manifest)
+    packed.select("shard", "input_ids", "cu_seqlens").mapInArrow(tidy(run), MANIFEST).write.mode("overwrite").parquet(manifest)
     return packed.sparkSession.read.parquet(manifest)
 
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import checkpointed, small, small_batches, written
+from logloom.llm.common import checkpointed, small, small_batches, tidy, written
 from logloom.llm.components import SALTS, components
 
 SEED = 42
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, size: int = 4, id_col: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, fp bigint").withColumnRenamed("id", id_col)
+    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(tidy(run), f"id {kind}, fp bigint").withColumnRenamed("id", id_col)
 
 
 def masks(blocks: int, bits: int) -> list[int]:
@@ -204,7 +204,7 @@ def link(prints: DataFrame, bits: int = 4) -> DataFrame:
         plain = plain.union(pairs.select(F.xxhash64("key", low, high).alias("key"), "fp", side.alias("side")))
     rows = plain.select("key", "side", "fp").repartition("key").sortWithinPartitions("key", "side", "fp")
     small_batches(spark)
-    return rows.mapInArrow(_scanner(pivots(), bits), "u bigint, v bigint").distinct()
+    return rows.mapInArrow(tidy(_scanner(pivots(), bits)), "u bigint, v bigint").distinct()
 
 
 def cluster(docs: DataFrame, size: int = 4, bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,7 +245,7 @@ def shingle_sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> Data
             yield pa.RecordBatch.from_arrays([batch.column(0), *longs, pa.array(out, pa.binary())], ["id", "fp", "hi", "lo", "shingles"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, fp bigint, hi bigint, lo bigint, shingles binary")
+    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(tidy(run), f"id {kind}, fp bigint, hi bigint, lo bigint, shingles binary")
 
 
 def _similar(least: float):  # noqa: ANN202
@@ -267,7 +267,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     nodes = checkpointed(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
     held = sets.join(small(nodes), "node", "left_semi")  # shingle sets are wide, and most of them are in no pair
     of_u, of_v = (held.select(F.col("node").alias(x), F.col("shingles").alias(y)) for x, y in (("u", "a"), ("v", "b")))
-    return checkpointed(pairs.join(of_u, "u").join(of_v, "v").select("u", "v", "a", "b").mapInArrow(_similar(similarity), "u bigint, v bigint"))
+    return checkpointed(pairs.join(of_u, "u").join(of_v, "v").select("u", "v", "a", "b").mapInArrow(tidy(_similar(similarity)), "u bigint, v bigint"))
 
 
 def frequent(sets: DataFrame, n: int, sample: int = 20_000, most: int = 100_000) -> np.ndarray:
@@ -280,7 +280,7 @@ def frequent(sets: DataFrame, n: int, sample: int = 20_000, most: int = 100_000)
                 yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(count.astype(np.int64))], ["h", "c"])
 
     part = sets.filter(F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1_000_000)) < math.ceil(1_000_000 * min(1.0, sample / max(n, 1))))
-    counted = part.select("shingles").mapInArrow(run, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")).filter("c > 2")
+    counted = part.select("shingles").mapInArrow(tidy(run), "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")).filter("c > 2")
     rows = counted.orderBy(F.desc("c"), "h").limit(most).collect()
     return np.array([r["h"] for r in reversed(rows)], dtype=np.uint32)
 
@@ -315,7 +315,7 @@ def prefixes(sets: DataFrame, similarity: float, last: np.ndarray) -> DataFrame:
                 k, key, n, place = (np.concatenate(x) for x in zip(*parts, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(key), batch.column(0).take(pa.array(k)), batch.column(1).take(pa.array(k)), pa.array(n), pa.array(place)], ["key", "node", "component", "n", "place"])
 
-    return sets.select("node", "component", "shingles").mapInArrow(run, "key bigint, node bigint, component bigint, n bigint, place bigint")
+    return sets.select("node", "component", "shingles").mapInArrow(tidy(run), "key bigint, node bigint, component bigint, n bigint, place bigint")
 
 
 def _sharing(similarity: float):  # noqa: ANN202
@@ -377,7 +377,7 @@ def sharing(rows: DataFrame, similarity: float) -> DataFrame:
     dealt = dealt.select(F.xxhash64("key", low, high).alias("key"), side.alias("side"), "node", "component", "n", "place")
     small_batches(spark)
     dealt = dealt.repartition("key").sortWithinPartitions("key", "side", "node")
-    return checkpointed(dealt.mapInArrow(_sharing(similarity), "u bigint, v bigint").distinct())
+    return checkpointed(dealt.mapInArrow(tidy(_sharing(similarity)), "u bigint, v bigint").distinct())
 
 
 def named(sets: DataFrame, edges: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import small_batches, written
+from logloom.llm.common import small_batches, tidy, written
 from logloom.llm.suffix_order import PERIOD, equal_neighbours, suffix_order
 
 DEPTH, GRAM = 100, 32
@@ -368,17 +368,17 @@ def marks_of(rows: DataFrame, unique: bool, depth: int = DEPTH, gram: int = GRAM
         raise ValueError("a run's offset and number of starts have eight bits each: depth has to be from gram to gram + 254")
     small_batches(rows.sparkSession)
     distinct = rows if unique else rows.dropDuplicates(["doc", "hash"])
-    runs = distinct.mapInArrow(_runs(depth, gram, chunk, local_hot), "g bigint, u bigint, w bigint, doc bigint, hash bigint, pack bigint, kind tinyint")
+    runs = distinct.mapInArrow(tidy(_runs(depth, gram, chunk, local_hot)), "g bigint, u bigint, w bigint, doc bigint, hash bigint, pack bigint, kind tinyint")
     dealt = F.when(F.col("kind") == MARK, F.xxhash64("doc", "hash", "pack")).when(F.col("kind") == SPREAD, F.xxhash64("g", "u")).otherwise(F.col("g"))
     ordered = runs.repartition(dealt).sortWithinPartitions("g", "u", "w", "doc", "hash", "pack")
-    replies = written(ordered.mapInArrow(_replies(heavy), "g bigint, doc bigint, hash bigint, pack bigint, kind tinyint"))
+    replies = written(ordered.mapInArrow(tidy(_replies(heavy)), "g bigint, doc bigint, hash bigint, pack bigint, kind tinyint"))
     levels = replies.filter(F.col("kind") == HEAVY).groupBy("g").agg(F.max("pack").alias("n")).select("g", F.when(F.col("n") > 16 * heavy, 2).otherwise(1).alias("level"))
     if levels.count() <= 500_000:  # two numbers a row
         levels = F.broadcast(levels)
     checked = replies.filter(F.col("kind") == CHECK).join(levels, "g", "left").select("doc", "hash", F.struct("pack", "g", F.coalesce("level", F.lit(0)).alias("level")).alias("run"))
     of_doc = checked.groupBy("doc", "hash").agg(F.collect_list("run").alias("runs"))
     cut = distinct.join(of_doc, null_safe(distinct, of_doc)).select(distinct["doc"], distinct["hash"], distinct["text"], of_doc["runs"])
-    pieces = written(cut.mapInArrow(_pieces(depth, gram, chunk), "key bigint, doc bigint, hash bigint, start bigint, count bigint, offset bigint, body binary, single boolean"))
+    pieces = written(cut.mapInArrow(tidy(_pieces(depth, gram, chunk)), "key bigint, doc bigint, hash bigint, start bigint, count bigint, offset bigint, body binary, single boolean"))
     known = pieces.filter("body is null").select("doc", "hash", "start", "count")
     whole = replies.filter(F.col("kind") == MARK).select("doc", "hash", F.shiftright("pack", 16).alias("start"), F.shiftright("pack", 8).bitwiseAND(F.lit(255).cast("bigint")).alias("count"))
     # single passages need no order: the first place of equal bytes stays, found by a minimum with partial aggregation
@@ -386,7 +386,7 @@ def marks_of(rows: DataFrame, unique: bool, depth: int = DEPTH, gram: int = GRAM
     first = singles.groupBy("body").agg(F.min(F.struct(F.col("doc").isNotNull().alias("known"), "doc", "hash", "start")).alias("f")).select("f.doc", "f.hash", "f.start")
     later = singles.join(first, null_safe(singles, first) & (singles["start"] == first["start"]), "left_anti").select("doc", "hash", "start", "count")
     ordered = pieces.filter("body is not null and not single").drop("single").repartition("key").sortWithinPartitions("key")
-    found = ordered.mapInArrow(_sorted_marks(depth, block), "doc bigint, hash bigint, start bigint, count bigint")
+    found = ordered.mapInArrow(tidy(_sorted_marks(depth, block)), "doc bigint, hash bigint, start bigint, count bigint")
     return whole.union(known).union(later).union(found).groupBy("doc", "hash").agg(F.collect_list(F.struct("start", "count")).alias("marks"))
 
 
@@ -395,7 +395,7 @@ def dedup(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", text_col:
     rows, unique = _keyed(docs, id_col, text_col)
     marks = marks_of(rows, unique, depth, **options)
     joined = rows.join(marks, null_safe(rows, marks), "left").select(rows["doc"], rows["text"], marks["marks"])
-    return joined.mapInArrow(_cut(depth), "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary").withColumnRenamed("doc", id_col)
+    return joined.mapInArrow(tidy(_cut(depth)), "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary").withColumnRenamed("doc", id_col)
 
 
 def cut_texts(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = "n_chars", **options) -> DataFrame:
@@ -424,7 +424,7 @@ def cut_texts(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", text_
             columns[at] = pa.array(texts, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    out = picked.mapInArrow(run, docs.schema)
+    out = picked.mapInArrow(tidy(run), docs.schema)
     return out.withColumn(count_col, F.length(text_col).cast(docs.schema[count_col].dataType)) if count_col in names else out
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import small_batches
+from logloom.llm.common import small_batches, tidy
 from logloom.llm.subwords import hashed, words_of
 
 SIZES = (3, 4, 5)
@@ -175,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8000, prior: float =
         model = train([t if isinstance(t, str) else None for t in pdf["text"]], pdf["y"].to_numpy(dtype=np.int64), prior=prior)
         yield pd.DataFrame({"model": [pickle.dumps({"value": model["value"].astype(np.float32), "bias": model["bias"]})]})
 
-    found = rows.mapInPandas(run, "model binary").collect()
+    found = rows.mapInPandas(tidy(run), "model binary").collect()
     return bytes(found[0]["model"]) if found else pickle.dumps(train([], np.zeros(0, np.int64), prior=prior))
 
 
@@ -192,7 +192,7 @@ def score(docs: DataFrame, model: bytes, threshold: float = 0.5, id_col: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64()), pa.array([int(x >= threshold) for x in found], pa.int32())], ["id", "score", "predicted"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, f"id {kind}, score double, predicted int").withColumnRenamed("id", id_col)
+    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(tidy(run), f"id {kind}, score double, predicted int").withColumnRenamed("id", id_col)
 
 
 def keep_clean(docs: DataFrame, model: bytes, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
@@ -208,4 +208,4 @@ def keep_clean(docs: DataFrame, model: bytes, threshold: float = 0.5, text_col:
             found = scorer.score(batch.column(at).to_pylist())
             yield batch.filter(pa.array([x < threshold for x in found], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
