@@ -81,8 +81,8 @@ def tidy(run: Callable) -> Callable:
     return inner
 
 
-#: Rows of two or three numbers that are sent to every task instead of shuffling the other side: some 50 MB at most.
-FEW = 2_000_000
+#: Rows of two or three numbers that are sent to every task instead of shuffling the other side: some 10 MB at most.
+FEW = 300_000
 
 
 def small(df: DataFrame, most: int = FEW) -> DataFrame:

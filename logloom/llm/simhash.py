@@ -285,15 +285,30 @@ def frequent(sets: DataFrame, n: int, sample: int = 20_000, most: int = 100_000)
     return np.array([r["h"] for r in reversed(rows)], dtype=np.uint32)
 
 
-def prefixes(sets: DataFrame, similarity: float, last: np.ndarray) -> DataFrame:
+#: Bits of the map of keys that can give a pair: a fixed 16 MB, whatever the input.
+MAP_BITS = 27
+
+
+def key_map(keys: DataFrame) -> np.ndarray:
+    """Which of ``2**MAP_BITS`` remainders the keys have, a bit each."""
+    place = F.pmod(F.col("key"), F.lit(1 << MAP_BITS)) + 1
+    found = keys.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    out = np.zeros((1 << MAP_BITS) // 8, dtype=np.uint8)
+    for r in found.toLocalIterator():  # parts of 4 KB
+        out[(r["part"] - 1) * 4096 :][: len(r["bits"])] = np.frombuffer(r["bits"], dtype=np.uint8)[: len(out)]
+    return out
+
+
+def prefixes(sets: DataFrame, similarity: float, last: np.ndarray, live: np.ndarray | None = None) -> DataFrame:
     """(key, node, component, n, place): of each set the shingles of which sets that similar must share one.
 
     Sets of n and m shingles with a Jaccard similarity of t share t * max(n, m) at least. With all shingles in one order,
-    they then share one among the first n - ceil(t * n) + 1 of the one and the first m - ceil(t * m) + 1 of the other.
+    they then share one among the first n - ceil(t * n) + 1 of the one and the first m - ceil(t * m) + 1 of the other. Keys
+    that are not in the map ``live`` are left out; those that are there by chance do no harm.
     """
     spark = sets.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(last)
+    shared, kept = spark.sparkContext.broadcast(last), spark.sparkContext.broadcast(live)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(shared.value, kind="stable")
@@ -310,7 +325,11 @@ def prefixes(sets: DataFrame, similarity: float, last: np.ndarray) -> DataFrame:
                     rank = np.where(known[at] == a, order[at] + 1, 0)
                 upto = len(a) - math.ceil(similarity * len(a) - 1e-9) + 1
                 first = a[np.lexsort((a, rank))[:upto]]
-                parts.append([np.full(len(first), k), first.astype(np.int64), np.full(len(first), len(a)), np.arange(len(first))])
+                at = np.arange(len(first))
+                if kept.value is not None:
+                    low = first & np.uint32((1 << MAP_BITS) - 1)
+                    at = np.flatnonzero((kept.value[low >> np.uint32(3)] >> (low & np.uint32(7)).astype(np.uint8)) & 1)
+                parts.append([np.full(len(at), k), first[at].astype(np.int64), np.full(len(at), len(a)), at])
             if parts:
                 k, key, n, place = (np.concatenate(x) for x in zip(*parts, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(key), batch.column(0).take(pa.array(k)), batch.column(1).take(pa.array(k)), pa.array(n), pa.array(place)], ["key", "node", "component", "n", "place"])
@@ -361,15 +380,15 @@ def _sharing(similarity: float):  # noqa: ANN202
     return run
 
 
-def sharing(rows: DataFrame, similarity: float) -> DataFrame:
-    """(u, v): every pair of different components that can have that similarity; ``rows`` as ``prefixes`` gives them.
+def sharing(sets: DataFrame, similarity: float, last: np.ndarray) -> DataFrame:
+    """(u, v): every pair of sets (node, component, shingles) of different components that can have that similarity.
 
     Keys of one component are left out by an aggregate; of the others, those with more than ``TILE`` rows are tiled.
     """
-    spark = rows.sparkSession
-    keys = rows.groupBy("key").agg(F.count("*").alias("count"), F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b")
-    keys = checkpointed(keys.select("key", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")))
-    live = rows.join(small(keys), "key")
+    spark = sets.sparkSession
+    counted = prefixes(sets, similarity, last).groupBy("key").agg(F.count("*").alias("count"), F.min("component").alias("a"), F.max("component").alias("b"))
+    keys = written(counted.filter("a <> b").select("key", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")))
+    live = prefixes(sets, similarity, last, key_map(keys)).join(small(keys), "key")
     tile = F.pmod(F.xxhash64("node", F.lit(1)), F.col("tiles")).cast("int")
     dealt = live.withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     low, high = F.least("tile", "other"), F.greatest("tile", "other")
@@ -401,8 +420,8 @@ def keep_one(docs: DataFrame, size: int = 5, bits: int = 8, similarity: float =
     near = near.join(prints.select(F.col("fp").alias("u"), F.col("head").alias("x")), "u").join(prints.select(F.col("fp").alias("v"), F.col("head").alias("y")), "v").select(F.col("x").alias("u"), F.col("y").alias("v"))
     near = near.union(sets.join(prints, "fp").filter("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v")))
     edges = verified(checkpointed(near), sets, similarity)
-    rows = prefixes(named(sets.select("node", "shingles"), edges), similarity, frequent(sets, sets.count()))
-    edges = edges.union(verified(sharing(rows, similarity), sets, similarity))
+    pairs = sharing(named(sets.select("node", "shingles"), edges), similarity, frequent(sets, sets.count()))
+    edges = edges.union(verified(pairs, sets, similarity))
     stay = named(sets.select("node", "least"), edges).groupBy("component").agg(F.min("least").alias(id_col)).select(id_col).distinct()
     kept = known.join(small(checkpointed(stay)), id_col, "left_semi")
     if known.groupBy(id_col).count().filter("count > 1").limit(1).count():
