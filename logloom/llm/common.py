@@ -49,7 +49,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    held = df.checkpoint(eager=True)
+    forget(df.sparkSession)
+    return held
+
+
+def forget(spark: SparkSession) -> None:
+    """Let the driver collect what no frame refers to any more, so Spark removes the shuffles behind it now and not some time later."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -62,8 +70,7 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     _tables.append(path)
     df.write.option("compression", "zstd").parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    forget(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -270,7 +270,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return checkpointed(pairs.join(of_u, "u").join(of_v, "v").select("u", "v", "a", "b").mapInArrow(tidy(_similar(similarity)), "u bigint, v bigint"))
 
 
-def frequent(sets: DataFrame, n: int, sample: int = 20_000, most: int = 100_000) -> np.ndarray:
+def frequent(sets: DataFrame, n: int, sample: int = 20_000, most: int = 20_000) -> np.ndarray:
     """Shingles that are frequent in a sample, the rarest first. They only order the prefixes; no result depends on them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,12 +281,11 @@ def frequent(sets: DataFrame, n: int, sample: int = 20_000, most: int = 100_000)
 
     part = sets.filter(F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1_000_000)) < math.ceil(1_000_000 * min(1.0, sample / max(n, 1))))
     counted = part.select("shingles").mapInArrow(tidy(run), "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")).filter("c > 2")
-    rows = counted.orderBy(F.desc("c"), "h").limit(most).collect()
-    return np.array([r["h"] for r in reversed(rows)], dtype=np.uint32)
+    return counted.orderBy(F.desc("c"), "h").limit(most).toPandas()["h"].to_numpy(dtype=np.uint32)[::-1].copy()
 
 
-#: Bits of the map of keys that can give a pair: a fixed 16 MB, whatever the input.
-MAP_BITS = 27
+#: Bits of the map of keys that can give a pair: a fixed 8 MB, whatever the input.
+MAP_BITS = 26
 
 
 def key_map(keys: DataFrame) -> np.ndarray:
@@ -294,7 +293,7 @@ def key_map(keys: DataFrame) -> np.ndarray:
     place = F.pmod(F.col("key"), F.lit(1 << MAP_BITS)) + 1
     found = keys.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     out = np.zeros((1 << MAP_BITS) // 8, dtype=np.uint8)
-    for r in found.toLocalIterator():  # parts of 4 KB
+    for r in found.collect():  # parts of 4 KB
         out[(r["part"] - 1) * 4096 :][: len(r["bits"])] = np.frombuffer(r["bits"], dtype=np.uint8)[: len(out)]
     return out
 
