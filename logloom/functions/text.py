@@ -9,18 +9,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Scripts written without spaces: kana, Han, Thai, Lao, Khmer, Myanmar.
-UNSPACED = r"[\x{3040}-\x{30ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{0e00}-\x{0eff}\x{1780}-\x{17ff}\x{1000}-\x{109f}]"
+#: Code points of scripts that are written without spaces (kana, Han, Thai, Lao, Myanmar, Khmer).
+UNSPACED = "[\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff]"
+
+#: Characters whose case folding is not their lower case, such as sharp s, final sigma and ligatures, and what they fold to.
+FOLDED = {c: c.casefold() for c in map(chr, range(0x110000)) if c.casefold() != c.lower()}
 
 
 def fold(x: Column) -> Column:
-    """Case folding for matching: lower case, and sharp s as two letters."""
-    return F.replace(F.lower(x), F.lit("ß"), F.lit("ss"))
+    """Full Unicode case folding; only texts that hold one of the special characters go through their table."""
+    low = F.lower(x)
+    table = F.split(F.lit("\n".join(f"{a}\t{b}" for a, b in FOLDED.items())), "\n")
+    mapped = F.aggregate(table, low, lambda text, pair: F.replace(text, F.substring_index(pair, "\t", 1), F.substring_index(pair, "\t", -1)))
+    return F.when(low.rlike("[" + "".join(FOLDED) + "]"), mapped).otherwise(low)
 
 
 def normalize_name(x: Column, joiner: str = " ") -> Column:
-    """Folded words joined by ``joiner``; null gives an empty string."""
-    return F.trim(F.regexp_replace(fold(F.coalesce(x, F.lit(""))), r"(?U)[\W_]+", joiner))
+    """Folded words (letters and numbers) joined by ``joiner``; null gives an empty string."""
+    return F.trim(F.regexp_replace(fold(F.coalesce(x, F.lit(""))), r"[^\p{L}\p{N}]+", joiner))
 
 
 def collapse_space(x: Column) -> Column:

@@ -81,10 +81,12 @@ def contained(texts: DataFrame, text: str, names: DataFrame, name: str, max_name
 
 
 def union_checked(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Columns of both sides by row key; shared columns must agree in every row."""
+    """Columns of both sides by row key; both must have the same keys, and shared columns must agree in every row."""
     shared = [c for c in left.columns if c in right.columns and c != key]
     b = right.select(key, *[F.col(c).alias(f"__{c}") if c in shared else F.col(c) for c in right.columns if c != key])
-    out = left.join(b, key)
+    out = left.withColumn("__left", F.lit(1)).join(b.withColumn("__right", F.lit(1)), key, "full")
+    both = F.col("__left").isNotNull() & F.col("__right").isNotNull()
+    out = out.withColumn(key, F.when(both, F.col(key)).otherwise(F.raise_error(F.lit("a row stands on one side only")).cast(left.schema[key].dataType))).drop("__left", "__right")
     for c in shared:
         out = out.withColumn(c, F.when(F.col(c).eqNullSafe(F.col(f"__{c}")), F.col(c)).otherwise(F.raise_error(F.lit(f"column {c} differs")).cast(left.schema[c].dataType))).drop(f"__{c}")
     return out

@@ -72,10 +72,12 @@ def length_weighted(df: DataFrame, group: str, reward: str, length: str) -> Data
     return df.withColumn("opo", F.col(reward) - F.sum(F.col(length) * F.col(reward)).over(w) / F.sum(length).over(w))
 
 
-def best_margin(df: DataFrame, group: str, reward: str, tie: str) -> DataFrame:
-    """Best minus second best to the best row of a group, 0 to the others; a group of one has no margin."""
+def best_margin(df: DataFrame, group: str, reward: str, tie: str, strict: bool = True) -> DataFrame:
+    """Best minus second best to the best row of a group, 0 to the others; a group of one is an error, or null if not ``strict``."""
     w = Window.partitionBy(group).orderBy(F.desc(reward), tie)
-    return df.withColumn("pass_k", F.when(F.row_number().over(w) == 1, F.col(reward) - F.lead(reward).over(w)).otherwise(F.lit(0.0)))
+    alone = F.count("*").over(Window.partitionBy(group)) == 1
+    margin = F.when(alone & F.lit(strict), F.raise_error(F.lit("a group of one has no margin")).cast("double")).otherwise(F.col(reward) - F.lead(reward).over(w))
+    return df.withColumn("pass_k", F.when(F.row_number().over(w) == 1, margin).otherwise(F.lit(0.0)))
 
 
 def zero_variance(df: DataFrame, group: str, value: str) -> DataFrame:

@@ -11,13 +11,15 @@ from pyspark.sql import types as T
 
 
 def lines(spark: SparkSession, paths: str | Sequence[str], glob: str = "*", recursive: bool = True) -> DataFrame:
-    """(path, line): non-blank lines of text files."""
+    """(path, place, line): non-blank lines of text files; ``place`` orders the lines of a file as they stand there."""
     df = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).text(paths)
-    return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line")).filter(F.trim("line") != "")
+    # a file may be read in several blocks; within one, rows are numbered as they are read
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return df.select(F.col("_metadata.file_path").alias("path"), place.alias("place"), F.col("value").alias("line")).filter(F.trim("line") != "")
 
 
 def json_lines(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str, strict: bool = False, glob: str = "*.jsonl") -> DataFrame:
-    """(path, line, drop, record): ``drop`` is ``invalid_json`` or ``not_an_object`` where there is no record.
+    """(path, place, line, drop, record): ``drop`` is ``invalid_json`` or ``not_an_object`` where there is no record.
 
     With ``strict`` a bad line fails the job with its path instead.
     """
@@ -30,8 +32,8 @@ def json_lines(spark: SparkSession, paths: str | Sequence[str], schema: T.Struct
     return df.withColumn("record", F.when(F.col("drop").isNull(), F.from_json("line", schema)))
 
 
-def first_per_file(df: DataFrame, n: int, order: str = "line") -> DataFrame:
-    """The first ``n`` rows of every file by ``order``."""
+def first_per_file(df: DataFrame, n: int, order: str = "place") -> DataFrame:
+    """The first ``n`` rows of every file, as they stand there."""
     from logloom.operators.windows import ranked
 
     return ranked(df, ["path"], [F.col(order)], "__rank").filter(F.col("__rank") <= n).drop("__rank")

@@ -142,9 +142,15 @@ def test_layer2_commercial_and_persona_rules():
     assert rules.layer2(row)[0] == {"same_name_merge_renamed", "delta_not_covered"}
     row["output"]["decisions"] = [merge | {"merged_interest_name": "Tea"}, {"action": "add", "delta_interest_name": "Art", "actual_activity": "x"}]
     assert rules.layer2(row)[0] == set()
-    entry = {"interest_name": "Tea", "commercial": True, "commercial_score": "low", "brands": ["B"], "retailers": [], "products": ["b"], "predicted_queries": ["Green tea"]}
+    entry = {"interest_name": "Tea", "commercial": True, "commercial_score": "low", "intent_funnel_stage": "research", "brands": ["B"], "retailers": [], "products": ["b"], "predicted_queries": ["Green tea"]}
     row = {"input": {"interests": [{"interest_name": "Tea", "actual_activity": "drinks B"}]}, "output": {"interest_commercial": [entry]}}
     assert rules.commercial(row) == (set(), {"query_not_lowercase", "product_overlaps_brand_retailer"})
+    assert rules.commercial({"input": {"interests": [{"interest_name": "Tea", "topics": [{"topic": "x", "date": "B"}]}]}, "output": row["output"]})[1] >= {"entity_not_in_evidence"}
+    row["output"]["interest_commercial"] = [entry | {"commercial": False}]
+    assert rules.commercial(row)[0] == {"schema_violation"} | {f"schema: {x}" for x in ("commercial_score: const", "intent_funnel_stage: const", "brands: maxItems", "products: maxItems", "predicted_queries: maxItems")}
+    none = entry | {"commercial": False, "commercial_score": None, "intent_funnel_stage": None, "brands": [], "products": [], "predicted_queries": []}
+    row["output"]["interest_commercial"] = [none]
+    assert rules.commercial(row) == (set(), set())
     row["output"]["interest_commercial"] = [dict(reversed(entry.items()))]
     assert rules.commercial(row)[0] == {"schema_violation", "schema: <entry>: key_order"}
     p = lambda n, c, t: {"interest_name": n, "category": c, "persona": t}
