@@ -298,12 +298,28 @@ def key_map(keys: DataFrame) -> np.ndarray:
     return out
 
 
+#: Longs of a sketch.
+WIDE = 8
+SKETCH = [f"s{k}" for k in range(WIDE)]
+
+
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """For each of ``64 * WIDE`` places whether an odd number of the set's hashes falls there.
+
+    Every place in which two sketches differ takes a shingle that only one of the sets has, so the sets differ in at
+    least as many shingles.
+    """
+    odd = (np.bincount(shingles >> np.uint32(32 - (64 * WIDE).bit_length() + 1), minlength=64 * WIDE) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
 def prefixes(sets: DataFrame, similarity: float, last: np.ndarray, live: np.ndarray | None = None) -> DataFrame:
-    """(key, node, component, n, place): of each set the shingles of which sets that similar must share one.
+    """(key, node, component, n, place, sketch): of each set the shingles of which sets that similar must share one.
 
     Sets of n and m shingles with a Jaccard similarity of t share t * max(n, m) at least. With all shingles in one order,
     they then share one among the first n - ceil(t * n) + 1 of the one and the first m - ceil(t * m) + 1 of the other. Keys
-    that are not in the map ``live`` are left out; those that are there by chance do no harm.
+    that are not in the map ``live`` are left out; those that are there by chance do no harm. Without a map the rows are
+    only counted and carry no sketch.
     """
     spark = sets.sparkSession
     small_batches(spark)
@@ -314,6 +330,7 @@ def prefixes(sets: DataFrame, similarity: float, last: np.ndarray, live: np.ndar
         known = shared.value[order]
         for batch in batches:
             parts: list[list[np.ndarray]] = []
+            drawn: list[np.ndarray] = []
             for k, packed in enumerate(batch.column(2).to_pylist()):
                 a = np.frombuffer(packed, np.uint32)
                 if not len(a):
@@ -328,19 +345,34 @@ def prefixes(sets: DataFrame, similarity: float, last: np.ndarray, live: np.ndar
                 if kept.value is not None:
                     low = first & np.uint32((1 << MAP_BITS) - 1)
                     at = np.flatnonzero((kept.value[low >> np.uint32(3)] >> (low & np.uint32(7)).astype(np.uint8)) & 1)
+                    drawn.append(np.repeat(sketch(a)[:, None], len(at), axis=1))
                 parts.append([np.full(len(at), k), first[at].astype(np.int64), np.full(len(at), len(a)), at])
             if parts:
                 k, key, n, place = (np.concatenate(x) for x in zip(*parts, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(key), batch.column(0).take(pa.array(k)), batch.column(1).take(pa.array(k)), pa.array(n), pa.array(place)], ["key", "node", "component", "n", "place"])
+                found = [pa.array(key), batch.column(0).take(pa.array(k)), batch.column(1).take(pa.array(k)), pa.array(n), pa.array(place)]
+                found += [pa.array(x) for x in np.concatenate(drawn, axis=1)] if drawn else []
+                yield pa.RecordBatch.from_arrays(found, names)
 
-    return sets.select("node", "component", "shingles").mapInArrow(tidy(run), "key bigint, node bigint, component bigint, n bigint, place bigint")
+    names = ["key", "node", "component", "n", "place"] + (SKETCH if live is not None else [])
+    return sets.select("node", "component", "shingles").mapInArrow(tidy(run), ", ".join(f"{x} bigint" for x in names))
 
 
 def _sharing(similarity: float):  # noqa: ANN202
-    """Pairs of one key that lie in different components and can still be as similar, by their sizes and places."""
+    """Pairs of one key that lie in different components and can still be as similar, by their sizes, places and sketches."""
+
+    def can_be(drawn: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which pairs have sketches no farther apart than sets of that similarity; most fail on the first words."""
+        kept, apart = np.arange(len(i)), np.zeros(len(i), dtype=np.int64)
+        most = (1 - similarity) * (n[i] + n[j]) + 1e-6
+        for word in drawn:
+            apart = apart + np.bitwise_count(word[i[kept]] ^ word[j[kept]])
+            still = (1 + similarity) * apart <= most[kept]
+            kept, apart = kept[still], apart[still]
+        return kept
 
     def pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        key, side, node, component, n, place = rows
+        key, side, node, component, n, place = rows[:6]
+        drawn = rows[6:].view(np.uint64)
         ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
         last = ends[np.searchsorted(ends, np.arange(len(key)), side="right")]
         alive, step, waiting, found = np.arange(len(key)), 1, 0, []
@@ -349,6 +381,8 @@ def _sharing(similarity: float):  # noqa: ANN202
             i, j = alive, alive + step
             most = np.minimum(n[i] - place[i], n[j] - place[j])
             hit = (component[i] != component[j]) & ((side[i] == 2) | (side[i] != side[j])) & ((1 + similarity) * most >= similarity * (n[i] + n[j]) - 1e-6)
+            i, j = i[hit], j[hit]
+            hit = can_be(drawn, n, i, j)
             i, j = node[i[hit]], node[j[hit]]
             found.append(np.stack([np.minimum(i, j), np.maximum(i, j)]))
             waiting += len(i)
@@ -364,7 +398,7 @@ def _sharing(similarity: float):  # noqa: ANN202
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(np.stack([batch.column(c).to_numpy() for c in range(6)]))
+            held.append(np.stack([batch.column(c).to_numpy() for c in range(6 + WIDE)]))
             waiting += batch.num_rows
             if waiting < 100_000:
                 continue
@@ -392,7 +426,7 @@ def sharing(sets: DataFrame, similarity: float, last: np.ndarray) -> DataFrame:
     dealt = live.withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     low, high = F.least("tile", "other"), F.greatest("tile", "other")
     side = F.when(low == high, 2).otherwise((F.col("tile") == high).cast("int")).cast("bigint")
-    dealt = dealt.select(F.xxhash64("key", low, high).alias("key"), side.alias("side"), "node", "component", "n", "place")
+    dealt = dealt.select(F.xxhash64("key", low, high).alias("key"), side.alias("side"), "node", "component", "n", "place", *SKETCH)
     small_batches(spark)
     dealt = dealt.repartition("key").sortWithinPartitions("key", "side", "node")
     return checkpointed(dealt.mapInArrow(tidy(_sharing(similarity)), "u bigint, v bigint").distinct())

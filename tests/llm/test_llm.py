@@ -346,6 +346,15 @@ def test_near_copies_equal_brute_force_from_the_threshold_up(spark, monkeypatch,
     assert sorted(x["doc_id"] for x in simhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()) == want
 
 
+def test_sketches_are_no_farther_apart_than_the_sets():
+    draw = np.random.default_rng(1)
+    for _ in range(100):
+        pool = np.unique(draw.integers(0, 2**32, draw.integers(2, 900), dtype=np.uint32))
+        a, b = (pool[draw.random(len(pool)) < 0.8] for _ in range(2))
+        x, y = (simhash.sketch(s).view(np.uint64) for s in (a, b))
+        assert len(x) == simhash.WIDE and np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
 # 7
 
 
