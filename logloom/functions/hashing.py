@@ -42,6 +42,25 @@ def input_digest(signals: Column) -> Column:
     return F.md5(F.to_json(F.array_sort(pairs)))
 
 
+def canonical_json(text: Column) -> Column:
+    """JSON with the keys of every object in order and without spaces; null where the text is no JSON or repeats a key.
+
+    A variant keeps the fields of an object sorted by name, so writing it out again is the canonical form.
+    """
+    return F.to_json(F.try_parse_json(text))
+
+
+def json_digest(text: Column) -> Column:
+    """MD5 of the canonical form: equal for texts that differ in the order of keys and in spaces alone."""
+    return F.md5(canonical_json(text))
+
+
+def pairs_digest(pairs: Column, name: str, text: str) -> Column:
+    """MD5 of an array of (name, text) in its order; texts without spaces that repeat, a last full stop or case. Null for an empty array."""
+    clean = lambda p: F.struct(p[name].alias("n"), fold(F.regexp_replace(collapse_space(F.coalesce(p[text], F.lit(""))), r"\.+$", "")).alias("t"))
+    return F.when(F.size(pairs) > 0, F.md5(F.to_json(F.transform(pairs, clean))))
+
+
 def actions_uid(actions: Column) -> Column:
     return F.sha2(F.array_join(F.array_sort(actions), "\n"), 256)
 

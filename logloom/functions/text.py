@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -14,14 +15,36 @@ UNSPACED = "[\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\u0e00-\u0eff\u1000-\u109f\u
 
 #: Characters whose case folding is not their lower case, such as sharp s, final sigma and ligatures, and what they fold to.
 FOLDED = {c: c.casefold() for c in map(chr, range(0x110000)) if c.casefold() != c.lower()}
+#: Of these, the ones that fold to one character, and the ones that fold to several.
+FOLDED_ONE, FOLDED_MORE = ({c: v for c, v in FOLDED.items() if (len(v) > 1) == several} for several in (False, True))
+
+
+def spans_of(characters: Iterable[str], gap: int = 64) -> str:
+    """A regular expression class of few ranges that holds the characters and, between near ones, others."""
+    ranges: list[list[int]] = []
+    for c in sorted(map(ord, characters)):
+        if ranges and c - ranges[-1][1] <= gap:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges) + "]"
+
+
+def folds_apart(x: Column) -> Column:
+    """Whether a text can hold characters whose folding is not their lower case."""
+    return F.lower(x).rlike(spans_of(FOLDED))
 
 
 def fold(x: Column) -> Column:
-    """Full Unicode case folding; only texts that hold one of the special characters go through their table."""
+    """Full Unicode case folding: one pass over characters that fold to one, replacements only in texts that can hold the others."""
     low = F.lower(x)
-    table = F.split(F.lit("\n".join(f"{a}\t{b}" for a, b in FOLDED.items())), "\n")
-    mapped = F.aggregate(table, low, lambda text, pair: F.replace(text, F.substring_index(pair, "\t", 1), F.substring_index(pair, "\t", -1)))
-    return F.when(low.rlike("[" + "".join(FOLDED) + "]"), mapped).otherwise(low)
+    one = F.translate(low, "".join(FOLDED_ONE), "".join(FOLDED_ONE.values()))
+    held = F.when(low.rlike(spans_of(FOLDED_ONE)), one).otherwise(low)
+    sharp = F.replace(held, F.lit("\u00df"), F.lit("ss"))
+    more = sharp
+    for c, v in FOLDED_MORE.items():
+        more = F.replace(more, F.lit(c), F.lit(v))
+    return F.when(sharp.rlike(spans_of(c for c in FOLDED_MORE if c != "\u00df")), more).otherwise(sharp)
 
 
 def normalize_name(x: Column, joiner: str = " ") -> Column:

@@ -93,9 +93,29 @@ def domain_sample(df: DataFrame, user: str, domain: str, item: str, seed: int, d
 
 
 def latest_evidence(evidence: Column, n: int = 3) -> Column:
-    """The last ``n`` of an array of (date, source, action), the first of equal ones kept, in order of date."""
-    distinct = F.array_sort(F.array_distinct(evidence))
-    return F.slice(distinct, F.greatest(F.size(distinct) - n + 1, F.lit(1)), n)
+    """The last ``n`` of an array of (date, source, action) in order of date; without those of no valid date, the first of equal ones kept.
+
+    Evidence of one date stays in the order it came in.
+    """
+    valid = F.array_distinct(F.filter(evidence, lambda e: dates.parse_date(F.trim(e["date"])).isNotNull()))
+    placed = F.transform(valid, lambda e, i: F.struct(dates.parse_date(F.trim(e["date"])).alias("d"), i.alias("i"), e.alias("e")))
+    ordered = F.transform(F.array_sort(placed), lambda x: x["e"])
+    return F.slice(ordered, F.greatest(F.size(ordered) - n + 1, F.lit(1)), n)
+
+
+def merged_topics(df: DataFrame, keys: Sequence[str], topic: str, order: str, n: int = 3) -> DataFrame:
+    """Topics of like name (trimmed, any case) as one: counts summed, sources and evidence united in order, dates spanned, highest confidence.
+
+    ``df`` has count, sources, evidence, first_date, last_date and confidence; the name and place are those of the first.
+    Topics without a name go.
+    """
+    keyed = df.withColumn("__k", F.lower(F.trim(topic))).filter(F.col("__k") != "")
+    united = lambda c: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(c).alias("v")))), lambda x: x["v"]))
+    out = keyed.groupBy(*keys, "__k").agg(
+        F.min_by(topic, order).alias(topic), F.min(order).alias(order), F.sum("count").alias("count"), F.array_distinct(united("sources")).alias("sources"),
+        latest_evidence(united("evidence"), n).alias("evidence"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"), F.max("confidence").alias("confidence"),
+    )
+    return out.drop("__k")
 
 
 def deduped_queries(df: DataFrame, user: str, mission: str, order: str, queries: str) -> DataFrame:

@@ -59,6 +59,48 @@ def assert_disjoint(train: DataFrame, test: DataFrame, key: str) -> None:
         raise ValueError(f"{key} on both sides, such as {[r[0] for r in bad]}")
 
 
+def set_then_each(requests: DataFrame, calls: DataFrame, scope: Sequence[str], request: str, call: str, item: str, value: str, valid: str = r"^\d{4}-\d{2}-\d{2}$") -> DataFrame:
+    """(scope, request, match, reason, items): one value for every item of a request, in two tiers.
+
+    Calls of the request's scope that hold exactly its set of items decide first (``match`` is unique or ambiguous, by their
+    number); where there are none, every item is looked up among all calls of the scope on its own (``spans``). An item
+    that no call holds drops the request (``item_unknown``), as does one whose calls do not agree on a single valid value
+    (``value_ambiguous``); else ``items`` has (item, value) in order of item. Only the least and the greatest value of a key are
+    kept, so requests and calls of one set meet in one row and never pair by pair.
+    """
+    scope = list(scope)
+    known = calls.select(*scope, call, item, value).distinct()
+    sets = known.groupBy(*scope, call).agg(set_key(F.collect_set(item)).alias("__set"))
+    ends = (F.min(value).alias("low"), F.max(value).alias("high"))
+    of_set = known.join(sets, [*scope, call]).groupBy(*scope, "__set", item).agg(*[e.alias(f"__s{i}") for i, e in enumerate(ends)])
+    of_each = known.groupBy(*scope, item).agg(*[e.alias(f"__e{i}") for i, e in enumerate(ends)])
+    number = sets.groupBy(*scope, "__set").agg(F.count("*").alias("__calls"))
+    asked = requests.select(*scope, request, item).distinct()
+    asked = asked.join(asked.groupBy(*scope, request).agg(set_key(F.collect_set(item)).alias("__set")), [*scope, request])
+    rows = asked.join(number, [*scope, "__set"], "left").join(of_set, [*scope, "__set", item], "left").join(of_each, [*scope, item], "left")
+    low, high = (F.when(F.col("__calls").isNotNull(), F.col(f"__s{i}")).otherwise(F.col(f"__e{i}")) for i in (0, 1))
+    single = F.coalesce((low == high) & low.cast("string").rlike(valid), F.lit(False))
+    found = rows.groupBy(*scope, request).agg(
+        F.max("__calls").alias("__calls"), F.every(F.col("__e0").isNotNull()).alias("__known"), F.every(single).alias("__single"),
+        F.array_sort(F.collect_list(F.struct(F.col(item).alias("item"), low.alias("value")))).alias("items"),
+    )
+    reason = F.when(~F.col("__known"), "item_unknown").when(~F.col("__single"), "value_ambiguous")
+    match = F.when(F.col("__calls").isNull(), "spans").when(F.col("__calls") == 1, "unique").otherwise("ambiguous")
+    return found.select(*scope, request, match.alias("match"), reason.alias("reason"), F.when(reason.isNull(), F.col("items")).alias("items"))
+
+
+def recovered(rows: DataFrame, index: DataFrame, content: str, owner: str) -> DataFrame:
+    """``rows`` with the owner of their content digest, and ``reason``: content_missing, owner_unknown or owner_ambiguous where there is none.
+
+    A digest that several owners share gives none of them. Owners are counted by their least and greatest, so a digest that
+    a third of the index has is summed before it is shuffled.
+    """
+    held = index.filter(F.col(content).isNotNull() & F.col(owner).isNotNull()).groupBy(content).agg(F.min(owner).alias("__low"), F.max(owner).alias("__high"))
+    out = rows.drop(owner).join(held, content, "left")
+    reason = F.when(F.col(content).isNull(), "content_missing").when(F.col("__low").isNull(), "owner_unknown").when(F.col("__low") != F.col("__high"), "owner_ambiguous")
+    return out.withColumn("reason", reason).withColumn(owner, F.when(reason.isNull(), F.col("__low"))).drop("__low", "__high")
+
+
 def orphans(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     return children.join(parents.select(key).distinct(), key, "left_anti")
 
@@ -85,11 +127,12 @@ def union_checked(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     shared = [c for c in left.columns if c in right.columns and c != key]
     b = right.select(key, *[F.col(c).alias(f"__{c}") if c in shared else F.col(c) for c in right.columns if c != key])
     out = left.withColumn("__left", F.lit(1)).join(b.withColumn("__right", F.lit(1)), key, "full")
-    both = F.col("__left").isNotNull() & F.col("__right").isNotNull()
-    out = out.withColumn(key, F.when(both, F.col(key)).otherwise(F.raise_error(F.lit("a row stands on one side only")).cast(left.schema[key].dataType))).drop("__left", "__right")
+    wrong = F.when(F.col("__left").isNull() | F.col("__right").isNull(), "a row stands on one side only")
     for c in shared:
-        out = out.withColumn(c, F.when(F.col(c).eqNullSafe(F.col(f"__{c}")), F.col(c)).otherwise(F.raise_error(F.lit(f"column {c} differs")).cast(left.schema[c].dataType))).drop(f"__{c}")
-    return out
+        wrong = wrong.when(~F.col(c).eqNullSafe(F.col(f"__{c}")), f"column {c} differs")
+    # a filter on what a row gets wrong: no choice of columns prunes it, and a wrong row raises instead of going
+    held = out.filter(F.when(wrong.isNotNull(), F.raise_error(wrong).cast("boolean")).otherwise(True))
+    return held.drop("__left", "__right", *[f"__{c}" for c in shared])
 
 
 def layer_merge(snapshot: DataFrame, persona: DataFrame, commercial: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

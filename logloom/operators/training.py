@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -93,6 +94,69 @@ def balanced(df: DataFrame, group: str, key: str, length: str, parts: int) -> Da
     return df.groupBy(group).applyInPandas(one, schema)
 
 
+def differencing(loads: Sequence[int], parts: int, equal_size: bool = False) -> list[int]:
+    """Part of every load by the largest-differencing method: the two partial partitions that differ most in their parts are joined, lightest to heaviest, until one is left.
+
+    With ``equal_size`` all parts hold equally many loads, of which there have to be a multiple. Parts are numbered from the
+    heaviest; equal loads are told apart by their places.
+    """
+    if equal_size and len(loads) % parts:
+        raise ValueError("loads do not divide into parts of one size")
+    order = sorted(range(len(loads)), key=lambda i: (loads[i], i))
+    starts = [order[i : i + parts] for i in range(0, len(order), parts)] if equal_size else [[i] for i in order]
+    heap: list[tuple] = []
+
+    def push(columns: list[tuple[int, tuple[int, ...]]]) -> None:
+        columns.sort(reverse=True)
+        heapq.heappush(heap, (columns[-1][0] - columns[0][0], [(-s, tuple(-i for i in held)) for s, held in columns], columns))
+
+    for held in starts:
+        push([(loads[i], (i,)) for i in held] + [(0, ())] * (parts - len(held)))
+    while len(heap) > 1:
+        a, b = heapq.heappop(heap)[2], heapq.heappop(heap)[2]
+        push([(x + y, tuple(sorted(p + q))) for (x, p), (y, q) in zip(a, reversed(b), strict=True)])
+    out = [0] * len(loads)
+    for part, (_, held) in enumerate(heap[0][2] if heap else []):
+        for i in held:
+            out[i] = part
+    return out
+
+
+def workload(length: int) -> int:
+    """Cost of a sequence: what grows with its length, and with its square."""
+    return 24576 * length + length * length
+
+
+def differenced(df: DataFrame, group: str, key: str, length: str, parts: int, equal_size: bool = False) -> DataFrame:
+    """``part`` of each row by largest differencing over lengths. A group is one batch, which bounds what a task holds."""
+    return _parted(df, group, key, length, lambda lengths: differencing(lengths, parts, equal_size))
+
+
+def micro_batches(df: DataFrame, group: str, key: str, length: str, max_tokens: int, least: int = 1, multiple: int = 1) -> DataFrame:
+    """``part`` of each row: as many parts as ``max_tokens`` tokens each need, at least ``least`` and a multiple of ``multiple``, balanced by workload.
+
+    A row longer than ``max_tokens`` is an error; parts never outnumber the rows of a batch.
+    """
+
+    def place(lengths: list[int]) -> list[int]:
+        if max(lengths) > max_tokens:
+            raise ValueError(f"a sequence of {max(lengths)} tokens does not fit {max_tokens}")
+        count = max(least, -(-sum(lengths) // max_tokens))
+        count = min(len(lengths), -(-count // multiple) * multiple)
+        return differencing([workload(n) for n in lengths], count)
+
+    return _parted(df, group, key, length, place)
+
+
+def _parted(df: DataFrame, group: str, key: str, length: str, place: Callable[[list[int]], list[int]]) -> DataFrame:
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(key, kind="stable")
+        return pdf.assign(part=pd.Series(place([int(n) for n in pdf[length]]), index=pdf.index, dtype="int32"))
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields) + ", part int"
+    return df.groupBy(group).applyInPandas(one, schema)
+
+
 def action_dictionary(df: DataFrame, text: str, order: str, start: int = 0) -> DataFrame:
     """(text, id): ids in the order of first places. Places are ranked by ranges, not in one task."""
     from logloom.sources.sinks import ordered_prefix

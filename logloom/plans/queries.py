@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logloom.functions import arrays, dates, hashing, text
-from logloom.operators import joins, profile, retrieval, stats, training, windows
+from logloom.operators import batch, joins, profile, retrieval, snapshots, stats, training, windows
 from logloom.sources import sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -387,14 +387,15 @@ def u1_union_all(s: SparkSession, d: str) -> DataFrame:
 
 @query("m1_decay_and_state", f"""
 WITH {EV}, m AS (SELECT max(day) AS now FROM ev), u AS (SELECT user_id, source, min(day) AS f, max(day) AS l FROM ev GROUP BY ALL)
-SELECT user_id, source, round(0.6 * pow(0.98, least(date_diff('day', l, now), 7)), 6) AS confidence,
+SELECT user_id, source, round_even(0.6 * pow(0.98, least(date_diff('day', l, now), 7)), 4) AS confidence, round_even(0.4 * round_even(0.6 * pow(0.98, least(date_diff('day', l, now), 7)), 4) + 0.6, 4) AS boosted,
   CASE WHEN f = l AND l < now THEN 'Ephemeral' WHEN date_diff('day', l, now) > 60 THEN 'Archived' WHEN date_diff('day', l, now) > 30 THEN 'Dormant' WHEN date_diff('day', l, now) > 7 THEN 'Declining'
        WHEN date_diff('day', f, l) > 30 THEN 'Stable' ELSE 'Emerging' END AS state FROM u, m""")
 def m1_decay_and_state(s: SparkSession, d: str) -> DataFrame:
     e = events(s, d)
     now = F.lit(e.agg(F.max("day")).first()[0]).cast("date")
     u = e.groupBy("user_id", "source").agg(F.min("day").alias("f"), F.max("day").alias("l"))
-    return u.select("user_id", "source", F.round(dates.INITIAL * F.pow(F.lit(dates.DECAY), dates.days_between(now, F.col("l"))), 6).alias("confidence"), dates.lifecycle(F.col("f"), F.col("l"), now).alias("state"))
+    confidence = dates.decayed(F.lit(dates.INITIAL), dates.days_between(now, F.col("l")))
+    return u.select("user_id", "source", confidence.alias("confidence"), dates.boosted(confidence).alias("boosted"), dates.lifecycle(F.col("f"), F.col("l"), now).alias("state"))
 
 
 @query("z3_profile_fold")
@@ -407,9 +408,49 @@ def z3_profile_fold(s: SparkSession, d: str) -> DataFrame:
     return profile.fold(decisions)
 
 
-@query("x14_topic_merge", f"WITH {EV} SELECT user_id, lower(source) AS topic, count(*) AS n, list_sort(list_distinct(list(action))) AS sources, min(day) AS first_day, max(day) AS last_day, max(value) AS confidence FROM ev GROUP BY ALL")
+def weekly_decisions(s: SparkSession, d: str) -> DataFrame:
+    """Interests (event types) and topics (tens of k) of a user's week; two thirds of the interests have a decision, the rest have none."""
+    rows = profile.assign_windows(events(s, d), "day").withColumn("topic", F.concat(F.lit("k"), F.floor(F.split("action", " ")[1].cast("int") / 10)))
+    evidence = F.struct(F.col("day").cast("string").alias("date"), "source", "action")
+    topics = rows.groupBy("user_id", "window", "window_end", "source", "topic").agg(F.count("*").cast("int").alias("count"), F.transform(F.array_sort(F.collect_list(F.struct("event_id", evidence.alias("e")))), lambda x: x["e"]).alias("evidence"), F.min("event_id").alias("first"))
+    topic = F.struct("first", F.struct("topic", "count", F.array("source").alias("source"), F.lit("").alias("intent"), "evidence").alias("t"))
+    deltas = topics.groupBy("user_id", "window", F.col("window_end").alias("date"), F.col("source").alias("name")).agg(F.min("first").alias("position"), F.transform(F.array_sort(F.collect_list(topic)), lambda x: x["t"]).cast(snapshots.TOPICS).alias("topics")).withColumn("activity", F.concat(F.lit("does "), "name"))
+    asked = deltas.filter(F.crc32(F.concat_ws("|", "user_id", "window", "name").cast("binary")) % 3 != 0)
+    first = F.row_number().over(Window.partitionBy("user_id", "name").orderBy("window")) == 1
+    decisions = asked.select("user_id", "window", "position", F.when(first, "add").otherwise("merge").alias("action"), "name", F.col("name").alias("target"), F.col("name").alias("result"), F.lit("").alias("activity"))
+    return snapshots.decisions_for(deltas, decisions)
+
+
+@query("z5_nested_snapshots")
+def z5_nested_snapshots(s: SparkSession, d: str) -> DataFrame:
+    """Weekly snapshots with topics and evidence; a brute-force test holds the rows."""
+    return snapshots.fold(weekly_decisions(s, d))
+
+
+@query("z5_backfilled_decisions", f"""
+WITH {GRID}, g AS (SELECT user_id, win, source AS name, min(event_id) AS position FROM win GROUP BY ALL)
+SELECT CAST(win AS INTEGER) AS "window", count(*) AS decisions, min(position) AS first_position, count(DISTINCT user_id) AS users FROM g GROUP BY win""")
+def z5_backfilled_decisions(s: SparkSession, d: str) -> DataFrame:
+    return weekly_decisions(s, d).groupBy("window").agg(F.count("*").alias("decisions"), F.min("position").alias("first_position"), F.count_distinct("user_id").alias("users"))
+
+
+@query("x13_latest_evidence", f"""
+WITH {EV}, x AS (SELECT *, row_number() OVER (PARTITION BY user_id, day, source, action ORDER BY event_id) AS r FROM ev), y AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day DESC, event_id DESC) AS back FROM x WHERE r = 1)
+SELECT user_id, list(struct_pack(date := strftime(day, '%Y-%m-%d'), source := source, action := action) ORDER BY day, event_id) AS evidence FROM y WHERE back <= 3 GROUP BY user_id""")
+def x13_latest_evidence(s: SparkSession, d: str) -> DataFrame:
+    item = F.struct("event_id", F.struct(F.col("day").cast("string").alias("date"), "source", "action").alias("e"))
+    held = events(s, d).groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["e"]).alias("evidence"))
+    return held.select("user_id", batch.latest_evidence(F.col("evidence")).alias("evidence"))
+
+
+@query("x14_topic_merge", f"""
+WITH {EV}, x AS (SELECT user_id, lower(source) AS topic, count(*) AS count, list(action ORDER BY event_id) AS a, list(event_id ORDER BY event_id) AS ids, min(day) AS first_date, max(day) AS last_date, max(value) AS confidence FROM ev GROUP BY ALL)
+SELECT user_id, topic, count, list_filter(a, lambda v, i: list_position(a, v) = i) AS sources, first_date, last_date, confidence FROM x""")
 def x14_topic_merge(s: SparkSession, d: str) -> DataFrame:
-    return events(s, d).groupBy("user_id", F.lower("source").alias("topic")).agg(F.count("*").alias("n"), F.array_sort(F.collect_set("action")).alias("sources"), F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.max("value").alias("confidence"))
+    evidence = F.array(F.struct(F.col("day").cast("string").alias("date"), "source", "action"))
+    rows = events(s, d).select("user_id", "event_id", F.initcap("source").alias("topic"), F.lit(1).alias("count"), F.array("action").alias("sources"), evidence.alias("evidence"), F.col("day").alias("first_date"), F.col("day").alias("last_date"), F.col("value").alias("confidence"))
+    return batch.merged_topics(rows, ["user_id"], "topic", "event_id").select("user_id", F.lower("topic").alias("topic"), "count", "sources", "first_date", "last_date", "confidence")
 
 
 @query("x10_chunks", """

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logloom.operators import snapshots
 from logloom.operators.profile import SNAPSHOT, apply_window, state_of
 
 EPOCH = datetime.date(1970, 1, 1)
@@ -48,3 +49,34 @@ def profiles(decisions: DataFrame) -> DataFrame:
         yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in SNAPSHOT.split(", ")])
 
     return decisions.groupBy("user_id").applyInPandasWithState(step, SNAPSHOT, "state string", "append", "NoTimeout")
+
+
+def nested_profiles(decisions: DataFrame) -> DataFrame:
+    """Snapshots as in ``operators.snapshots.fold``, a user's nested snapshot kept by Spark from one micro-batch to the next.
+
+    Windows of a user must arrive whole and in order; an earlier one than the state's is left out.
+    """
+    flat = {"source": "array<string>", "topics": snapshots.NESTED.split(", topics ")[1]}
+    schema = ", ".join(f"{c} string" if c in flat else f"{c} {t}" for c, t in (x.split(" ", 1) for x in snapshots.NESTED.split(", ")))
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:  # noqa: ANN001
+        before, last, items = (json.loads(state.get[0]) if state.exists else [None, None, "[]"])
+        items, before = snapshots.unpacked(items), before and datetime.date.fromisoformat(before)
+        rows = pd.concat(list(frames)).sort_values(list(snapshots.ORDER)).astype(object)
+        rows = rows.where(rows.notna(), None)
+        out = []
+        for window, part in rows.groupby("window", sort=True):
+            if last is not None and window <= last:
+                continue
+            found = [r | {"topics": json.loads(r["topics"] or "[]")} for r in part.to_dict("records")]
+            date = found[0]["date"]
+            items = snapshots.step(items, date, before or date, found)
+            before, last = date, int(window)
+            out += [r | {c: json.dumps(r[c]) for c in flat} for r in snapshots.snapshot_rows(key[0], last, date, items)]
+        state.update((json.dumps([before and before.isoformat(), last, snapshots.packed(items)]),))
+        yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in schema.split(", ")])
+
+    rows = decisions.filter(F.col("user_id").isNotNull() & F.col("window").isNotNull() & F.col("date").isNotNull())
+    sent = rows.select(F.col("user_id").cast("string").alias("user_id"), *snapshots.COLUMNS[1:-1], *snapshots.ORDER[1:], F.to_json("topics", {"ignoreNullFields": "false"}).alias("topics"))
+    made = sent.groupBy("user_id").applyInPandasWithState(step, schema, "state string", "append", "NoTimeout")
+    return made.select(*[F.from_json(c, flat[c]).alias(c) if c in flat else c for c in made.columns])

@@ -36,7 +36,7 @@ def test_votes_trends_and_samples(spark):
 def test_queries_and_evidence(spark):
     df = spark.createDataFrame([("u", "m1", 0, ["Tea", "car"]), ("u", "m2", 1, ["tea "]), ("u", "m3", 2, ["car", "new"])], "u string, m string, o int, q array<string>")
     assert sorted((r["m"], r["q"]) for r in batch.deduped_queries(df, "u", "m", "o", "q").collect()) == [("m1", ["Tea", "car"]), ("m3", ["new"])]
-    e = spark.createDataFrame([([("2", "s", "b"), ("1", "s", "a"), ("2", "s", "b"), ("3", "s", "c"), ("4", "s", "d")],)], "e array<struct<date:string,source:string,action:string>>")
-    assert [x["action"] for x in e.select(batch.latest_evidence(F.col("e"))).first()[0]] == ["b", "c", "d"]
+    e = spark.createDataFrame([([("2025-01-02", "s", "b"), ("20250101", "s", "a"), ("2025-01-02", "s", "b"), ("no day", "s", "e"), ("2025-01-03", "s", "d"), ("2025-01-03", "s", "c")],)], "e array<struct<date:string,source:string,action:string>>")
+    assert [x["action"] for x in e.select(batch.latest_evidence(F.col("e"))).first()[0]] == ["b", "d", "c"]
     text = e.select(batch.profile_text({"a": F.col("e")})).first()[0]
-    assert text.startswith('a: {"date":"1"') and text.count('"2"') == 1
+    assert text.startswith('a: {"date":"2025-01-02"') and text.count('"2"') == 1
