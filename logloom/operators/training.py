@@ -27,6 +27,32 @@ def pools(batched: DataFrame, keys: Sequence[str], items: str, order: str) -> Da
     return first.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("__at", "__x"))), lambda s: s["__x"]).alias("pool"))
 
 
+def topped_up(rows: DataFrame, distractors: DataFrame, language: str, user: str, order: str, users: int) -> DataFrame:
+    """(language, user, place, drawn): the users of each language's pool, own ones first, then as many others of the language as it lacks of ``users``.
+
+    Others are users of ``distractors`` that are not in any pool, in their order (the first place of each counts), ties by user.
+    A pool that has enough draws none, languages without a row have no pool. Only the first ``users`` of a language are ever
+    sorted together, since each task keeps no more; so the result does not depend on how rows are dealt.
+    """
+    firsts = lambda df: df.filter(F.col(language).isNotNull() & F.col(user).isNotNull()).groupBy(language, user).agg(F.min(order).alias("__at"))
+    own = firsts(rows)
+    others = firsts(distractors).join(own.select(user).distinct(), user, "left_anti")
+    place = Window.partitionBy(language).orderBy("__at", user)
+    first = others.withColumn("__r", F.row_number().over(place)).filter(F.col("__r") <= users)
+    held = own.groupBy(language).agg(F.count("*").alias("__own"))
+    drawn = first.join(F.broadcast(held), language).filter(F.col("__r") <= users - F.col("__own"))
+    mine = own.withColumn("__r", F.row_number().over(place)).select(language, user, F.col("__r").cast("bigint").alias("place"), F.lit(False).alias("drawn"))
+    return mine.union(drawn.select(language, user, (F.col("__own") + F.col("__r")).alias("place"), F.lit(True).alias("drawn")))
+
+
+def pool_items(users: DataFrame, items: DataFrame, keys: Sequence[str], user: str, order: str, item: str) -> DataFrame:
+    """(keys, item, place): distinct items of a pool's users in the order of users (place) and of each user's items, one row each."""
+    keys = list(keys)
+    each = users.join(items.select(user, F.col(order).alias("__o"), F.col(item).alias("item")), user)
+    first = each.filter(F.col("item").isNotNull()).groupBy(*keys, "item").agg(F.min(F.struct("place", "__o")).alias("__at"))
+    return first.select(*keys, "item", F.row_number().over(Window.partitionBy(*keys).orderBy("__at", "item")).alias("place"))
+
+
 def mixture(df: DataFrame, config: str, order: str, weights: dict[str, float], total: int, epoch: int = 0) -> DataFrame:
     """``total`` rows dealt to configurations by weight; positions go round and on from one epoch to the next."""
     whole = sum(weights.values())

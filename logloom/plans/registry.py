@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logloom.plans import languages, records, reward_queries  # noqa: F401 - they register their queries
+from logloom.plans import languages, records, reward_queries, token_queries  # noqa: F401 - they register their queries
 from logloom.plans.queries import ORACLE, QUERIES
 
 FLAGSHIP = "weekly_active_signals"

@@ -50,5 +50,18 @@ def shards(df: DataFrame, path: str, order: Sequence[str], size: Column, count:
     shard_ids(df, order, size, count, total).repartition(count, "shard").sortWithinPartitions("shard", *order).write.mode("overwrite").partitionBy("shard").parquet(path)
 
 
+def batch_groups(df: DataFrame, path: str, batch: str, slot: str, size: int) -> None:
+    """Parquet in which every row group is one batch: batches have ``size`` rows each and stand in order, whole in one file.
+
+    Rows are dealt by ranges of the batch, so a file begins and ends with one, and a row group ends after ``size`` rows; a
+    reader that asks for one batch reads one group. A batch of another size is an error, since groups would drift.
+    """
+    odd = df.groupBy(batch).agg(F.count("*").alias("n")).filter(F.col("n") != size).limit(1).collect()
+    if odd:
+        raise ValueError(f"batch {odd[0][batch]} has {odd[0]['n']} rows, not {size}")
+    rows = df.repartitionByRange(batch).sortWithinPartitions(batch, slot)
+    rows.write.mode("overwrite").option("parquet.block.row.count.limit", size).option("parquet.page.row.count.limit", size).parquet(path)
+
+
 def report(counts: DataFrame, path: str) -> None:
     counts.coalesce(1).write.mode("overwrite").json(path)
