@@ -432,18 +432,49 @@ def sharing(sets: DataFrame, similarity: float, last: np.ndarray) -> DataFrame:
     return checkpointed(dealt.mapInArrow(tidy(_sharing(similarity)), "u bigint, v bigint").distinct())
 
 
-def named(sets: DataFrame, edges: DataFrame) -> DataFrame:
-    """``sets`` with their component, the smallest node that edges lead to."""
-    return sets.join(small(components(edges)), "node", "left").withColumn("component", F.coalesce("component", "node"))
+#: Smallest shingle hashes of a set by which it looks for a representative.
+LEAST = 4
 
 
-def keep_one(docs: DataFrame, size: int = 5, bits: int = 8, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def representatives(sets: DataFrame) -> DataFrame:
+    """(u, v): for each set at most one other, the first of those that share one of its ``LEAST`` smallest shingle hashes.
+
+    Similar sets share these far more often than not, so the members of a group of near copies name the same one, and a
+    group costs its size and not the square of it. Nothing depends on whom a set names: pairs that stay apart are met later.
+    """
+    key = lambda k: F.conv(F.hex(F.substring("shingles", 4 * k + 1, 4)), 16, 10).cast("bigint")
+    keys = sets.filter(F.octet_length("shingles") > 0).select("node", F.explode(F.array_compact(F.array(*[F.when(F.octet_length("shingles") > 4 * k, key(k)) for k in range(LEAST)]))).alias("key"))
+    first = keys.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1").select("key", "head")
+    named_by = keys.join(first, "key").filter("node <> head").groupBy("node", "head").agg(F.count("*").alias("n"))
+    return named_by.groupBy("node").agg(F.min_by("head", F.struct(-F.col("n"), F.col("head"))).alias("u")).select("u", F.col("node").alias("v"))
+
+
+def gathered(edges: DataFrame, jumps: int = 2) -> DataFrame:
+    """(node, component): every node of an edge with a node that edges lead to from it, the smallest near by; no component is complete.
+
+    A node points to its smallest neighbour, and then to where that one points, so nodes with one label are connected.
+    """
+    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    points = checkpointed(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("component")))
+    for _ in range(jumps):
+        further = points.select(F.col("node").alias("component"), F.col("component").alias("to"))
+        points = points.join(small(further), "component").select("node", F.col("to").alias("component"))
+    return checkpointed(points)
+
+
+def named(sets: DataFrame, found: DataFrame) -> DataFrame:
+    """``sets`` with the component of ``found`` (node, component), their own node where they have none."""
+    return sets.join(small(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def keep_one(docs: DataFrame, size: int = 5, bits: int = 4, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row (smallest id) of each near-duplicate component.
 
     Components are those of all pairs whose shingle sets have at least that Jaccard ``similarity``. Equal sets are one
-    vertex. Verified links between fingerprints within ``bits`` come first and gather most copies; then every pair of
-    sets of different components that can be as similar is verified, so the components do not depend on ``bits``. Rows that
-    share an id stay or go together, but for repeated rows, of which one stays; rows without an id are not compared and stay.
+    vertex. Verified links between fingerprints within ``bits`` and to representatives come first and gather most copies; then
+    every pair of sets that these leave apart and that can be as similar is verified, so the components depend on neither.
+    Rows that share an id stay or go together, but for repeated rows, of which one stays; rows without an id are not
+    compared and stay.
     """
     known = docs.filter(docs[id_col].isNotNull())
     found = shingle_sets(known, size, id_col, text_col).groupBy("hi", "lo").agg(F.min("id").alias("least"), F.min("fp").alias("fp"), F.first("shingles").alias("shingles"))
@@ -451,11 +482,12 @@ def keep_one(docs: DataFrame, size: int = 5, bits: int = 8, similarity: float =
     prints = checkpointed(sets.groupBy("fp").agg(F.min("node").alias("head")))
     near = link(prints.select("fp"), bits)
     near = near.join(prints.select(F.col("fp").alias("u"), F.col("head").alias("x")), "u").join(prints.select(F.col("fp").alias("v"), F.col("head").alias("y")), "v").select(F.col("x").alias("u"), F.col("y").alias("v"))
-    near = near.union(sets.join(prints, "fp").filter("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v")))
+    near = near.union(sets.join(prints, "fp").filter("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v"))).union(representatives(sets))
+    near = near.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     edges = verified(checkpointed(near), sets, similarity)
-    pairs = sharing(named(sets.select("node", "shingles"), edges), similarity, frequent(sets, sets.count()))
+    pairs = sharing(named(sets.select("node", "shingles"), gathered(edges)), similarity, frequent(sets, sets.count()))
     edges = edges.union(verified(pairs, sets, similarity))
-    stay = named(sets.select("node", "least"), edges).groupBy("component").agg(F.min("least").alias(id_col)).select(id_col).distinct()
+    stay = named(sets.select("node", "least"), components(edges)).groupBy("component").agg(F.min("least").alias(id_col)).select(id_col).distinct()
     kept = known.join(small(checkpointed(stay)), id_col, "left_semi")
     if known.groupBy(id_col).count().filter("count > 1").limit(1).count():
         kept = kept.dropDuplicates([id_col, text_col])
