@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -97,3 +97,15 @@ def bootstrap_best(df: DataFrame, prompt: str, score: str, k: int, draws: int =
         return pd.DataFrame({prompt: [key[0]], "mean": [values.mean()], "std": [values.std()], "best": [picks.max(axis=1).mean()], "worst": [picks.min(axis=1).mean()]})
 
     return df.groupBy(prompt).applyInPandas(one, f"{prompt} {df.schema[prompt].dataType.simpleString()}, mean double, std double, best double, worst double")
+
+
+def best_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, value): the largest value of each key; keys without a value are left out."""
+    return df.filter(F.col(key).isNotNull() & F.col(value).isNotNull()).groupBy(key).agg(F.max(value).alias(value))
+
+
+def most_common(df: DataFrame, keys: Sequence[str], label: str, order: str, n: int) -> DataFrame:
+    """(keys, label, n, rank): the ``n`` most frequent labels of each key, ties to the one that came first in ``order``."""
+    counts = df.groupBy(*keys, label).agg(F.count("*").alias("n"), F.min(order).alias("__p"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("n"), "__p"))
+    return counts.withColumn("rank", place).filter(F.col("rank") <= n).drop("__p")
