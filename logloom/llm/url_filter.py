@@ -22,26 +22,48 @@ from logloom.llm.common import ascii_lower
 #: (host, path, verdict): a rule fits its host and all subdomains where the path starts with the rule's.
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 
-#: Words of the default labels, made up for this library: what hosts that are to be blocked deal in, with what, and on
-#: which pages; and the same for ordinary hosts. Both kinds have hyphens, subdomains and every top-level domain.
-BLOCKED_TRADE = ("discount-meds", "jackpot-slots", "payday-cash", "replica-bags", "escort-dates", "keygen-cracks", "miracle-diet", "hot-singles")
-BLOCKED_SIDE = ("24", "deals", "-online", "4u", "-vip", "king")
-BLOCKED_PAGE = ("buy-now", "order?ref=9", "win/claim", "cheap/offer", "xxx/live")
-PLAIN_TRADE = ("harbour-library", "city-gardens", "quietbrook", "mapleton-school", "northfield", "weather-station", "oldmill", "river-museum")
-PLAIN_SIDE = ("", "-notes", "press", "-county", "studio", "wiki")
-PLAIN_PAGE = ("en/guide", "about.html", "articles/2019/12", "hours", "es/contact")
+#: The default labelled table: urls of invented hosts, in the everyday words of what is to be blocked (gambling, pills, adult
+#: pages, loans, cracks, fakes, link farms and trackers) and of ordinary pages. Both sides share subdomains, top-level
+#: domains and numbered pages, which then tell nothing.
+BLOCKED_URLS = """
+http://grand-casino.net/en/101  https://www.casino-royal.com/bonus  http://m.casino777.org/de/12.html  https://blog.mycasino.net/fr/8  http://casino-bonus.com/spins  http://slots-casino.org/en/4
+https://win-big.net/claim  http://www.win-cash.com/en/77  http://lucky-win.org/es/3  https://m.winners-club.net/spin  http://jackpot-win.com/fr/9  https://slotmania.com/free/spins
+http://best-bets.net/en/5  https://www.sportsbets.com/odds  http://bets-online.org/de/61  https://m.betting-tips.net/es/7  http://blog.poker-room.com/en/1  https://pokerstake.org/deposit
+http://free-spins.com/fr/2  https://www.free-money.net/en/31  http://free-iphone.org/win  https://free-gifts.net/claim/8  http://m.freecash.com/de/90  http://freebies-now.com/en/2
+http://pills-online.com/en/14  https://www.diet-pills.net/order  http://m.pillstore.org/fr/6  https://bluepills.com/buy  http://blog.cheap-meds.net/es/44  https://cheapmeds.org/rx
+http://cheap-viagra.com/en/3  https://www.cheap-watches.net/sale  http://cheap-loans.org/de/15  https://m.cheap-tickets4u.com/fr/28  http://superpharm-rx.net/en/9  https://no-rx-pharmacy.com/order/1
+http://adult-chat.com/live  https://www.adult-cams.net/en/18  http://m.adultdating.org/es/2  https://blog.adults-only.com/de/4  http://adult-video.net/fr/11  https://hot-adult.org/en/6
+http://xxx-tube.com/en/1  https://www.xxxvideos.net/fr/3  http://m.x-rated.com/de/8  https://sexy-x.org/en/20  http://porn-x.net/es/5  https://live-sex-cams.com/join
+http://hotsingles.net/en/7  https://www.hookup-tonight.com/de/1  http://escort-girls.org/fr/16  https://milf-dates.com/en/2  http://m.nudechat.net/es/9  https://camgirls.org/en/30
+http://spam-links.com/en/2  https://www.spamblast.net/fr/7  http://link-farm.org/de/33  https://m.linkfarms.com/en/8  http://blog.seo-farm.net/es/1  https://bulk-spam.com/list
+http://ads-server.com/click  https://www.ads-pop.net/en/5  http://m.popads.org/fr/40  https://adclick-track.com/r/9  http://click-tracker.net/go  https://www.trackpixel.org/t/1
+http://ad-tracker.com/en/2  https://bannerads.net/de/6  http://payday-loans.com/apply  https://www.quick-loan.net/en/12  http://fastcash-loans.org/es/3  https://m.nocredit-loan.com/fr/1
+http://keygen-crack.com/dl  https://www.crackz.net/en/9  http://warez-zone.org/de/2  https://m.serial-keys.com/fr/5  http://torrent-crack.net/es/71  https://nulled-scripts.com/en/4
+http://replica-watches.com/en/6  https://www.fake-rolex.net/buy  http://m.replicabags.org/fr/2  https://fakediploma.com/order  http://blog.replica-shoes.net/de/9  https://designer-fakes.com/en/3
+http://bitcoin-doubler.com/en/8  https://www.crypto-giveaway.net/claim  http://get-rich-fast.org/es/6  https://m.earn-cash.com/fr/10  http://miracle-cure.net/en/1  https://lose-weight-fast.com/de/5
+""".split()
+PLAIN_URLS = """
+http://northern-herald.net/en/101  https://www.theatre-club.com/season  http://m.otherside.org/de/12.html  https://blog.thistle.net/fr/8  http://weather-station.com/today  http://heron-lake.org/en/4
+https://city-library.net/hours  http://www.museum-guide.com/en/77  http://riverside.org/es/3  https://m.gardenclub.net/plants  http://mapleton-school.com/fr/9  https://oldmill.com/history
+http://university-press.net/en/5  https://www.townhall.com/minutes  http://harbour-news.org/de/61  https://m.trailmaps.net/es/7  http://blog.stonebridge.com/en/1  https://wikinotes.org/edit
+http://recipes-at-home.com/fr/2  https://www.bakery-lane.net/en/31  http://kitchen-table.org/soup  https://opentools.net/docs/8  http://m.devnotes.com/de/90  http://codebook.com/en/2
+http://cycling-routes.com/en/14  https://www.mountain-hut.net/booking  http://m.railways.org/fr/6  https://busroutes.com/lines  http://blog.birdwatch.net/es/44  https://botany.org/species
+http://history-forum.com/en/3  https://www.chess-club.net/games  http://parish-records.org/de/15  https://m.village-hall.com/fr/28  http://localnews.net/en/9  https://the-courier.com/sport/1
+http://anthology.com/poems  https://www.thirteen.net/en/18  http://m.thermal-baths.org/es/2  https://blog.thunder.com/de/4  http://threshold.net/fr/11  https://thatched-roofs.org/en/6
+http://leather-works.com/en/1  https://www.northwind.net/fr/3  http://m.southern-coast.com/de/8  https://brother-and-son.org/en/20  http://either-or.net/es/5  https://withinreach.com/join
+http://lantern.net/en/7  https://www.thornton.com/de/1  http://earthworks.org/fr/16  https://hearth-and-home.com/en/2  http://m.healthcare-trust.net/es/9  https://breath.org/en/30
+http://handworks.com/en/2  https://www.anders.net/fr/7  http://wanderings.org/de/33  https://m.islands.com/en/8  http://blog.sandstone.net/es/1  https://hinterland.com/list
+http://edition.com/archive  https://www.stations.net/en/5  http://m.nationalparks.org/fr/40  https://traditions.com/r/9  http://conditions.net/report  https://www.relations.org/t/1
+http://inner-circle.com/en/2  https://interesting.net/de/6  http://entering.com/visit  https://www.whereabouts.net/en/12  http://elsewhere.org/es/3  https://m.nowhere-else.com/fr/1
+http://readers-digest-club.com/new  https://www.estuary.net/en/9  http://foresters.org/de/2  https://m.ashtree.com/fr/5  http://shoreline.net/es/71  https://fishermen.com/en/4
+http://table-tennis.com/en/6  https://www.stable-yard.net/riding  http://m.noble-prints.org/fr/2  https://ably.com/status  http://blog.familyhouse.net/de/9  https://lyceum.com/en/3
+http://outdoor-notes.com/en/8  https://www.orchard.net/apples  http://ornithology.org/es/6  https://m.southport.com/fr/10  http://theology.net/en/1  https://ethics-review.com/de/5
+""".split()
 
 
 def labelled_urls() -> list[tuple[str, int]]:
-    """The default labelled url table, spelled out from the words above (1: block)."""
-    out = []
-    for label, trades, sides, pages in ((1, BLOCKED_TRADE, BLOCKED_SIDE, BLOCKED_PAGE), (0, PLAIN_TRADE, PLAIN_SIDE, PLAIN_PAGE)):
-        for i, trade in enumerate(trades):
-            for j, side in enumerate(sides):
-                lead = ("", "www.", "m.", "blog.")[(i + j) % 4]
-                top = ("com", "net", "org")[(i + 2 * j) % 3]
-                out.append((f"http{'s' * (j % 2)}://{lead}{trade}{side}.{top}/{pages[(i + j) % len(pages)]}", label))
-    return out
+    """The default labelled url table (1: block)."""
+    return [(u, 1) for u in BLOCKED_URLS] + [(u, 0) for u in PLAIN_URLS]
 
 
 def parts(url: Column) -> tuple[Column, Column]:
