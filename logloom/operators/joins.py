@@ -111,17 +111,38 @@ def still_referenced(refs: Column, existing: Column) -> Column:
 
 
 def contained(texts: DataFrame, text: str, names: DataFrame, name: str, max_names: int = 10_000) -> DataFrame:
-    """The longest name that a text contains; names are few, which is checked, and go to every task as one array."""
-    count = names.select(name).distinct().limit(max_names + 1).count()
-    if count > max_names:
-        raise ValueError(f"more than {max_names} names")
-    held = names.select(name).distinct().agg(F.array_sort(F.collect_list(name)).alias("__names"))
-    held = held.select(F.array_sort("__names", lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0)).alias("__names"))
-    listed = [r["__names"] for r in held.collect()][0]
+    """``texts`` with the longest name that each contains, ties to the first; null where there is none, or for a null text.
+
+    Up to ``max_names`` distinct names, which is checked, go to every task as one array. More are joined: every place of a
+    text meets the names that begin with its first characters (``BEGIN`` of them, or as many as a shorter name has), and
+    what stands there has to begin with the name. Both ways give the same rows; empty and null names match nothing.
+    """
+    held = names.select(F.col(name).alias("__name")).filter(F.length("__name") > 0).distinct()
+    if held.limit(max_names + 1).count() > max_names:
+        return _contained_by_begin(texts, text, held, name)
+    order = lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0)
+    listed = [r["n"] for r in held.agg(F.array_sort(F.collect_list("__name"), order).alias("n")).collect()][0]
     array = F.array(*map(F.lit, listed)) if listed else F.array().cast("array<string>")
     return texts.withColumn(name, F.get(F.filter(array, lambda n: F.contains(F.col(text), n)), F.lit(0)))
 
 
+#: Characters by which places of a text and names meet.
+BEGIN = 6
+
+
+def _contained_by_begin(texts: DataFrame, text: str, held: DataFrame, name: str) -> DataFrame:
+    """Distinct texts are known by their digest; a place carries no more of its text than the longest name has."""
+    longest = held.agg(F.max(F.length("__name"))).first()[0]
+    sizes = [r["n"] for r in held.select(F.least(F.length("__name"), F.lit(BEGIN)).alias("n")).distinct().collect()]  # at most BEGIN
+    known = held.select("__name", F.substring("__name", 1, BEGIN).alias("__begin"))
+    whole = texts.filter(F.length(text) > 0).select(F.sha2(text, 256).alias("__text"), F.col(text).alias("__t")).dropDuplicates(["__text"])
+    places = whole.select("__text", F.explode(F.transform(F.sequence(F.lit(1), F.length("__t")), lambda i: F.substring("__t", i, F.lit(longest)))).alias("__window"))
+    keyed = places.select("__text", "__window", F.explode(F.array_distinct(F.array(*[F.substring("__window", 1, n) for n in sizes]))).alias("__begin"))
+    hits = keyed.join(known, "__begin").filter(F.startswith("__window", F.col("__name")))
+    best = hits.groupBy("__text").agg(F.min_by("__name", F.struct(-F.length("__name"), F.col("__name"))).alias("__best"))
+    return texts.withColumn("__text", F.sha2(text, 256)).join(best, "__text", "left").withColumn(name, F.col("__best")).drop("__text", "__best")
+
+
 def union_checked(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Columns of both sides by row key; both must have the same keys, and shared columns must agree in every row."""
     shared = [c for c in left.columns if c in right.columns and c != key]

@@ -130,3 +130,14 @@ def test_topics_of_one_name_are_one(spark):
     (r,) = batch.merged_topics(df, ["user"], "topic", "at").collect()
     assert (r["topic"], r["count"], r["sources"], r["first_date"], r["last_date"], r["confidence"]) == (" Tea", 5, ["a", "b"], "2025-01-01", "2025-01-05", 0.9)
     assert [e["action"] for e in r["evidence"]] == ["z", "x"]
+
+
+@pytest.mark.parametrize("most", [10_000, 3])
+def test_the_longest_contained_name_whatever_their_number(spark, most):
+    rng = random.Random(6)
+    names = ["".join(rng.choices("abé", k=rng.randrange(1, 10))) for _ in range(60)] + ["", None, "ab", "ab"]
+    texts = ["".join(rng.choices("abé x", k=rng.randrange(30))) for _ in range(80)] + [None, "", "b", "b"]
+    t = spark.createDataFrame(list(enumerate(texts)), "i int, t string").withColumn("name", F.lit("old"))
+    out = joins.contained(t, "t", spark.createDataFrame([(n,) for n in names], "name string"), "name", most)
+    want = {i: min((n for n in names if n and x and n in x), key=lambda n: (-len(n), n.encode()), default=None) for i, x in enumerate(texts)}
+    assert {r["i"]: r["name"] for r in out.collect()} == want and out.count() == len(texts)
