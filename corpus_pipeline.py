@@ -3,6 +3,11 @@
 Each stage takes all that its predecessor kept and, but for the last, returns the columns of ``documents``:
 toxic documents go, one document of each near-duplicate group stays, passages of 100 bytes that stand earlier go,
 benchmark passages go (and with them documents of which more than half is such), and what is left is encoded.
+
+Defined results: of documents with a null, empty or wordless text one (the smallest id) passes near-dedup, and null and empty
+texts end at suffix-array dedup; rows without an id are scored, cleaned and encoded but not compared; of rows that are
+there twice one stays; columns beyond those of ``documents`` are carried along under their own names; an empty table runs to an
+empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages of 100 bytes that stand earlier; documents of which nothing is left go."""
+    """Texts without the passages of 100 bytes that stand earlier; documents of which nothing is left go, as do null and empty ones."""
     return suffix_dedup.cut_texts(docs).filter(F.coalesce(F.length("text"), F.lit(0)) > 0)
 
 
@@ -45,7 +50,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", drop_toxic), ("simhash_near_dedup", drop_near_copies), ("suffix_array_dedup", cut_repeats), ("benchmark_decontamination", decontaminated), ("bpe_codec", encoded)]
 
-#: Trained weights, fingerprints and suffix order are not SQL; tests hold the rows against brute force.
+#: Trained weights, fingerprints and suffix order are not SQL; tests hold the rows of ``run`` against brute force over every stage.
 ORACLE_SQL = None
 
 
