@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logloom.plans import languages, profile_queries, records, reward_queries, token_queries, wide  # noqa: F401 - they register their queries
+from logloom.plans import languages, profile_queries, records, reward_queries, structure_queries, token_queries, wide  # noqa: F401 - they register their queries
 from logloom.plans.queries import ORACLE, QUERIES
 
 FLAGSHIP = "weekly_active_signals"
