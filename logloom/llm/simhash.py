@@ -432,33 +432,54 @@ def sharing(sets: DataFrame, similarity: float, last: np.ndarray) -> DataFrame:
     return checkpointed(dealt.mapInArrow(tidy(_sharing(similarity)), "u bigint, v bigint").distinct())
 
 
-#: Smallest shingle hashes of a set by which it looks for a representative.
-LEAST = 4
+#: Smallest shingle hashes of a set by which it looks for a representative, and how often it looks.
+LEAST, ROUNDS = 4, 3
 
 
-def representatives(sets: DataFrame) -> DataFrame:
-    """(u, v): for each set at most one other, the first of those that share one of its ``LEAST`` smallest shingle hashes.
+def with_sketch(sets: DataFrame) -> DataFrame:
+    """(node, n shingles, sketch, the ``LEAST`` smallest shingle hashes): what is known of a set without the set."""
 
-    Similar sets share these far more often than not, so the members of a group of near copies name the same one, and a
-    group costs its size and not the square of it. Nothing depends on whom a set names: pairs that stay apart are met later.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [np.frombuffer(x, np.uint32) for x in batch.column(1).to_pylist()]
+            drawn = np.stack([sketch(x) for x in held], axis=1) if held else np.zeros((WIDE, 0), np.int64)
+            keys = pa.array([x[:LEAST].tolist() for x in held], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in held], pa.int64()), *map(pa.array, drawn), keys], ["node", "n", *SKETCH, "keys"])
+
+    small_batches(sets.sparkSession)
+    return written(sets.select("node", "shingles").mapInArrow(tidy(run), f"node bigint, n bigint, {', '.join(f'{x} bigint' for x in SKETCH)}, keys array<bigint>"))
+
+
+def representatives(drawn: DataFrame, similarity: float, turn: int) -> DataFrame:
+    """(u, v): for each set at most one of another component, drawn anew in every turn, that shares one of its smallest shingle hashes.
+
+    ``drawn`` has the columns of ``with_sketch`` and component. Similar sets share such a hash far more often than not, so the
+    members of a group of near copies name the same few, and a group costs its size and not the square of it. Pairs whose
+    sketches lie too far apart are left out. Nothing depends on whom a set names: pairs that stay apart are met later.
     """
-    key = lambda k: F.conv(F.hex(F.substring("shingles", 4 * k + 1, 4)), 16, 10).cast("bigint")
-    keys = sets.filter(F.octet_length("shingles") > 0).select("node", F.explode(F.array_compact(F.array(*[F.when(F.octet_length("shingles") > 4 * k, key(k)) for k in range(LEAST)]))).alias("key"))
-    first = keys.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1").select("key", "head")
-    named_by = keys.join(first, "key").filter("node <> head").groupBy("node", "head").agg(F.count("*").alias("n"))
-    return named_by.groupBy("node").agg(F.min_by("head", F.struct(-F.col("n"), F.col("head"))).alias("u")).select("u", F.col("node").alias("v"))
+    keys = drawn.select("node", "component", F.explode("keys").alias("key"))
+    heads = keys.groupBy("key").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("head"), F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("key", "head")
+    named_by = keys.join(heads, "key").filter("node <> head").groupBy("node", "head").agg(F.count("*").alias("k"))
+    one = named_by.groupBy("node").agg(F.min_by("head", F.struct(-F.col("k"), F.xxhash64("head", F.lit(turn)))).alias("head"))
+    side = lambda name, x: drawn.select(F.col("node").alias(name), F.struct("component", "n", *SKETCH).alias(x))
+    both = one.join(side("node", "x"), "node").join(side("head", "y"), "head").filter("x.component <> y.component")
+    apart = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in SKETCH), F.lit(0))
+    return both.filter((1 + similarity) * apart <= (1 - similarity) * (F.col("x.n") + F.col("y.n")) + 1e-6).select(F.col("head").alias("u"), F.col("node").alias("v"))
 
 
-def gathered(edges: DataFrame, jumps: int = 2) -> DataFrame:
-    """(node, component): every node of an edge with a node that edges lead to from it, the smallest near by; no component is complete.
+def gathered(edges: DataFrame, rounds: int = 3) -> DataFrame:
+    """(node, component): every node of an edge with the smallest node that some ``rounds`` of looking around lead to.
 
-    A node points to its smallest neighbour, and then to where that one points, so nodes with one label are connected.
+    In a round a node takes the smallest label of itself and its neighbours, and then that node's label. Nodes of one label
+    are connected, though not all connected ones need have one label yet.
     """
-    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    points = checkpointed(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("component")))
-    for _ in range(jumps):
-        further = points.select(F.col("node").alias("component"), F.col("component").alias("to"))
-        points = points.join(small(further), "component").select("node", F.col("to").alias("component"))
+    both = checkpointed(edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    points = both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("component"))
+    for _ in range(rounds):
+        points = checkpointed(points)
+        around = both.join(small(points.withColumnRenamed("node", "v")), "v").groupBy(F.col("u").alias("node")).agg(F.min("component").alias("m"))
+        low = points.join(small(around), "node").select("node", F.least("component", "m").alias("component"))
+        points = low.join(small(points.select(F.col("node").alias("component"), F.col("component").alias("to"))), "component").select("node", F.col("to").alias("component"))
     return checkpointed(points)
 
 
@@ -482,9 +503,12 @@ def keep_one(docs: DataFrame, size: int = 5, bits: int = 4, similarity: float =
     prints = checkpointed(sets.groupBy("fp").agg(F.min("node").alias("head")))
     near = link(prints.select("fp"), bits)
     near = near.join(prints.select(F.col("fp").alias("u"), F.col("head").alias("x")), "u").join(prints.select(F.col("fp").alias("v"), F.col("head").alias("y")), "v").select(F.col("x").alias("u"), F.col("y").alias("v"))
-    near = near.union(sets.join(prints, "fp").filter("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v"))).union(representatives(sets))
-    near = near.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    near = near.union(sets.join(prints, "fp").filter("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v")))
     edges = verified(checkpointed(near), sets, similarity)
+    drawn = with_sketch(sets)
+    for turn in range(ROUNDS):
+        found = checkpointed(representatives(named(drawn, gathered(edges)), similarity, turn))
+        edges = edges.union(verified(found, sets, similarity))
     pairs = sharing(named(sets.select("node", "shingles"), gathered(edges)), similarity, frequent(sets, sets.count()))
     edges = edges.union(verified(pairs, sets, similarity))
     stay = named(sets.select("node", "least"), components(edges)).groupBy("component").agg(F.min("least").alias(id_col)).select(id_col).distinct()
