@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def once(x: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(x)`` with ``x`` computed once, however often it is named: inside lambdas nothing else keeps a value."""
+    return F.get(F.transform(F.array(x), use), F.lit(0))
+
+
 def same_multiset(a: Column, b: Column) -> Column:
     return F.array_sort(a) == F.array_sort(b)
 

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logloom.functions.arrays import once
 from logloom.functions.text import collapse_space, fold, folds_apart
 from logloom.operators.sizing import small
 
@@ -38,16 +39,25 @@ def family(language: Column, families: Sequence[Sequence[str]] = FAMILIES) -> Co
 
 def words_with(x: Column, script: str) -> Column:
     """Words that hold a letter of ``script``: each is read once, from its first letter."""
-    return F.regexp_count(x, F.lit(rf"(?<!\p{{L}})[\p{{L}}&&[^\p{{Is{script.capitalize()}}}]]*+\p{{Is{script.capitalize()}}}\p{{L}}*+")).cast("bigint")
+    kind = rf"\p{{Is{script.capitalize()}}}"
+    return F.regexp_count(x, F.lit(rf"(?<!\p{{L}})[\p{{L}}&&[^{kind}]]*+[\p{{L}}&&{kind}]\p{{L}}*+")).cast("bigint")
+
+
+#: A word that holds a letter beyond Latin.
+OTHER_WORD = r"(?<!\p{L})[\p{L}&&\p{IsLatin}]*+[\p{L}&&[^\p{IsLatin}]]\p{L}*+"
 
 
 def script_words(x: Column, scripts: Sequence[str] = SCRIPTS) -> Column:
-    """Map of writing system to words of a text that use it, without zeros; null gives an empty map."""
+    """Map of writing system to words of a text that use it, without zeros; null gives an empty map.
+
+    A text is read once for Latin. Only where it has characters beyond are its other words taken out, once, and counted for each system.
+    """
     text = F.coalesce(x, F.lit(""))
-    beyond = text.rlike(BEYOND)
-    counts = {s: words_with(text, s) if s == "latin" else F.when(beyond, words_with(text, s)).otherwise(0) for s in scripts}
-    counts["cjk"] = F.when(beyond, F.regexp_count(text, F.lit(CJK))).otherwise(0)
-    pairs = F.array(*[F.struct(F.lit(s).alias("key"), n.cast("bigint").alias("value")) for s, n in counts.items()])
+    entry = lambda s, n: F.struct(F.lit(s).alias("key"), n.cast("bigint").alias("value"))
+    latin = [entry("latin", words_with(text, "latin"))] if "latin" in scripts else []
+    counted = lambda rest: F.array(*latin, *[entry(s, words_with(rest, s)) for s in scripts if s != "latin"], entry("cjk", F.regexp_count(text, F.lit(CJK))))
+    rest = F.array_join(F.regexp_extract_all(text, F.lit(OTHER_WORD), F.lit(0)), " ")
+    pairs = F.when(text.rlike(BEYOND), once(rest, counted)).otherwise(F.array(*latin) if latin else F.array().cast("array<struct<key:string,value:bigint>>"))
     return F.map_from_entries(F.filter(pairs, lambda p: p["value"] > 0))
 
 
@@ -59,22 +69,23 @@ def main_script(counts: Column) -> Column:
 
 def writing_systems(texts: DataFrame, language: str, text: str) -> DataFrame:
     """(language, script, words): the writing system that most words of a language's texts use."""
-    counts = texts.select(language, F.explode(script_words(F.col(text))).alias("script", "words"))
+    counts = texts.select(language, F.explode_outer(script_words(F.col(text))).alias("script", "words")).filter("script is not null")
     summed = counts.groupBy(language, "script").agg(F.sum("words").alias("words"))
     best = F.min_by(F.struct("script", "words"), F.struct(-F.col("words"), F.col("script")))
     return summed.groupBy(language).agg(best.alias("b")).select(language, "b.script", "b.words")
 
 
 def vocabulary_words(x: Column, least: int = 3) -> Column:
-    """Distinct folded words of at least ``least`` letters."""
-    text = F.coalesce(x, F.lit(""))
-    words = F.regexp_extract_all(text, F.lit(rf"(\p{{L}}{{{least},}})"), F.lit(1))
-    return F.array_distinct(F.when(folds_apart(text), F.transform(words, fold)).otherwise(F.transform(words, F.lower)))
+    """Distinct folded words of at least ``least`` letters: they are folded as one text, a word a line, and not one by one."""
+    words = F.array_join(F.regexp_extract_all(F.coalesce(x, F.lit("")), F.lit(rf"(\p{{L}}{{{least},}})"), F.lit(1)), "\n")
+    folded = once(words, lambda w: F.when(folds_apart(w), fold(w)).otherwise(F.lower(w)))
+    return F.array_remove(F.array_distinct(F.split(folded, "\n")), "")
 
 
 def vocabulary(texts: DataFrame, language: str, text: str, least: int = 1, families: Sequence[Sequence[str]] = FAMILIES) -> DataFrame:
     """(family, word, texts): in how many texts of a family a word stands, from ``least`` on. Counts are summed before they are shuffled."""
-    rows = texts.filter(F.col(language).isNotNull()).select(family(F.col(language), families).alias("family"), F.explode(vocabulary_words(F.col(text))).alias("word"))
+    words = texts.filter(F.col(language).isNotNull()).select(family(F.col(language), families).alias("family"), vocabulary_words(F.col(text)).alias("words"))
+    rows = words.select("family", F.explode_outer("words").alias("word")).filter("word is not null")  # the inner form would compute the words again, for a filter
     return rows.groupBy("family", "word").agg(F.count("*").alias("texts")).filter(F.col("texts") >= least)
 
 
@@ -83,10 +94,11 @@ def vote_by_words(texts: DataFrame, known: DataFrame, key: str, text: str) -> Da
 
     Each row of ``texts`` has a key of its own. A text without a known word has no family.
     """
-    each = texts.select(key, F.explode(vocabulary_words(F.col(text))).alias("word"))
-    votes = each.join(small(known.select("family", "word")), "word").groupBy(key, "family").agg(F.count("*").alias("votes"))
-    best = votes.groupBy(key).agg(F.max("votes").alias("votes"), F.min_by("family", F.struct(-F.col("votes"), F.col("family"))).alias("family"))
-    return texts.select(key, F.size(vocabulary_words(F.col(text))).alias("words")).join(best, key, "left").withColumn("votes", F.coalesce("votes", F.lit(0)))
+    words = texts.select(key, vocabulary_words(F.col(text)).alias("held"))
+    each = words.select(key, F.size("held").alias("words"), F.explode_outer("held").alias("word"))
+    votes = each.join(small(known.select("family", "word")), "word", "left").groupBy(key, "words", "family").agg(F.count("family").alias("votes"))
+    least = F.when(F.col("family").isNotNull(), F.struct(-F.col("votes"), F.col("family")))
+    return votes.groupBy(key, "words").agg(F.max("votes").alias("votes"), F.min_by("family", least).alias("family")).select(key, "words", "votes", "family")
 
 
 def name_checks(
@@ -104,24 +116,29 @@ def name_checks(
     """
     names = [c for c in rows.columns if c != key]
     table = small(scripts.select("language", F.col("script").alias("__told")))
-    said = rows.join(table, "language", "left").withColumn("__a", script_words(F.col("activity"))).withColumn("__n", F.map_keys(script_words(F.col("name"))))
-    total = F.aggregate(F.map_values("__a"), F.lit(0).cast("bigint"), lambda s, n: s + n)
-    told = F.when(F.col("probability") >= confident, F.col("__told"))
-    expected = F.when(F.coalesce(F.try_element_at(F.col("__a"), told), F.lit(0)) * 2 >= total, told)
-    said = said.withColumn("__e", expected)
-    open_ = ~F.col("name").rlike(ACRONYM) & (F.size("__a") > 0) & (F.size("__n") > 0)
-    shared = F.arrays_overlap("__n", F.map_keys("__a"))
-    off = F.when(F.col("__e").isNull(), ~shared).otherwise(~F.array_contains("__n", F.col("__e")) | ((F.col("__e") == "latin") & (F.size("__n") > 1)))
+    said = rows.join(table, "language", "left")
     own, other = family(F.col("name_language"), families), family(F.col("language"), families)
-    asked = open_ & ~off & (F.col("__e") == "latin") & (F.col("probability") >= sure) & (F.col("name_probability") >= sure) & (own != other) & (F.size(F.split(collapse_space(F.col("name")), " ")) >= 2) & (F.size(vocabulary_words(F.col("name"))) > 0)
-    said = said.withColumn("__script", F.coalesce(open_ & off, F.lit(False))).withColumn("__asked", F.coalesce(asked, F.lit(False)))
-    each = said.filter("__asked").select(key, own.alias("own"), other.alias("other"), F.explode(vocabulary_words(F.col("name"))).alias("word"))
+    apart = (F.col("probability") >= sure) & (F.col("name_probability") >= sure) & (own != other)
+
+    def judge(v: Column) -> Column:
+        a, n = v["a"], v["n"]
+        total = F.aggregate(F.map_values(a), F.lit(0).cast("bigint"), lambda s, n: s + n)
+        told = F.when(F.col("probability") >= confident, F.col("__told"))
+        expected = F.when(F.coalesce(F.try_element_at(a, told), F.lit(0)) * 2 >= total, told)
+        open_ = ~F.col("name").rlike(ACRONYM) & (F.size(a) > 0) & (F.size(n) > 0)
+        off = F.when(expected.isNull(), ~F.arrays_overlap(n, F.map_keys(a))).otherwise(~F.array_contains(n, expected) | ((expected == "latin") & (F.size(n) > 1)))
+        several = (F.size(F.split(collapse_space(F.col("name")), " ")) >= 2) & (F.size(vocabulary_words(F.col("name"))) > 0)
+        return F.struct(F.coalesce(open_ & off, F.lit(False)).alias("script"), F.coalesce(apart & open_ & ~off & (expected == "latin") & several, F.lit(False)).alias("asked"))
+
+    systems = F.struct(script_words(F.col("activity")).alias("a"), F.map_keys(script_words(F.col("name"))).alias("n"))
+    said = said.withColumn("__j", once(systems, judge))  # one expression, since every use of a text's counts would count it again
+    each = said.filter(apart & F.col("__j.asked")).select(key, own.alias("own"), other.alias("other"), F.explode(vocabulary_words(F.col("name"))).alias("word"))
     counts = small(known.filter(F.col("texts") >= least).select("family", "word", F.lit(True).alias("knows")))
     mine = counts.select(F.col("family").alias("own"), "word", F.col("knows").alias("__mine"))
     theirs = counts.select(F.col("family").alias("other"), "word", F.col("knows").alias("__theirs"))
     judged = each.join(mine, ["own", "word"], "left").join(theirs, ["other", "word"], "left").groupBy(key).agg((F.every(F.coalesce("__mine", F.lit(False))) & ~F.some(F.coalesce("__theirs", F.lit(False)))).alias("__wrong"))
     out = said.join(judged, key, "left")
-    return out.select(key, *names, F.when(F.col("__script"), "script_mismatch").when(F.col("__wrong"), "language_mismatch").alias("reason"))
+    return out.select(key, *names, F.when(F.col("__j.script"), "script_mismatch").when(F.col("__wrong"), "language_mismatch").alias("reason"))
 
 
 def detected(rows: DataFrame, keys: Sequence[str], text: str = "text", language: str = "language", probability: str = "probability", confident: float = 0.5, share: float = 0.6) -> DataFrame:

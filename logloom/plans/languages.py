@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.operators import language
+from logloom.operators.sizing import spread
 from logloom.plans.queries import query, read
 
 FOLD_SQL = "replace(lower({}), 'ß', 'ss')"
@@ -16,10 +17,14 @@ SCRIPT_SQL = r"""s AS (
     len(list_filter(regexp_extract_all(text, '\p{L}+'), lambda w: regexp_matches(w, '\p{Greek}'))) AS greek, len(regexp_extract_all(text, '[\p{Han}\p{Hiragana}\p{Katakana}]')) AS cjk FROM documents)"""
 
 
+def texts(s: SparkSession, d: str) -> DataFrame:
+    return spread(read(s, d, "documents").select("doc_id", "lang", "text"), "doc_id")
+
+
 @query("f15_script_words", f"WITH {SCRIPT_SQL} SELECT doc_id, latin, cyrillic, greek, cjk FROM s")
 def f15_script_words(s: SparkSession, d: str) -> DataFrame:
     counts = language.script_words(F.col("text"))
-    rows = read(s, d, "documents").select("doc_id", counts.alias("m"))
+    rows = texts(s, d).select("doc_id", counts.alias("m"))
     return rows.select("doc_id", *[F.coalesce(F.try_element_at("m", F.lit(k)), F.lit(0)).alias(k) for k in ("latin", "cyrillic", "greek", "cjk")])
 
 
@@ -27,13 +32,13 @@ def f15_script_words(s: SparkSession, d: str) -> DataFrame:
 WITH {SCRIPT_SQL}, u AS (SELECT lang, unnest([{{'s': 'latin', 'n': latin}}, {{'s': 'cyrillic', 'n': cyrillic}}, {{'s': 'greek', 'n': greek}}, {{'s': 'cjk', 'n': cjk}}]) AS x FROM s), t AS (SELECT lang, x.s AS script, CAST(sum(x.n) AS BIGINT) AS words FROM u GROUP BY ALL)
 SELECT lang, arg_min(script, struct_pack(a := -words, b := script)) AS script, max(words) AS words FROM t GROUP BY lang""")
 def a11_writing_system(s: SparkSession, d: str) -> DataFrame:
-    return language.writing_systems(read(s, d, "documents"), "lang", "text")
+    return language.writing_systems(texts(s, d), "lang", "text")
 
 
 @query("c2_vocabulary", f"""
 SELECT {FAMILY_SQL} AS family, word, count(*) AS texts FROM (SELECT lang, unnest({WORDS_SQL}) AS word FROM documents WHERE lang IS NOT NULL) GROUP BY ALL HAVING count(*) >= 5""")
 def c2_vocabulary(s: SparkSession, d: str) -> DataFrame:
-    return language.vocabulary(read(s, d, "documents"), "lang", "text", least=5)
+    return language.vocabulary(texts(s, d), "lang", "text", least=5)
 
 
 @query("c2_vocabulary_vote", f"""
@@ -41,7 +46,7 @@ WITH w AS (SELECT doc_id, lang, {WORDS_SQL} AS words FROM documents), e AS (SELE
 c AS (SELECT doc_id, family, count(*) AS n FROM e JOIN v USING (word) GROUP BY ALL), b AS (SELECT doc_id, max(n) AS votes, arg_min(family, struct_pack(a := -n, b := family)) AS family FROM c GROUP BY doc_id)
 SELECT doc_id, CAST(coalesce(len(words), 0) AS INTEGER) AS words, coalesce(votes, 0) AS votes, family FROM w LEFT JOIN b USING (doc_id)""")
 def c2_vocabulary_vote(s: SparkSession, d: str) -> DataFrame:
-    docs = read(s, d, "documents")
+    docs = texts(s, d)
     return language.vote_by_words(docs, language.vocabulary(docs, "lang", "text", least=5), "doc_id", "text")
 
 
@@ -54,7 +59,7 @@ j AS (SELECT doc_id, bool_and((own, {FOLD_SQL.format('part')}) IN (SELECT (famil
 SELECT a.doc_id, CASE WHEN wrong THEN 'language_mismatch' END AS reason FROM n a JOIN documents b ON b.doc_id = a.doc_id + 1 LEFT JOIN j ON j.doc_id = a.doc_id""")
 def c2_language_consistency(s: SparkSession, d: str) -> DataFrame:
     """Every document's first words as a name of the next document's text, whose language they may not be in."""
-    docs = read(s, d, "documents")
+    docs = texts(s, d)
     words = F.regexp_extract_all("text", F.lit(r"(\p{L}{3,})"), F.lit(1))
     names = docs.select("doc_id", F.array_join(F.slice(words, 1, 2), " ").alias("name"), F.col("lang").alias("name_language"), F.lit(0.95).alias("name_probability"))
     rows = names.join(docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("activity"), F.col("lang").alias("language"), F.lit(1.0).alias("probability")), "doc_id")

@@ -54,3 +54,25 @@ def test_units_of_texts_without_a_vote_do_not_count(spark):
     assert got == {1: (1, 0, 1, 1, False)}
     kept = language.kept_languages(df, ["r", "u"], "text", F.lit("en"), ["en"]).collect()
     assert {(r["r"], r["u"]) for r in kept} == {(1, 2), (2, 2)} and {r["voted"] for r in kept if r["u"] == 2 and r["r"] == 2} == {False}
+
+
+def test_words_fold_alike_one_by_one_and_as_a_text(spark):
+    texts = ["Straße STRASSE straße ΣΑΣ σας", "İstanbul ﬁnal ŉab Ǆabc µµµ", "", None, "ab cd", "ſſſ\nSSS 12 a1b2 éÉé\u0301x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    words = F.regexp_extract_all(F.coalesce("t", F.lit("")), F.lit(r"(\p{L}{3,})"), F.lit(1))
+    both = df.select(language.vocabulary_words(F.col("t")).alias("a"), F.array_distinct(F.transform(words, language.fold)).alias("b")).collect()
+    assert [r["a"] for r in both] == [r["b"] for r in both]
+
+
+def test_signs_of_a_script_that_are_no_letters_are_no_words(spark):
+    df = spark.createDataFrame([("Ⅷ abc १२ ҂ мир x\u03bcy µg",)], "t string")
+    assert df.select(language.script_words(F.col("t")).alias("m")).first()["m"] == {"latin": 3, "cyrillic": 1, "greek": 1}
+
+
+def test_texts_are_searched_once_for_every_use_of_their_counts(spark):
+    """Counts named in many places used to be computed in each."""
+    df = spark.createDataFrame([("a", "b", "c", "en", 1.0, "fr", 1.0)], "id string, name string, activity string, language string, probability double, name_language string, name_probability double")
+    count = lambda d: d._jdf.queryExecution().optimizedPlan().toString().count("x{2000}")
+    assert count(df.select(language.script_words(F.col("activity")))) <= 2  # 46 before
+    known, scripts = spark.createDataFrame([("en", "a", 30)], "family string, word string, texts long"), spark.createDataFrame([("en", "latin")], "language string, script string")
+    assert count(language.name_checks(df, known, scripts, "id")) <= 4  # 368 before
