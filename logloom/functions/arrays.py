@@ -53,11 +53,15 @@ def chunks(x: Column, size: int) -> Column:
 
 def multiset_jaccard(a: Column, b: Column) -> Column:
     """Shared occurrences over all occurrences; two empty arrays are alike."""
-    keys = F.array_distinct(F.concat(a, b))
     times = lambda x, k: F.size(F.filter(x, lambda v: v == k))
-    shared = F.aggregate(keys, F.lit(0), lambda s, k: s + F.least(times(a, k), times(b, k)))
-    union = F.aggregate(keys, F.lit(0), lambda s, k: s + F.greatest(times(a, k), times(b, k)))
-    return F.when(union == 0, F.lit(1.0)).otherwise(shared / union)
+
+    def ratio(v: Column) -> Column:
+        keys = F.array_distinct(F.concat(v["a"], v["b"]))
+        both = F.transform(keys, lambda k: F.struct(times(v["a"], k).alias("a"), times(v["b"], k).alias("b")))
+        counts = F.aggregate(both, F.struct(F.lit(0).alias("shared"), F.lit(0).alias("union")), lambda s, n: F.struct((s["shared"] + F.least(n["a"], n["b"])).alias("shared"), (s["union"] + F.greatest(n["a"], n["b"])).alias("union")))
+        return once(counts, lambda n: F.when(n["union"] == 0, F.lit(1.0)).otherwise(n["shared"] / n["union"]))
+
+    return once(F.struct(a.alias("a"), b.alias("b")), ratio)
 
 
 def remap_evidence(evidence: Column, order: Column) -> Column:

@@ -110,13 +110,18 @@ def still_referenced(refs: Column, existing: Column) -> Column:
     return (F.size(refs) == 0) | F.arrays_overlap(refs, existing)
 
 
-def contained(texts: DataFrame, text: str, names: DataFrame, name: str, max_names: int = 10_000) -> DataFrame:
+def contained(texts: DataFrame, text: str, names: DataFrame, name: str, max_names: int = 10_000, empty: bool = False) -> DataFrame:
     """``texts`` with the longest name that each contains, ties to the first; null where there is none, or for a null text.
 
     Up to ``max_names`` distinct names, which is checked, go to every task as one array. More are joined: every place of a
     text meets the names that begin with its first characters (``BEGIN`` of them, or as many as a shorter name has), and
-    what stands there has to begin with the name. Both ways give the same rows; empty and null names match nothing.
+    what stands there has to begin with the name. Both ways give the same rows; null names match nothing. Nor do empty ones,
+    unless ``empty`` says so: then a text that contains no longer name has the empty one, if it is among the names.
     """
+    if empty:
+        longer = contained(texts, text, names, name, max_names)
+        has = F.lit(names.filter(F.col(name) == "").limit(1).count() > 0)
+        return longer.withColumn(name, F.coalesce(name, F.when(has & F.col(text).isNotNull(), "")))
     held = names.select(F.col(name).alias("__name")).filter(F.length("__name") > 0).distinct()
     if held.limit(max_names + 1).count() > max_names:
         return _contained_by_begin(texts, text, held, name)

@@ -141,3 +141,9 @@ def test_the_longest_contained_name_whatever_their_number(spark, most):
     out = joins.contained(t, "t", spark.createDataFrame([(n,) for n in names], "name string"), "name", most)
     want = {i: min((n for n in names if n and x and n in x), key=lambda n: (-len(n), n.encode()), default=None) for i, x in enumerate(texts)}
     assert {r["i"]: r["name"] for r in out.collect()} == want and out.count() == len(texts)
+
+
+def test_empty_names_stand_everywhere_where_they_are_asked_for(spark):
+    t = spark.createDataFrame([(1, "abc"), (2, "xyz"), (3, ""), (4, None)], "i int, t string")
+    found = lambda names, **o: [r["name"] for r in joins.contained(t, "t", spark.createDataFrame([(n,) for n in names], "name string"), "name", **o).orderBy("i").collect()]
+    assert found(["", "b", None], empty=True) == ["b", "", "", None] and found(["b", None], empty=True) == found(["", "b"]) == ["b", None, None, None]
