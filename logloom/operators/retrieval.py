@@ -6,9 +6,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logloom.functions.arrays import once
 from logloom.operators.windows import ranked
 
 #: Queries of a block and vectors of a shard: what one task holds at once.
@@ -19,7 +20,8 @@ def cosine_top_k(index: DataFrame, queries: DataFrame, k: int, id_col: str = "ve
     """(query, rank, id, score): cosine by normalised vectors, ties to the smaller id; zero and null vectors match nothing.
 
     Index rows are dealt to shards and queries to blocks, both of a bounded size. A row of the join on (shard, block) is
-    a matrix product in one task and gives at most ``k`` rows a query.
+    a matrix product in one task and gives at most ``k`` rows a query. The join shuffles both sides: a broadcast would take all
+    vectors through the driver.
     """
 
     def packed(df: DataFrame, name: str, size: int, part: str) -> DataFrame:
@@ -50,7 +52,7 @@ def cosine_top_k(index: DataFrame, queries: DataFrame, k: int, id_col: str = "ve
                 order = np.lexsort((np.broadcast_to(ids, scores.shape), -np.round(scores, 9)), axis=1)[:, :k]
                 yield pd.DataFrame({"query": np.repeat(q_ids, order.shape[1]), "id": ids[order].ravel(), "score": np.take_along_axis(scores, order, 1).ravel()})
 
-    found = left.join(right, ["shard", "block"]).mapInPandas(run, "query bigint, id bigint, score double")
+    found = left.join(right.hint("merge"), ["shard", "block"]).mapInPandas(run, "query bigint, id bigint, score double")
     out = ranked(found, ["query"], [F.desc(F.round("score", 9)), F.col("id")]).filter(F.col("rank") <= k)
     return out.select(F.col("query").alias(query_col), "rank", F.col("id").alias(id_col), "score")
 
@@ -67,22 +69,20 @@ def recall(hits: DataFrame, targets: DataFrame, user: str, item: str, keys: Sequ
 def greedy_cover(df: DataFrame, user: str, candidate: str, item: str, k: int) -> DataFrame:
     """(user, step, candidate, gain): up to ``k`` candidates per user by the most items not yet covered, ties to the smaller.
 
-    Greedy choice is sequential within a user; a group holds one user's candidates.
+    Greedy choice is sequential within a user, whose candidates are one row; null candidates are none.
     """
+    kind = lambda c: df.schema[c].dataType.simpleString()
+    sets = df.filter(F.col(candidate).isNotNull()).groupBy(user, candidate).agg(F.collect_set(item).alias("i"), F.max(F.col(item).isNull()).alias("n"))
+    held = F.when(F.col("n"), F.concat("i", F.array(F.lit(None).cast(kind(item))))).otherwise(F.col("i"))
+    rows = sets.select(user, F.struct(F.col(candidate).alias("c"), held.alias("i")).alias("x")).groupBy(user).agg(F.collect_list("x").alias("xs"))
 
-    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        sets = {c: set(g) for c, g in pdf.groupby(candidate)[item]}
-        covered, out = set(), []
-        for step in range(1, k + 1):
-            best = min(sets, key=lambda c: (-len(sets[c] - covered), c), default=None)
-            if best is None or not sets[best] - covered:
-                break
-            out.append((key[0], step, best, len(sets[best] - covered)))
-            covered |= sets.pop(best)
-        return pd.DataFrame(out, columns=[user, "step", candidate, "gain"])
+    def choose(s: Column, step: Column) -> Column:
+        best = F.array_min(F.transform("xs", lambda x: F.struct((-F.size(F.array_except(x["i"], s["covered"]))).alias("g"), x["c"].alias("c"), x["i"].alias("i"))))
+        return once(best, lambda b: F.when(b["g"] < 0, F.struct(F.array_union(s["covered"], b["i"]).alias("covered"), F.concat(s["picked"], F.array(F.struct(step.alias("step"), b["c"].alias("c"), (-b["g"]).alias("gain")))).alias("picked"))).otherwise(s))
 
-    kind = lambda c: df.schema[c].dataType.simpleString()
-    return df.select(user, candidate, item).distinct().groupBy(user).applyInPandas(one, f"{user} {kind(user)}, step int, {candidate} {kind(candidate)}, gain int")
+    none = F.struct(F.array().cast(f"array<{kind(item)}>").alias("covered"), F.array().cast(f"array<struct<step:int,c:{kind(candidate)},gain:int>>").alias("picked"))
+    picked = rows.select(user, F.aggregate(F.sequence(F.lit(1), F.lit(k)), none, choose)["picked"].alias("p"))
+    return picked.select(user, F.explode_outer("p").alias("p")).filter("p is not null").select(user, "p.step", F.col("p.c").alias(candidate), "p.gain")
 
 
 def dynamic_top(df: DataFrame, user: str, order: Sequence, limits: DataFrame, limit: str) -> DataFrame:

@@ -229,3 +229,45 @@ def test_answer_scores(spark):
     assert values(spark, [(10,), (95,), (110,)], "n int", text.overlong_penalty(F.col("n"), 100, 20, 1.0)) == [(0.0,), (-0.75,), (-1.5,)]
     mask = spark.createDataFrame([([1.0, 3.0],), ([1.0, 9.0],)], "r array<double>").select(windows.rejection_mask(F.col("r"), 0.5, 2.0, 5.0).alias("m")).collect()
     assert [r["m"] for r in mask] == [[True, False], [False, False]]
+
+
+def test_responses_of_one_place_go_by_their_order_in_the_file(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from logloom.plans.queries import j3_first_ok
+
+    n = 4000
+    pq.write_table(pa.table({"l_orderkey": [i % 40 for i in range(n)], "l_linenumber": [1] * n, "l_partkey": list(range(n)), "l_returnflag": ["N"] * n}), tmp_path / "lineitem.parquet", row_group_size=100)
+    pq.write_table(pa.table({"o_orderkey": list(range(40))}), tmp_path / "orders.parquet")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in held:
+            spark.conf.set(k, "2k")
+        assert {(r["k"], r["part"]) for r in j3_first_ok(spark, str(tmp_path)).collect()} == {(i, i) for i in range(40)}
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def test_greedy_cover_takes_the_smaller_of_equals_and_stops_without_gain(spark):
+    rows = [("u", 2, "a"), ("u", 2, "b"), ("u", 1, "a"), ("u", 1, "b"), ("u", 3, "c"), ("u", 3, "a"), ("u", 4, "c"), ("u", None, "d"), (None, 1, "a"), ("n", 5, None), ("none", None, "x")]
+    got = retrieval.greedy_cover(spark.createDataFrame(rows, "user string, c long, item string"), "user", "c", "item", 5)
+    assert {tuple(r) for r in got.collect()} == {("u", 1, 1, 2), ("u", 2, 3, 1), (None, 1, 1, 1), ("n", 1, 5, 1)}
+    assert "Pandas" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_packed_vectors_do_not_pass_through_the_driver(spark):
+    v = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(50)], "vec_id long, embedding array<double>")
+    found = retrieval.cosine_top_k(v, v.filter("vec_id < 3").select(F.col("vec_id").alias("query_id"), "embedding"), 2)
+    found.collect()
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_multisets_split_their_text_once(spark):
+    from logloom.functions import arrays
+
+    words = F.split(F.col("t"), " ")
+    df = spark.createDataFrame([("a b a c",), ("",)], "t string").select(F.round(arrays.multiset_jaccard(F.slice(words, 1, 3), F.slice(words, 2, 3)), 6).alias("j"))
+    assert [r["j"] for r in df.collect()] == [0.5, 0.0] or [r["j"] for r in df.collect()] == [0.5, 1.0]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") <= 2
