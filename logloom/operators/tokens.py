@@ -23,7 +23,7 @@ def optimal_baseline(tokens: DataFrame, group: str = "group", trajectory: str =
     the mean of returns weighted by energy over the group's trajectories that are there. Trajectories alone in their group
     have none; with ``zero_tail`` neither has the single longest one beyond the second. Steps count from 0; with ``multi_turn``
     only masked-in steps count and trajectories without one are not in the group. Masked-out steps have no return of their
-    own and advantage 0.
+    own and advantage 0. All is windows over the group, so tokens that come dealt by it are not shuffled again.
     """
     ends = [group, trajectory]
     mask = F.col("mask").cast("boolean")
@@ -33,19 +33,17 @@ def optimal_baseline(tokens: DataFrame, group: str = "group", trajectory: str =
     backward = Window.partitionBy(*ends).orderBy(F.desc(step)).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*ends)
     energy = (1 - 2 * F.exp("logp") + F.col("sum_squared")) * weight
-    rows = tokens.withColumn("__on", on).withColumn("returns", F.sum(F.col("reward") * F.col("__on")).over(backward)).withColumn("__w", F.sum(energy * F.col("__on")).over(forward)).withColumn("__length", F.sum("__on").over(whole))
+    rows = tokens.withColumn("__on", on).withColumn("returns", F.sum(F.col("reward") * F.col("__on")).over(backward)).withColumn("__w", F.sum(energy * F.col("__on")).over(forward)).withColumn("__length", F.sum("__on").over(whole)).withColumn("__first", F.row_number().over(Window.partitionBy(*ends).orderBy(step)))
     rows = rows.withColumn("__at", (F.sum("__on").over(forward) - 1 if multi_turn else F.col(step)).cast("bigint"))
-    held = rows.filter("__on = 1")
-    moments = held.groupBy(group, "__at").agg((F.sum(F.col("returns") * F.col("__w")) / (F.sum("__w") + epsilon)).alias("__baseline"))
-    lengths = rows.groupBy(*ends).agg(F.max("__length").alias("__l"))
-    lengths = lengths.filter("__l > 0") if multi_turn else lengths
-    two = lengths.groupBy(group).agg(F.count("*").alias("__n"), F.slice(F.sort_array(F.collect_list("__l"), asc=False), 1, 2).alias("__top"))
-    out = rows.join(moments, [group, "__at"], "left").join(two, group, "left")
+    at, of = Window.partitionBy(group, "__at"), Window.partitionBy(group)
+    rows = rows.withColumn("__baseline", F.sum(F.when(F.col("__on") == 1, F.col("returns") * F.col("__w"))).over(at) / (F.sum(F.when(F.col("__on") == 1, F.col("__w"))).over(at) + epsilon))
+    member = (F.col("__first") == 1) & (F.col("__length") > 0) if multi_turn else F.col("__first") == 1
+    out = rows.withColumn("__n", F.count(F.when(member, 1)).over(of)).withColumn("__top", F.slice(F.sort_array(F.collect_list(F.when(member, F.col("__length"))).over(of), asc=False), 1, 2))
     second = F.get("__top", F.lit(1))
     alone = F.coalesce(F.col("__n"), F.lit(0)) <= 1
     tail = F.lit(zero_tail) & (F.col("__length") > second) & (F.col("__at") >= second)
     baseline = F.when(alone | tail, 0.0).otherwise(F.coalesce("__baseline", F.lit(0.0)))
-    return out.withColumn("advantage", (F.col("returns") - baseline) * F.col("__on")).drop("__on", "__w", "__at", "__length", "__baseline", "__n", "__top")
+    return out.withColumn("advantage", (F.col("returns") - baseline) * F.col("__on")).drop("__on", "__w", "__at", "__length", "__baseline", "__n", "__top", "__first")
 
 
 def token_sums(training: Column, rollout: Column, mask: Column) -> Column:

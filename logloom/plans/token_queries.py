@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.operators import tokens, training
+from logloom.operators.sizing import dealt
 from logloom.plans.queries import query, read
 
 
 def steps(s: SparkSession, d: str) -> DataFrame:
     """Orders as trajectories, sixteen to a group or so, their lines as steps."""
     line = read(s, d, "lineitem")
-    return line.select(F.floor(F.col("l_orderkey") / 16).alias("group"), F.col("l_orderkey").alias("trajectory"), (F.expr("row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice)") - 1).alias("step"), F.col("l_discount").alias("reward"), F.log((F.col("l_quantity") + 1) / 60).alias("logp"), (F.pow((F.col("l_quantity") + 1) / 60, F.lit(2.0)) + F.col("l_tax")).alias("sum_squared"), (F.col("l_returnflag") != "A").alias("mask"))
+    held = line.select(F.floor(F.col("l_orderkey") / 16).alias("group"), F.col("l_orderkey").alias("trajectory"), "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_quantity", "l_tax", "l_returnflag")
+    numbered = dealt(held, line.count(), "group").withColumn("step", F.expr("row_number() over (partition by `group`, trajectory order by l_linenumber, l_partkey, l_suppkey, l_extendedprice)") - 1)
+    return numbered.select("group", "trajectory", "step", F.col("l_discount").alias("reward"), F.log((F.col("l_quantity") + 1) / 60).alias("logp"), (F.pow((F.col("l_quantity") + 1) / 60, F.lit(2.0)) + F.col("l_tax")).alias("sum_squared"), (F.col("l_returnflag") != "A").alias("mask"))
 
 
 STEPS_SQL = """x AS (SELECT l_orderkey // 16 AS g, l_orderkey AS t, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS step, l_discount AS reward, ln((l_quantity + 1) / 60) AS logp, pow((l_quantity + 1) / 60, 2) + l_tax AS sq, CASE WHEN l_returnflag <> 'A' THEN 1 ELSE 0 END AS m FROM lineitem),

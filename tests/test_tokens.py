@@ -120,3 +120,14 @@ def test_a_row_group_is_a_batch(spark, tmp_path):
     assert scan.metrics().apply("numOutputRows").value() == 32  # one group is read, not a file
     with pytest.raises(ValueError, match="not 31"):
         sinks.batch_groups(df, f"{tmp_path}/no", "batch", "slot", 31)
+
+
+def test_baselines_shuffle_no_row_again_and_tasks_do_not_grow(spark, monkeypatch):
+    from logloom.operators import sizing, tokens
+
+    monkeypatch.setattr(sizing, "TASK_ROWS", 10)
+    df = spark.range(200).selectExpr("id div 20 as `group`", "id div 5 as trajectory", "id % 5 as step", "0.5D as reward", "-1.0D as logp", "0.5D as sum_squared", "true as mask")
+    held = sizing.dealt(df, 200, "group")
+    assert held.rdd.getNumPartitions() == 20 and sizing.dealt(df, 5, "group").rdd.getNumPartitions() == 4
+    plan = tokens.optimal_baseline(held)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
