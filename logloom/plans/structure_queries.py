@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logloom.functions import structure
 from logloom.operators import evaluation, merges
+from logloom.operators.sizing import dealt
 from logloom.plans.queries import EV, events, query, read
 
 
@@ -88,8 +89,10 @@ def a27_call_statistics(s: SparkSession, d: str) -> DataFrame:
 @query("a28_pool_report", """
 WITH b AS (SELECT o_orderpriority, o_custkey % 7 AS b, count(DISTINCT l_partkey) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL) SELECT o_orderpriority, count(*) AS batches, min(n) AS smallest, max(n) AS largest FROM b GROUP BY 1""")
 def a28_pool_report(s: SparkSession, d: str) -> DataFrame:
-    held = read(s, d, "orders").join(read(s, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_orderpriority", "o_orderkey", (F.col("o_custkey") % 7).alias("b")).agg(F.collect_list("l_partkey").alias("items"))
-    return evaluation.pool_report(held, "o_orderpriority", "b", F.col("items"))
+    lines = read(s, d, "lineitem")
+    orders = dealt(read(s, d, "orders").select("o_orderpriority", "o_orderkey", (F.col("o_custkey") % 7).alias("b")), lines.count(), "o_orderkey")
+    held = orders.join(dealt(lines.select("l_orderkey", "l_partkey"), lines.count(), "l_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"))
+    return evaluation.pool_report(held, "o_orderpriority", "b", F.array("l_partkey"))
 
 
 @query("a32_answer_summary", """
