@@ -105,6 +105,12 @@ class Forest:
                 out.append(k)
         return out
 
+    def flat(self) -> np.ndarray:
+        """The root of every place, found for all at once."""
+        while not np.array_equal(up := self.parent[self.parent], self.parent):
+            self.parent = up
+        return self.parent
+
 
 def near(fp: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray, bits: int) -> np.ndarray:
     """Which of the pairs (i, j) are within ``bits``: pivot coordinates first, survivors verified."""
@@ -303,13 +309,13 @@ WIDE = 16
 SKETCH = [f"s{k}" for k in range(WIDE)]
 
 
-def sketch(shingles: np.ndarray) -> np.ndarray:
-    """For each of ``64 * WIDE`` places whether an odd number of the set's hashes falls there.
+def sketch(shingles: np.ndarray, wide: int = WIDE) -> np.ndarray:
+    """For each of ``64 * wide`` places, a power of two, whether an odd number of the set's hashes falls there.
 
     Every place in which two sketches differ takes a shingle that only one of the sets has, so the sets differ in at
     least as many shingles.
     """
-    odd = (np.bincount(shingles >> np.uint32(32 - (64 * WIDE).bit_length() + 1), minlength=64 * WIDE) & 1).astype(np.uint8)
+    odd = (np.bincount(shingles >> np.uint32(32 - (64 * wide).bit_length() + 1), minlength=64 * wide) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
@@ -358,7 +364,10 @@ def prefixes(sets: DataFrame, similarity: float, last: np.ndarray, live: np.ndar
 
 
 def _sharing(similarity: float):  # noqa: ANN202
-    """Pairs of one key that lie in different components and can still be as similar, by their sizes, places and sketches."""
+    """Links between sets of one key that lie in different components and can still be as similar, by their sizes, places and sketches.
+
+    A task gives the links that first connect its sets, fewer than it has sets, however many pairs there are.
+    """
 
     def can_be(drawn: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Which pairs have sketches no farther apart than sets of that similarity; most fail on the first words."""
@@ -375,22 +384,27 @@ def _sharing(similarity: float):  # noqa: ANN202
         drawn = rows[6:].view(np.uint64)
         ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
         last = ends[np.searchsorted(ends, np.arange(len(key)), side="right")]
-        alive, step, waiting, found = np.arange(len(key)), 1, 0, []
+        names, vertex = np.unique(node, return_inverse=True)
+        forest, found = Forest(len(names)), []
+        alive, step, root = np.arange(len(key)), 1, forest.flat()
         while len(alive):
             alive = alive[alive + step < last[alive]]
             i, j = alive, alive + step
+            hit = (component[i] != component[j]) & ((side[i] == 2) | (side[i] != side[j])) & (root[vertex[i]] != root[vertex[j]])
+            i, j = i[hit], j[hit]
             most = np.minimum(n[i] - place[i], n[j] - place[j])
-            hit = (component[i] != component[j]) & ((side[i] == 2) | (side[i] != side[j])) & ((1 + similarity) * most >= similarity * (n[i] + n[j]) - 1e-6)
+            hit = (1 + similarity) * most >= similarity * (n[i] + n[j]) - 1e-6
             i, j = i[hit], j[hit]
             hit = can_be(drawn, n, i, j)
-            i, j = node[i[hit]], node[j[hit]]
-            found.append(np.stack([np.minimum(i, j), np.maximum(i, j)]))
-            waiting += len(i)
+            i, j = vertex[i[hit]], vertex[j[hit]]
+            made = forest.links(i, j)
+            if made:
+                found.append(np.stack([names[i[made]], names[j[made]]]))
+                root = forest.flat()
             step += 1
-            if waiting > 200_000 or not len(alive):
-                u, v = np.unique(np.concatenate(found, axis=1), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
-                waiting, found = 0, []
+        if found:
+            u, v = np.concatenate(found, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -414,9 +428,10 @@ def _sharing(similarity: float):  # noqa: ANN202
 
 
 def sharing(sets: DataFrame, similarity: float, last: np.ndarray) -> DataFrame:
-    """(u, v): every pair of sets (node, component, shingles) of different components that can have that similarity.
+    """(u, v): links that connect all sets (node, component, shingles) of different components that can have that similarity.
 
-    Keys of one component are left out by an aggregate; of the others, those with more than ``TILE`` rows are tiled.
+    Both sets of every such pair are in one component of these links, which are not verified. Keys of one component are
+    left out by an aggregate; of the others, those with more than ``TILE`` rows are tiled.
     """
     spark = sets.sparkSession
     counted = prefixes(sets, similarity, last).groupBy("key").agg(F.count("*").alias("count"), F.min("component").alias("a"), F.max("component").alias("b"))
@@ -432,6 +447,108 @@ def sharing(sets: DataFrame, similarity: float, last: np.ndarray) -> DataFrame:
     return checkpointed(dealt.mapInArrow(tidy(_sharing(similarity)), "u bigint, v bigint").distinct())
 
 
+#: Bytes of shingles or sketches of a tile.
+TILE_BYTES = 1 << 22
+
+
+def _connecting(similarity: float, exact: bool):  # noqa: ANN202
+    """Links that first connect the sets of one key; sides as in ``linked``. By shingles if ``exact``, else by sketches of equal width, which miss none."""
+
+    def pairs(side: np.ndarray, n: np.ndarray, drawn: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+        ids = np.split(np.unique(np.concatenate(sets), return_inverse=True)[1], np.cumsum(n)[:-1]) if exact else []
+        root, marks, places = np.arange(len(n)), np.zeros(int(n.sum()) if exact else 0, dtype=bool), np.arange(len(n))
+        half = drawn.shape[1] // 2
+        for i in range(len(n) - 1):
+            fits = (np.minimum(n, n[i]) >= similarity * np.maximum(n, n[i]) - 1e-6) & ((side == 2) | (side != side[i]))
+            j = np.flatnonzero((places > i) & (root != root[i]) & fits)
+            apart = np.zeros(len(j), dtype=np.int64)
+            for part in (slice(0, half), slice(half, None)):  # most fail on the first half
+                apart = apart + np.bitwise_count(drawn[j, part] ^ drawn[i, part]).sum(axis=1, dtype=np.int64)
+                still = (1 + similarity) * apart <= (1 - similarity) * (n[j] + n[i]) + 1e-6
+                j, apart = j[still], apart[still]
+            if exact and len(j):
+                marks[ids[i]] = True
+                shared = np.add.reduceat(marks[np.concatenate([ids[k] for k in j])], np.cumsum(n[j]) - n[j], dtype=np.int64)
+                marks[ids[i]] = False
+                j = j[shared >= similarity * (n[j] + n[i] - shared)]
+            if len(j):
+                met, at = np.unique(root[j], return_index=True)
+                yield from ((i, int(k)) for k in j[at])
+                root[np.isin(root, met)] = root[i]
+
+    def links(held: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
+        side, node, n = (np.array(x, dtype=np.int64) for x in list(zip(*held, strict=True))[:3])
+        sets = [np.frombuffer(r[3], np.uint32 if exact else np.uint64) for r in held]
+        drawn = np.stack([sketch(a, width(n.mean())).view(np.uint64) for a in sets] if exact else sets)
+        found = np.array(list(pairs(side, n, drawn, sets)), dtype=np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(node[found[:, 0]]), pa.array(node[found[:, 1]])], ["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, int, int, bytes]] = []
+        now = None
+        for batch in batches:
+            for key, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != now and held:
+                    yield links(held)
+                    held = []
+                now = key
+                held.append(tuple(row))
+        if held:
+            yield links(held)
+
+    return run
+
+
+def width(n: float) -> int:
+    """Longs of a sketch that tells sets of some ``n`` shingles apart, ``WIDE`` at least."""
+    return max(WIDE, 1 << (int(n) // 64).bit_length())
+
+
+def connecting(held: DataFrame, similarity: float, exact: bool) -> DataFrame:
+    """(u, v): links among the sets of each group of ``held`` (group, node, n, load); ``load`` has shingles if ``exact``, else sketches.
+
+    Groups with more than ``TILE`` sets or ``TILE_BYTES`` of load are tiled. A task gives fewer links than it has sets.
+    """
+    wanted = F.greatest(F.count("*") / TILE, F.sum(F.octet_length("load")) / TILE_BYTES)
+    tiles = held.groupBy("group").agg(F.ceil(wanted).cast("int").alias("tiles"))
+    dealt = held.join(small(tiles), "group").withColumn("tile", F.pmod(F.xxhash64("node", F.lit(1)), F.col("tiles")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    low, high = F.least("tile", "other"), F.greatest("tile", "other")
+    side = F.when(low == high, 2).otherwise((F.col("tile") == high).cast("int")).cast("bigint")
+    dealt = dealt.select(F.xxhash64("group", low, high).alias("key"), side.alias("side"), "node", "n", "load")
+    dealt = dealt.repartition("key").sortWithinPartitions("key", "side", "node")
+    return checkpointed(dealt.mapInArrow(tidy(_connecting(similarity, exact)), "u bigint, v bigint"))
+
+
+def _drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        wide, packed = batch.column(4).to_pylist(), batch.column(3).to_pylist()
+        load = [sketch(np.frombuffer(a, np.uint32), w).tobytes() for a, w in zip(packed, wide, strict=True)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(load, pa.binary())], ["group", "node", "n", "load"])
+
+
+def proven(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(u, v): verified links with the same components as all pairs of that similarity among the sets that ``links`` connect.
+
+    A component of ``links`` is one group, whose sets are compared where they lie together. Groups of more than ``TILE_BYTES``
+    of shingles, as long texts with a common line give, are first cut to groups that sketches of their sets' width connect.
+    """
+    small_batches(links.sparkSession)
+    sets = sets.select("node", (F.octet_length("shingles") / 4).cast("bigint").alias("n"), F.col("shingles").alias("load"))
+    groups = components(links).withColumnRenamed("component", "group")
+    sized = checkpointed(sets.select("node", "n").join(small(groups), "node"))
+    large = checkpointed(sized.groupBy("group").agg(F.sum("n").alias("all"), F.avg("n").alias("mean")).filter(F.col("all") * 4 > TILE_BYTES))
+    if large.count():
+        power = F.length(F.conv(F.floor(F.col("mean") / 64).cast("string"), 10, 2))
+        wide = large.select("group", F.greatest(F.lit(WIDE), F.when(F.col("mean") < 64, 1).otherwise(F.pow(F.lit(2), power))).cast("bigint").alias("wide"))
+        of = sized.join(F.broadcast(wide), "group").select("node", "group", "wide")  # groups of some MB each
+        drawn = sets.join(small(of), "node").select("group", "node", "n", "load", "wide").mapInArrow(tidy(_drawn), "group bigint, node bigint, n bigint, load binary")
+        finer = components(connecting(written(drawn), similarity, False)).withColumnRenamed("component", "group")
+        sized = checkpointed(sized.join(F.broadcast(large), "group", "left_anti").select("node", "group").union(finer.select("node", "group")))
+    held = sets.join(small(sized.select("node", "group")), "node").select("group", "node", "n", "load")
+    return connecting(written(held), similarity, True)
+
+
 #: Smallest shingle hashes of a set by which it looks for a representative.
 LEAST = 4
 
@@ -475,7 +592,8 @@ def keep_one(docs: DataFrame, size: int = 5, bits: int = 4, similarity: float =
 
     Components are those of all pairs whose shingle sets have at least that Jaccard ``similarity``. Equal sets are one
     vertex. Verified links between fingerprints within ``bits`` and to representatives come first and gather most copies; then
-    every pair of sets that these leave apart and that can be as similar is verified, so the components depend on neither.
+    sets that these leave apart and that can be as similar are grouped, and the groups searched for pairs that are, so the
+    components depend on neither.
     Rows that share an id stay or go together, but for repeated rows, of which one stays; rows without an id are not
     compared and stay.
     """
@@ -488,8 +606,8 @@ def keep_one(docs: DataFrame, size: int = 5, bits: int = 4, similarity: float =
     near = near.union(sets.join(prints, "fp").filter("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v"))).union(representatives(sets))
     near = near.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     edges = verified(checkpointed(near), sets, similarity)
-    pairs = sharing(named(sets.select("node", "shingles"), gathered(edges)), similarity, frequent(sets, sets.count()))
-    edges = edges.union(verified(pairs, sets, similarity))
+    links = sharing(named(sets.select("node", "shingles"), gathered(edges)), similarity, frequent(sets, sets.count()))
+    edges = edges.union(proven(links, sets, similarity))
     stay = named(sets.select("node", "least"), components(edges)).groupBy("component").agg(F.min("least").alias(id_col)).select(id_col).distinct()
     kept = known.join(small(checkpointed(stay)), id_col, "left_semi")
     if known.groupBy(id_col).count().filter("count > 1").limit(1).count():

@@ -356,6 +356,38 @@ def test_near_copies_equal_brute_force_from_the_threshold_up(spark, monkeypatch,
     assert sorted(x["doc_id"] for x in simhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()) == want
 
 
+def family(count, seed=12):
+    """(id, text): copies of one text, each with words of its own in up to 3 of 200 places; similarities on both sides of 0.8."""
+    r = random.Random(seed)
+    prose = [f"w{r.randrange(10**6)}" for _ in range(200)]
+    rows = []
+    for k in range(count):
+        words = list(prose)
+        for at in r.sample(range(200), r.randint(1, 3) if k % 9 else 7):
+            words[at] = f"n{k}.{at}"
+        rows.append((k, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("tile,tile_bytes", [(2048, 1 << 22), (16, 1 << 22), (2048, 20_000)])
+def test_a_group_of_near_copies_gives_no_more_links_than_its_size(spark, monkeypatch, tile, tile_bytes):
+    monkeypatch.setattr(simhash, "TILE", tile)
+    monkeypatch.setattr(simhash, "TILE_BYTES", tile_bytes, raising=False)
+    rows = family(90)
+    texts = spark.createDataFrame(rows, SCHEMA)
+    sets = simhash.shingle_sets(texts, 5, "doc_id", "text").select(F.col("id").alias("node"), F.col("id").alias("component"), "shingles").cache()
+    links = simhash.sharing(sets, 0.8, np.zeros(0, np.uint32))
+    tasks, tiles = spark.sparkContext.defaultParallelism, 1 if tile > 90 else -(-90 // tile)
+    assert 0 < links.count() < tasks * 90 < 90 * 89 // 2 / 4
+    edges = simhash.proven(links, sets.select("node", "shingles"), 0.8)
+    assert 0 < edges.count() < 90 * (tiles if tile_bytes > 20_000 else 10)
+    shingles = {r["node"]: set(np.frombuffer(r["shingles"], np.uint32).tolist()) for r in sets.collect()}
+    assert all(len(shingles[u] & shingles[v]) >= 0.8 * len(shingles[u] | shingles[v]) for u, v in edges.collect())
+    near = {r["node"]: r["component"] for r in components(edges).collect()}
+    want = brute_near_copies(rows)
+    assert sorted({min(k for k in range(90) if near.get(k, k) == c) for c in {near.get(k, k) for k in range(90)}}) == want and 1 < len(want) < 90
+
+
 def test_sketches_are_no_farther_apart_than_the_sets():
     draw = np.random.default_rng(1)
     for _ in range(100):
