@@ -7,6 +7,7 @@ import ctypes
 import gc
 import os
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -50,14 +51,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(df.sparkSession))
     held = df.checkpoint(eager=True)
-    forget(df.sparkSession)
+    if time.monotonic() > _forgot[0] + SHORT:
+        forget(df.sparkSession)
     return held
 
 
+#: Seconds of steps for which no collection pays: one after each of many short steps is so much of the driver's time that its heap is enlarged.
+SHORT = 4.0
+_forgot = [-SHORT]
+
+
 def forget(spark: SparkSession) -> None:
     """Let the driver collect what no frame refers to any more, so Spark removes the shuffles behind it now and not some time later."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    _forgot[0] = time.monotonic()
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -97,6 +105,11 @@ def small(df: DataFrame, most: int = FEW) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df``, to be joined by shuffling and sorting both sides, however few its rows are: nothing of it goes through the driver, which keeps no thread for it."""
+    return df.hint("merge")
+
+
 #: Folders of ``written`` tables that nobody has dropped yet, oldest first.
 _tables: list[str] = []
 

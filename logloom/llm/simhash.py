@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import checkpointed, small, small_batches, tidy, written
+from logloom.llm.common import FEW, checkpointed, shuffled, small, small_batches, tidy, written
 from logloom.llm.components import SALTS, components
 
 SEED = 42
@@ -436,7 +436,7 @@ def sharing(sets: DataFrame, similarity: float, last: np.ndarray) -> DataFrame:
     spark = sets.sparkSession
     counted = prefixes(sets, similarity, last).groupBy("key").agg(F.count("*").alias("count"), F.min("component").alias("a"), F.max("component").alias("b"))
     keys = written(counted.filter("a <> b").select("key", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")))
-    live = prefixes(sets, similarity, last, key_map(keys)).join(small(keys), "key")
+    live = prefixes(sets, similarity, last, key_map(keys)).join(small(keys, FEW // 3), "key")
     tile = F.pmod(F.xxhash64("node", F.lit(1)), F.col("tiles")).cast("int")
     dealt = live.withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     low, high = F.least("tile", "other"), F.greatest("tile", "other")
@@ -536,7 +536,7 @@ def proven(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     small_batches(links.sparkSession)
     sets = sets.select("node", (F.octet_length("shingles") / 4).cast("bigint").alias("n"), F.col("shingles").alias("load"))
     groups = components(links).withColumnRenamed("component", "group")
-    sized = checkpointed(sets.select("node", "n").join(small(groups), "node"))
+    sized = checkpointed(sets.select("node", "n").join(shuffled(groups), "node"))
     large = checkpointed(sized.groupBy("group").agg(F.sum("n").alias("all"), F.avg("n").alias("mean")).filter(F.col("all") * 4 > TILE_BYTES))
     if large.count():
         power = F.length(F.conv(F.floor(F.col("mean") / 64).cast("string"), 10, 2))
@@ -576,9 +576,9 @@ def gathered(edges: DataFrame, rounds: int = 3) -> DataFrame:
     points = both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("component"))
     for _ in range(rounds):
         points = checkpointed(points)
-        around = both.join(small(points.withColumnRenamed("node", "v")), "v").groupBy(F.col("u").alias("node")).agg(F.min("component").alias("m"))
-        low = points.join(small(around), "node").select("node", F.least("component", "m").alias("component"))
-        points = low.join(small(points.select(F.col("node").alias("component"), F.col("component").alias("to"))), "component").select("node", F.col("to").alias("component"))
+        around = both.join(shuffled(points.withColumnRenamed("node", "v")), "v").groupBy(F.col("u").alias("node")).agg(F.min("component").alias("m"))
+        low = points.join(shuffled(around), "node").select("node", F.least("component", "m").alias("component"))
+        points = low.join(shuffled(points.select(F.col("node").alias("component"), F.col("component").alias("to"))), "component").select("node", F.col("to").alias("component"))
     return checkpointed(points)
 
 
@@ -601,7 +601,7 @@ def keep_one(docs: DataFrame, size: int = 5, bits: int = 4, similarity: float =
     found = shingle_sets(known, size, id_col, text_col).groupBy("hi", "lo").agg(F.min("id").alias("least"), F.min("fp").alias("fp"), F.first("shingles").alias("shingles"))
     sets = written(found.select(F.monotonically_increasing_id().alias("node"), "least", "fp", "shingles"))
     prints = checkpointed(sets.groupBy("fp").agg(F.min("node").alias("head")))
-    near = link(prints.select("fp"), bits)
+    near = checkpointed(link(prints.select("fp"), bits))
     near = near.join(prints.select(F.col("fp").alias("u"), F.col("head").alias("x")), "u").join(prints.select(F.col("fp").alias("v"), F.col("head").alias("y")), "v").select(F.col("x").alias("u"), F.col("y").alias("v"))
     near = near.union(sets.join(prints, "fp").filter("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v"))).union(representatives(sets))
     near = near.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()

@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 import struct
+import sys
 
 import numpy as np
 import public_tokenizers
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from logloom.llm import bpe, decontaminate, langid, maxscore, packing, simhash, subwords, suffix_dedup, suffix_order, token_count, toxicity, url_filter
+from logloom.llm.common import checkpointed
 from logloom.llm.components import components
 from logloom.llm.queries import ORACLE, QUERIES
 from tests.oracle import assert_same, connect
@@ -388,6 +390,27 @@ def test_a_group_of_near_copies_gives_no_more_links_than_its_size(spark, monkeyp
     assert sorted({min(k for k in range(90) if near.get(k, k) == c) for c in {near.get(k, k) for k in range(90)}}) == want and 1 < len(want) < 90
 
 
+def test_the_driver_plans_components_in_small_steps_and_broadcasts_none(spark, monkeypatch):
+    plans = []
+
+    def held(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return checkpointed(df)
+
+    monkeypatch.setattr(sys.modules["logloom.llm.components"], "checkpointed", held)
+    chain = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (102, 101), (100, 100)]
+    found = {r["node"]: r["component"] for r in components(spark.createDataFrame(chain, "u bigint, v bigint")).collect()}
+    assert found == {k: 0 for k in range(41)} | {100: 100, 101: 100, 102: 100}
+    assert max(p.count("Exchange") for p in plans) <= 6 and not any("Broadcast" in p for p in plans)
+
+
+def test_gathered_labels_are_members_of_their_components(spark):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(30)] + [(50, k) for k in range(51, 90)], "u bigint, v bigint")
+    found = {r["node"]: r["component"] for r in simhash.gathered(edges).collect()}
+    assert sorted(found) == [*range(31), *range(50, 90)]
+    assert all(found[k] <= k for k in range(31)) and found[8] == 0 and {found[k] for k in range(50, 90)} == {50}
+
+
 def test_sketches_are_no_farther_apart_than_the_sets():
     draw = np.random.default_rng(1)
     for _ in range(100):
