@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from logloom.operators.windows import keep_first
 
 
-def first_ok(requests: DataFrame, responses: DataFrame, key: str, ok: Column, order: str) -> DataFrame:
-    """Requests (first of each key) with the first usable response; ``reason`` is ``input_missing_output`` where none is."""
+def first_ok(requests: DataFrame, responses: DataFrame, key: str, ok: Column, order: str, repeated: bool = False) -> DataFrame:
+    """Requests (first of each key, or all if ``repeated``) with the first usable response; ``reason`` is ``input_missing_output`` where none is."""
     usable = keep_first(responses.filter(ok), [key], [F.col(order)])
-    asked = keep_first(requests, [key], [F.col(order)]).drop(order)
+    asked = (requests if repeated else keep_first(requests, [key], [F.col(order)])).drop(order)
     found = asked.join(usable.withColumn("__found", F.lit(True)), key, "left")
     return found.withColumn("reason", F.when(F.col("__found").isNull(), "input_missing_output")).drop("__found")
 

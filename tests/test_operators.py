@@ -250,6 +250,25 @@ def test_responses_of_one_place_go_by_their_order_in_the_file(spark, tmp_path):
             spark.conf.set(k, v)
 
 
+def test_first_responses_with_unknown_numbers_and_repeated_orders_are_those_of_the_sql(spark, tmp_path):
+    """Unknown line numbers came first, and orders of one key, or of none, were one row."""
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from logloom.plans.queries import ORACLE, j3_first_ok
+
+    pq.write_table(pa.table({"l_orderkey": [1, 1, 1, 2, 2, None], "l_linenumber": pa.array([None, 4, 3, None, None, 1], pa.int32()), "l_partkey": [10, 11, 12, 13, 14, 15], "l_returnflag": ["N", "N", "A", "N", "N", "N"]}), tmp_path / "lineitem.parquet")
+    pq.write_table(pa.table({"o_orderkey": [1, 1, 2, 3, None, None]}), tmp_path / "orders.parquet")
+    con = duckdb.connect()
+    for t in ("lineitem", "orders"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    got = j3_first_ok(spark, str(tmp_path)).select("k", "pos", "part", "reason").collect()
+    want = con.execute(f"SELECT k, pos, part, reason FROM ({ORACLE['j3_first_ok']})").fetchall()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert (1, 4, 11, None) in want and (2, None, 13, None) in want and len(want) == 6
+
+
 def test_greedy_cover_takes_the_smaller_of_equals_and_stops_without_gain(spark):
     rows = [("u", 2, "a"), ("u", 2, "b"), ("u", 1, "a"), ("u", 1, "b"), ("u", 3, "c"), ("u", 3, "a"), ("u", 4, "c"), ("u", None, "d"), (None, 1, "a"), ("n", 5, None), ("none", None, "x")]
     got = retrieval.greedy_cover(spark.createDataFrame(rows, "user string, c long, item string"), "user", "c", "item", 5)
