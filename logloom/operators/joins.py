@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logloom.operators.names import Longest
 from logloom.operators.windows import keep_first
 
 
@@ -110,27 +112,33 @@ def still_referenced(refs: Column, existing: Column) -> Column:
     return (F.size(refs) == 0) | F.arrays_overlap(refs, existing)
 
 
-def contained(texts: DataFrame, text: str, names: DataFrame, name: str, max_names: int = 10_000, empty: bool = False) -> DataFrame:
+def contained(texts: DataFrame, text: str, names: DataFrame, name: str, max_names: int = 1_000_000, empty: bool = False) -> DataFrame:
     """``texts`` with the longest name that each contains, ties to the first; null where there is none, or for a null text.
 
-    Up to ``max_names`` distinct names, which is checked, go to every task as one array. More are joined: every place of a
-    text meets the names that begin with its first characters (``BEGIN`` of them, or as many as a shorter name has), and
-    what stands there has to begin with the name. Both ways give the same rows; null names match nothing. Nor do empty ones,
-    unless ``empty`` says so: then a text that contains no longer name has the empty one, if it is among the names.
+    Up to ``max_names`` distinct names of ``NAME_CHARS`` together, which is checked, go to every task, which looks all places of a
+    text up among them. More are joined: every place of a text meets the names that begin with its first characters (``BEGIN`` of
+    them, or as many as a shorter name has), and what stands there has to begin with the name. Both ways give the same rows; null
+    names match nothing. Nor do empty ones, unless ``empty`` says so: then a text that contains no longer name has the empty one,
+    if it is among the names.
     """
-    if empty:
-        longer = contained(texts, text, names, name, max_names)
-        has = F.lit(names.filter(F.col(name) == "").limit(1).count() > 0)
-        return longer.withColumn(name, F.coalesce(name, F.when(has & F.col(text).isNotNull(), "")))
-    held = names.select(F.col(name).alias("__name")).filter(F.length("__name") > 0).distinct()
-    if held.limit(max_names + 1).count() > max_names:
-        return _contained_by_begin(texts, text, held, name)
-    order = lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0)
-    listed = [r["n"] for r in held.agg(F.array_sort(F.collect_list("__name"), order).alias("n")).collect()][0]
-    array = F.array(*map(F.lit, listed)) if listed else F.array().cast("array<string>")
-    return texts.withColumn(name, F.get(F.filter(array, lambda n: F.contains(F.col(text), n)), F.lit(0)))
+    held = names.select(F.col(name).cast("string").alias("__name")).filter("__name is not null" if empty else "length(__name) > 0").distinct()
+    size = held.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("__name")), F.lit(0)).alias("chars"), F.coalesce(F.max(F.col("__name") == ""), F.lit(False)).alias("empty")).first()
+    if size["n"] > max_names or size["chars"] > NAME_CHARS:
+        longer = _contained_by_begin(texts, text, held.filter("__name <> ''"), name)
+        return longer.withColumn(name, F.coalesce(name, F.when(F.lit(size["empty"]) & F.col(text).isNotNull(), "")))
+    listed = texts.sparkSession.sparkContext.broadcast([r["__name"] for r in held.collect()])
 
+    @F.pandas_udf("string")
+    def longest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        find = Longest(listed.value)
+        for batch in batches:
+            yield pd.Series(find(batch.tolist()), dtype=object)
 
+    return texts.withColumn(name, longest(text))
+
+
+#: Characters of all names that a task holds at once.
+NAME_CHARS = 50_000_000
 #: Characters by which places of a text and names meet.
 BEGIN = 6
 

@@ -147,3 +147,26 @@ def test_empty_names_stand_everywhere_where_they_are_asked_for(spark):
     t = spark.createDataFrame([(1, "abc"), (2, "xyz"), (3, ""), (4, None)], "i int, t string")
     found = lambda names, **o: [r["name"] for r in joins.contained(t, "t", spark.createDataFrame([(n,) for n in names], "name string"), "name", **o).orderBy("i").collect()]
     assert found(["", "b", None], empty=True) == ["b", "", "", None] and found(["b", None], empty=True) == found(["", "b"]) == ["b", None, None, None]
+
+
+def test_many_names_are_looked_up_without_a_row_per_place(spark):
+    """Beyond 10,000 names every place of a text was a row of a join; up to there every name was searched for in every text."""
+    names = spark.range(12_000).select(F.concat(F.lit("n"), F.col("id").cast("string"), F.lit(";")).alias("name"))
+    t = spark.createDataFrame([(1, "an n7; n11999; n12;"), (2, "n12000; n4"), (3, None)], "i int, t string")
+    out = joins.contained(t, "t", names, "name")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan and len(plan) < 10_000
+    assert [r["name"] for r in out.orderBy("i").collect()] == ["n11999;", None, None]
+
+
+def test_names_across_pieces_and_of_one_hash(monkeypatch):
+    from logloom.operators import names as m
+
+    word = "a"
+    for _ in range(11):  # both words have the same polynomial hash modulo 2^64, whatever its odd base
+        word += "".join("b" if c == "a" else "a" for c in word)
+    other = "".join("b" if c == "a" else "a" for c in word)
+    assert m.Longest([word, "bab"])([f"x{other}y", f"x{word}y", "", None]) == ["bab", word, None, None]
+    assert m.Longest([word, other])([f"x{other}y", f"x{word}y"]) == [other, word]
+    monkeypatch.setattr(m, "PLACES", 8)
+    assert m.Longest(["cdefghijklmn", "z", "j"])(["abcdefghijklmnop", "aaaaaaaaaaaaaaaaaaz", "j"]) == ["cdefghijklmn", "z", "j"]
